@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The feeds are a daily batch over a date window (``operators.load_window``);
+there is no stream, watermark, state or late data to handle. A daily run is
+``cargofeed.job.run_feeds``; an idempotent re-run of the same day overwrites
+that day's output. Nothing here is needed to switch from the source job.
+"""
