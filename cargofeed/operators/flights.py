@@ -37,7 +37,7 @@ def flight_list(legs: DataFrame, key: str, flight: str, sep: str = FLIGHT_SEPARA
     Duplicates are kept (a flight appears once per leg occurrence, or
     ``count`` times when the input carries a multiplicity column); NULL
     flights are skipped, empty ones kept; the list is ordered by flight text.
-    A key whose flights are all NULL has no row.
+    A key whose flights are all NULL gets a NULL list.
 
     Plan: occurrences are first counted per (key, flight) with map-side
     partial aggregation, so the list aggregate sees one row per distinct
@@ -46,9 +46,10 @@ def flight_list(legs: DataFrame, key: str, flight: str, sep: str = FLIGHT_SEPARA
     trimmed = F.trim(F.col(flight))
     n: Column = F.col(count) if count else F.lit(1)
     per_flight = (legs.select(F.col(key), trimmed.alias("__flt"), n.alias("__n"))
-                  .filter(F.col("__flt").isNotNull())
                   .groupBy(key, "__flt").agg(F.sum("__n").cast("int").alias("__n")))
-    piece = F.array_join(F.array_repeat(F.col("__flt"), F.col("__n")), sep)
+    # NULL flights keep their key (the list is then NULL) but add no piece
+    piece = F.when(F.col("__flt").isNotNull(),
+                   F.array_join(F.array_repeat(F.col("__flt"), F.col("__n")), sep))
     return (per_flight.withColumn("__piece", piece).groupBy(key)
             .agg(F.expr(f"listagg(__piece, '{sep}') WITHIN GROUP (ORDER BY __flt)").alias(out)))
 

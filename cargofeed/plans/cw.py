@@ -54,8 +54,7 @@ class MawbContext:
         """``(mawb, flight_number)``."""
         legs = air_legs(self.transport).select(
             "jw_parentguid", F.trim("jw_voyageflight").alias("flt"))
-        per_consol = (legs.filter(F.col("flt").isNotNull())
-                      .groupBy("jw_parentguid", "flt").agg(F.count(F.lit(1)).alias("n_leg")))
+        per_consol = legs.groupBy("jw_parentguid", "flt").agg(F.count(F.lit(1)).alias("n_leg"))
         links = self.links_per_consol()
         occ = (self.consol.join(links, self.consol["jk_pk"] == links["jn_jk"])
                .join(per_consol, F.col("jk_pk") == per_consol["jw_parentguid"])

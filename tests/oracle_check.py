@@ -56,7 +56,8 @@ def main(argv):
     from cargofeed.session import build_session
     import __spark_entry__ as E
 
-    spark = build_session(master="local[8]", shuffle_partitions=8)
+    spark = build_session(master="local[8]", shuffle_partitions=8,
+                          extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
