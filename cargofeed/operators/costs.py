@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day
 from ..functions.money import converted_cost
-from .joins import broadcast_if_bounded
+from .joins import broadcast_all_if_bounded, left_join_null_safe
 
 # Fixed values that must equal the source job's:
 #   charge codes of each cost category
@@ -31,12 +31,15 @@ COST_ROW = "decimal(26,12)"
 COST_SUM = "decimal(38,12)"
 
 
-def _rates(refexchangerate: DataFrame, company: str, rate_type: str, prefix: str) -> DataFrame:
+def _rates(refexchangerate: DataFrame, company: str, rate_type: str) -> DataFrame:
+    """Rates of one company and type, keyed by (currency, day)."""
     r = refexchangerate.filter((F.col("re_gc") == company) & (F.col("re_exratetype") == rate_type))
-    return broadcast_if_bounded(r.select(
-        F.col("re_rx_nkexcurrency").alias(f"{prefix}_cur"),
-        day("re_startdate").alias(f"{prefix}_day"),
-        F.col("re_sellrate").alias(f"{prefix}_rate")))
+    return r.select(F.col("re_rx_nkexcurrency").alias("cur"), day("re_startdate").alias("day"),
+                    F.col("re_sellrate").alias("rate"))
+
+
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
 
 
 def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
@@ -73,28 +76,34 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
                      day("ah_invoicedate").alias("ap_inv"))
     arh = hdr.select(F.col("ah_pk").alias("arh_pk"), F.col("ah_gc").alias("arh_gc"),
                      day("ah_invoicedate").alias("ar_inv"))
-    codes = broadcast_if_bounded(tables["accchargecode"]
-                                 .filter(F.col("ac_code").isin(all_codes))
-                                 .select("ac_pk", "ac_gc", "ac_code"))
-    company = broadcast_if_bounded(tables["glbcompany"].select(
-        "gc_pk", F.col("gc_rx_nklocalcurrency").alias("local_cur")))
-    branch = broadcast_if_bounded(tables["glbbranch"].groupBy("gb_pk", "gb_gc")
-                                  .agg(F.count(F.lit(1)).cast("int").alias("n_branch")))
-    pre = _rates(tables["refexchangerate"], rate_company, rate_type, "pre")
-    post = _rates(tables["refexchangerate"], rate_company, rate_type, "post")
-
+    codes = (tables["accchargecode"].filter(F.col("ac_code").isin(all_codes))
+             .select("ac_pk", "ac_gc", "ac_code"))
+    company = tables["glbcompany"].select(
+        "gc_pk", F.col("gc_rx_nklocalcurrency").alias("local_cur"))
+    branch = (tables["glbbranch"].groupBy("gb_pk", "gb_gc")
+              .agg(F.count(F.lit(1)).cast("int").alias("n_branch")))
+    rates = _rates(tables["refexchangerate"], rate_company, rate_type)
+    # dimension sides: broadcast only after one bounded job proves their sizes
+    codes, company, branch, rates = broadcast_all_if_bounded([codes, company, branch, rates])
+    pre, post = _prefixed(rates, "pre"), _prefixed(rates, "post")
+
+    # Each transaction line is joined to its header first (both keys are
+    # non-NULL there), so the charge stream only joins on non-NULL keys.
+    ap_full = left_join_null_safe(ap.join(codes, (ap["ap_ac"] == codes["ac_pk"])
+                                          & (ap["ap_gc"] == codes["ac_gc"])),
+                                  aph, ["ap_ah", "ap_gc"], ["aph_pk", "aph_gc"])
+    ar_full = left_join_null_safe(ar, arh, ["ar_ah", "ar_gc"], ["arh_pk", "arh_gc"]).select(
+        "ar_pk", "ar_gc", "ar_inv")
     x = (ship.join(jh, ship["js_pk"] == jh["jh_parentid"])
              .join(jr, (F.col("jh_pk") == jr["jr_jh"]) & (F.col("jh_gc") == jr["jr_gc"]))
-             .join(ap, (F.col("jr_al_apline") == ap["ap_pk"]) & (F.col("jr_gc") == ap["ap_gc"]))
-             .join(codes, (F.col("ap_ac") == codes["ac_pk"]) & (F.col("ap_gc") == codes["ac_gc"]))
-             .join(company, F.col("jr_gc") == company["gc_pk"])
-             .join(aph, (F.col("ap_ah") == aph["aph_pk"]) & (F.col("ap_gc") == aph["aph_gc"]), "left")
-             .join(ar, (F.col("jr_al_arline") == ar["ar_pk"]) & (F.col("jr_gc") == ar["ar_gc"]), "left")
-             .join(arh, (F.col("ar_ah") == arh["arh_pk"]) & (F.col("ar_gc") == arh["arh_gc"]), "left")
-             .join(branch, (F.col("jh_gb") == branch["gb_pk"]) & (F.col("jh_gc") == branch["gb_gc"]), "left")
-             .join(pre, (F.col("local_cur") == pre["pre_cur"]) & (F.col("ship_day") == pre["pre_day"]), "left")
-             .join(post, (F.col("txn_cur") == post["post_cur"])
-                   & (F.coalesce(F.col("ar_inv"), F.col("ap_inv")) == post["post_day"]), "left"))
+             .join(ap_full, (F.col("jr_al_apline") == ap_full["ap_pk"])
+                   & (F.col("jr_gc") == ap_full["ap_gc"]))
+             .join(company, F.col("jr_gc") == company["gc_pk"]))
+    x = left_join_null_safe(x, ar_full, ["jr_al_arline", "jr_gc"], ["ar_pk", "ar_gc"])
+    x = (x.join(branch, (F.col("jh_gb") == branch["gb_pk"]) & (F.col("jh_gc") == branch["gb_gc"]), "left")
+          .join(pre, (F.col("local_cur") == pre["pre_cur"]) & (F.col("ship_day") == pre["pre_day"]), "left")
+          .join(post, (F.col("txn_cur") == post["post_cur"])
+                & (F.coalesce(F.col("ar_inv"), F.col("ap_inv")) == post["post_day"]), "left"))
     cost = converted_cost("local_cur", "jr_localcostamt", "ap_post", "ap_os", "pre_rate", "post_rate")
     n_branch = F.coalesce(F.col("n_branch"), F.lit(1))
     return x.select("js_pk", "ac_code", (cost.cast(COST_ROW) * n_branch).cast(COST_ROW).alias("cost"))

@@ -10,6 +10,9 @@ measured broadcast conversion).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,22 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> D
     return df
 
 
+def broadcast_all_if_bounded(dfs: Sequence[DataFrame],
+                             max_rows: int = DIMENSION_MAX_ROWS) -> list[DataFrame]:
+    """``broadcast_if_bounded`` for several sides with one bounded job.
+
+    Each side contributes at most ``max_rows + 1`` rows to a single counting
+    job, so proving the bounds of all dimension tables of a plan costs one
+    short job instead of one per table.
+    """
+    if not dfs:
+        return []
+    tagged = [d.limit(max_rows + 1).select(F.lit(i).alias("__side")) for i, d in enumerate(dfs)]
+    union = reduce(lambda a, b: a.unionByName(b), tagged)
+    counts = {r["__side"]: r["n"] for r in union.groupBy("__side").agg(F.count("*").alias("n")).collect()}
+    return [F.broadcast(d) if counts.get(i, 0) <= max_rows else d for i, d in enumerate(dfs)]
+
+
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
                      key_cols: str | list[str] | None = None) -> DataFrame:
     """Left-semi join: rows of ``df`` whose key occurs in ``keys``.
@@ -43,3 +62,35 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
     k = keys.select(*[F.col(r).alias(f"__k{i}") for i, r in enumerate(right)])
     cond = [df[l] == k[f"__k{i}"] for i, l in enumerate(left)]
     return df.join(k, cond, "left_semi")
+
+
+NULL_KEY_SPREAD = 512
+
+
+def left_join_null_safe(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                        right_keys: Sequence[str], spread: int = NULL_KEY_SPREAD) -> DataFrame:
+    """``left`` LEFT JOIN ``right`` on equal keys, with NULL-key rows spread
+    over many partitions.
+
+    A left row with a NULL key can never match, but a shuffle join hashes
+    every NULL key to the same partition: when many rows lack the key
+    (charges without a receivable line, lines without a header) one task
+    receives all of them. A salt column joins the keys: 0 on keyed rows of
+    both sides (so matches are unchanged), a deterministic hash of the row
+    in ``[0, spread)`` on NULL-key left rows (which still match nothing,
+    since their key is NULL). The shuffle hashes (key, salt), so the NULL
+    rows spread over up to ``spread`` partitions. The result equals the
+    plain left join; no input is read twice. (Rows identical in every
+    column hash alike and stay together.)
+    """
+    salt = "__null_salt"
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    l = left.withColumn(salt, F.when(no_key, F.pmod(row_hash, F.lit(spread))).otherwise(F.lit(0)))
+    # data-dependent on purpose: a literal 0 would be constant-folded out of
+    # the join keys and the NULL rows would hash to one partition again
+    r_no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in right_keys])
+    r = right.withColumn(salt, F.when(r_no_key, F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+    cond = reduce(lambda a, b: a & b,
+                  [l[lk] == r[rk] for lk, rk in zip(left_keys, right_keys)]) & (l[salt] == r[salt])
+    return l.join(r, cond, "left").drop(l[salt]).drop(r[salt])

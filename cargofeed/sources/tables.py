@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from .schemas import ALL_SCHEMAS, CODE_COLUMNS, CW_SCHEMAS, WT_SCHEMAS
@@ -26,20 +25,21 @@ class SchemaError(ValueError):
 def conform(df: DataFrame, name: str, trim_codes: bool = True) -> DataFrame:
     """Select and cast ``df`` to the declared schema of table ``name``."""
     schema: T.StructType = ALL_SCHEMAS[name]
-    by_lower = {c.lower(): c for c in df.columns}
-    missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
+    actual = {f.name.lower(): f for f in df.schema.fields}  # one analysis, not one per column
+    missing = [f.name for f in schema.fields if f.name.lower() not in actual]
     if missing:
         raise SchemaError(f"table {name!r} lacks columns {missing}; has {df.columns}")
     trimmed = set(CODE_COLUMNS.get(name, ())) if trim_codes else set()
-    cols: list[Column] = []
+    exprs: list[str] = []
     for f in schema.fields:
-        src = df[by_lower[f.name.lower()]]
-        actual = df.schema[by_lower[f.name.lower()]].dataType
-        col = src if actual == f.dataType else src.cast(f.dataType)
+        src_field = actual[f.name.lower()]
+        e = f"`{src_field.name}`"
+        if src_field.dataType != f.dataType:
+            e = f"CAST({e} AS {f.dataType.simpleString()})"
         if f.name in trimmed:
-            col = F.rtrim(col)
-        cols.append(col.alias(f.name))
-    return df.select(*cols)
+            e = f"rtrim({e})"
+        exprs.append(f"{e} AS {f.name}")
+    return df.selectExpr(*exprs)  # one JVM call per table
 
 
 def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
