@@ -102,6 +102,18 @@ def q_wt_feed(spark, sf_dir, window=WINDOW_45):
     return typed(wt_feed(wt, window))
 
 
+def q_wt_feed_history_cut(spark, sf_dir):
+    """The WT feed through the large-input plan (history cut to the window's keys)."""
+    wt, _ = _tables(spark, sf_dir)
+    return typed(wt_feed(wt, WINDOW_45, reduce_history=True))
+
+
+def q_cw_feed_history_cut(spark, sf_dir):
+    """The CW feed through the large-input plan (staged sets, charge history cut)."""
+    _, cw = _tables(spark, sf_dir)
+    return typed(cw_feed(cw, WINDOW_45, reduce_history=True), MONEY)
+
+
 def q_wt_feed_rank(spark, sf_dir):
     wt, _ = _tables(spark, sf_dir)
     return typed(wt_feed(wt, WINDOW_45, latest_strategy="window"))
@@ -241,12 +253,14 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "total_cost": q_total_cost,
         "wt_feed": q_wt_feed,
         "wt_feed_rank": q_wt_feed_rank,
+        "wt_feed_history_cut": q_wt_feed_history_cut,
         "wt_feed_full_history": lambda s, d: q_wt_feed(s, d, WINDOW_ALL),
         "wt_mawb_feed": q_wt_mawb_feed,
         "wt_mawb_feed_declared": q_wt_mawb_feed_declared,
         "wt_hawb_feed": q_wt_hawb_feed,
         "cw_feed": q_cw_feed,
         "cw_feed_full_history": lambda s, d: q_cw_feed(s, d, WINDOW_ALL),
+        "cw_feed_history_cut": q_cw_feed_history_cut,
         "cw_mawb_feed": q_cw_mawb_feed,
         "cw_hawb_feed": q_cw_hawb_feed,
         "csv_roundtrip": q_csv_roundtrip,
@@ -390,12 +404,14 @@ def oracle_queries() -> dict[str, str]:
         "total_cost": _cw(totals),
         "wt_feed": _wt(wt45),
         "wt_feed_rank": _wt(wt45),
+        "wt_feed_history_cut": _wt(wt45),
         "wt_feed_full_history": _wt(O.wt_query(HISTORY_START)),
         "wt_mawb_feed": _wt(_labels(WT_MAWB_OBSERVED, wt45)),
         "wt_mawb_feed_declared": _wt(_labels(WT_MAWB_DECLARED, wt45)),
         "wt_hawb_feed": _wt(_labels(HAWB_LABELS, wt45)),
         "cw_feed": _cw(cw45),
         "cw_feed_full_history": _cw(O.cw_query(HISTORY_START)),
+        "cw_feed_history_cut": _cw(cw45),
         "cw_mawb_feed": _cw(_labels(CW_MAWB_LABELS, cw45)),
         "cw_hawb_feed": _cw(_labels(HAWB_LABELS, cw45, {"hawb"})),
         "csv_roundtrip": _wt(f"SELECT {roundtrip} FROM ({_labels(WT_MAWB_OBSERVED, wt45_text)}) f"),

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day
 from ..functions.money import converted_cost
-from .joins import broadcast_all_if_bounded, left_join_null_safe
+from .joins import broadcast_all_if_bounded, cut_to_keys, left_join_null_safe
+from .stage import stage
 
 # Fixed values that must equal the source job's:
 #   charge codes of each cost category
@@ -45,7 +46,8 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
                  categories: Mapping[str, Sequence[str]] = COST_CATEGORIES,
                  line_types: Sequence[str] = COST_LINE_TYPES,
-                 rate_company: str = RATE_COMPANY, rate_type: str = RATE_TYPE) -> DataFrame:
+                 rate_company: str = RATE_COMPANY, rate_type: str = RATE_TYPE,
+                 reduce_history: bool = False) -> DataFrame:
     """One row per costed charge line of ``shipments``: ``(js_pk, ac_code, cost)``.
 
     The chain: shipment -> all its job headers -> charges of the header's
@@ -56,6 +58,15 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
     invoice first). A charge matched by two rates on one day counts twice,
     as in the source query. A branch of the header that occurs k times
     multiplies the line k times (the source joined it without using it).
+
+    ``reduce_history``: for a small ``shipments`` set (one load window),
+    each history-wide table is first cut to the rows that can match the
+    previous level (headers of those shipments, their charges, the lines
+    of those charges, the headers of those lines), each cut a map-side
+    semi join with a broadcast, size-checked key set, and the small levels
+    are staged. The big tables are then scanned and filtered, never shuffled
+    whole. Each cut only drops rows that the following join could not
+    match, so the result is unchanged.
     """
     all_codes = sorted({c for codes in categories.values() for c in codes})
     ship = shipments.select("js_pk", day("js_systemcreatetimeutc").alias("ship_day"))
@@ -87,6 +98,18 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
     codes, company, branch, rates = broadcast_all_if_bounded([codes, company, branch, rates])
     pre, post = _prefixed(rates, "pre"), _prefixed(rates, "post")
 
+    if reduce_history:
+        def cut(df, keys, on, key_cols, label=None):
+            out, applied = cut_to_keys(df, keys, on, key_cols)
+            return stage(out, label) if applied and label else out
+
+        jh = cut(jh, ship, ["jh_parentid"], ["js_pk"], "job_headers")
+        jr = cut(jr, jh, ["jr_jh", "jr_gc"], ["jh_pk", "jh_gc"], "charges")
+        ap = cut(ap, jr, ["ap_pk", "ap_gc"], ["jr_al_apline", "jr_gc"], "payable_lines")
+        aph = cut(aph, ap, ["aph_pk", "aph_gc"], ["ap_ah", "ap_gc"])
+        ar = cut(ar, jr, ["ar_pk", "ar_gc"], ["jr_al_arline", "jr_gc"], "receivable_lines")
+        arh = cut(arh, ar, ["arh_pk", "arh_gc"], ["ar_ah", "ar_gc"])
+
     # Each transaction line is joined to its header first (both keys are
     # non-NULL there), so the charge stream only joins on non-NULL keys.
     ap_full = left_join_null_safe(ap.join(codes, (ap["ap_ac"] == codes["ac_pk"])

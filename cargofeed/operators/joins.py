@@ -64,6 +64,30 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
     return df.join(k, cond, "left_semi")
 
 
+def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Sequence[str],
+                max_rows: int = DIMENSION_MAX_ROWS,
+                proven: bool | None = None) -> tuple[DataFrame, bool]:
+    """Cut a history-wide ``df`` to the rows whose ``on`` columns match
+    ``key_cols`` of some row of ``keys`` (a small driving set, e.g. the keys
+    of one load window).
+
+    When a bounded job proves ``keys`` has at most ``max_rows`` rows, the
+    cut is a left-semi join against the broadcast key set: ``df`` is
+    filtered inside its scan stage and never shuffled. Otherwise ``df`` is
+    returned unchanged (a shuffled semi join of the whole history would only
+    add work). Returns ``(frame, cut_applied)``. Callers use it only where
+    the following join would drop the non-matching rows anyway, so the
+    result does not depend on whether the cut was applied. ``proven``
+    passes a bound already established for ``keys`` (skips the check).
+    """
+    k = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key_cols)])
+    if not (proven if proven is not None else has_at_most(k, max_rows)):
+        return df, False
+    kb = F.broadcast(k)
+    cond = reduce(lambda a, b: a & b, [df[o] == kb[f"__k{i}"] for i, o in enumerate(on)])
+    return df.join(kb, cond, "left_semi"), True
+
+
 NULL_KEY_SPREAD = 512
 
 

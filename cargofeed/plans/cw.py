@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from ..operators.flights import (air_legs, air_legs_per_consol, earliest_departu
                                  flight_list)
 from ..operators.joins import restrict_to_keys
 from ..params import LoadWindow
+from ..operators.stage import is_large, stage
 
 # Fixed value that must equal the source job's: the currency of the CW feed.
 CW_CURRENCY = "USD"
@@ -34,21 +36,42 @@ class MawbContext:
     MAWBs (no date window), as in the source query; restricting the
     consolidations to the MAWBs that the weights rollup produced is exact
     because every right-hand side is grouped by MAWB.
+
+    ``materialize=True`` stores the restricted consolidations, links,
+    shipments and per-consolidation link counts once (``operators.stage``:
+    written tables in the shared ``spark.checkpoint.dir``) and cuts the
+    charge history to them; ``"persist"`` keeps them in executor storage
+    instead (no extra jobs; recomputed from lineage if an executor is lost),
+    which suits small inputs. They are small (driven by one
+    load window) and each is read by several branches of the plan; Catalyst
+    prunes every reference differently, so without this each branch would
+    recompute the whole restriction chain, weights rollup included.
     """
 
-    def __init__(self, tables: Mapping[str, DataFrame], mawbs: DataFrame | None = None):
+    def __init__(self, tables: Mapping[str, DataFrame], mawbs: DataFrame | None = None,
+                 materialize: bool | str = False):
+        def keep(df: DataFrame, label: str) -> DataFrame:
+            if materialize == "persist":
+                return df.persist(StorageLevel.MEMORY_AND_DISK)
+            return stage(df, label) if materialize else df
+
         consol = tables["jobconsol"]
         if mawbs is not None:
             consol = restrict_to_keys(consol, mawbs, "jk_masterbillnum", "mawb")
         self.tables = tables
-        self.consol = consol.select("jk_pk", "jk_masterbillnum")
-        self.link = restrict_to_keys(tables["jobconshiplink"].select("jn_js", "jn_jk"),
-                                     self.consol, "jn_jk", "jk_pk")
+        self.materialize = materialize is True
+        self.consol = keep(consol.select("jk_pk", "jk_masterbillnum"), "consol")
+        self.link = keep(restrict_to_keys(tables["jobconshiplink"].select("jn_js", "jn_jk"),
+                                          self.consol, "jn_jk", "jk_pk"), "link")
         self.transport = tables["jobconsoltransport"]
-        self.shipments = restrict_to_keys(tables["jobshipment"], self.link, "js_pk", "jn_js")
+        self.shipments = keep(restrict_to_keys(
+            tables["jobshipment"].select("js_pk", "js_systemcreatetimeutc"),
+            self.link, "js_pk", "jn_js"), "shipment")
+        self._links_per_consol = keep(linked_shipments_per_consol(self.link, self.shipments),
+                                      "links_per_consol")
 
     def links_per_consol(self) -> DataFrame:
-        return linked_shipments_per_consol(self.link, self.shipments)
+        return self._links_per_consol
 
     def flights(self) -> DataFrame:
         """``(mawb, flight_number)``."""
@@ -73,14 +96,16 @@ class MawbContext:
 
     def costs(self, categories: Mapping[str, list[str]] = COST_CATEGORIES) -> DataFrame:
         """``(mawb, <category>...)`` (M8)."""
-        charges = charge_costs(self.tables, self.shipments, categories)
+        charges = charge_costs(self.tables, self.shipments, categories,
+                               reduce_history=self.materialize)
         per_ship = costs_by_shipment(charges, categories)
         mult = shipment_mawb_multiplicity(self.link, self.consol,
                                           air_legs_per_consol(self.transport))
         return costs_by_mawb(per_ship, mult, categories)
 
 
-def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow) -> DataFrame:
+def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
+            reduce_history: bool | None = None) -> DataFrame:
     """CW query result (P3), one row per (MAWB, origin, destination).
 
     Rows need a positive total cost, a positive chargeable weight and a
@@ -88,9 +113,20 @@ def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow) -> DataFrame:
     its port pairs, unallocated, as in the source query. The source's final
     DISTINCT is implied: the weights rollup is unique per (MAWB, port pair)
     and every right-hand side is unique per MAWB.
+
+    ``reduce_history`` (default: decided by the estimated size of the
+    charge history) stages the window-driven sets in the shared checkpoint
+    folder and cuts the history-wide charge tables to them before any
+    shuffle; otherwise the small sets are persisted and the history is
+    joined with ordinary shuffles. Both plans give the same rows.
     """
+    if reduce_history is None:
+        reduce_history = is_large(tables["jobcharge"], tables["acctransactionlines"],
+                                  tables["acctransactionheader"], tables["jobheader"])
+    # one row per (MAWB, port pair) of the window: small, read by every branch
     main = consol_weights(tables, window)
-    ctx = MawbContext(tables, main.select("mawb"))
+    main = stage(main, "weights") if reduce_history else main.persist(StorageLevel.MEMORY_AND_DISK)
+    ctx = MawbContext(tables, main.select("mawb"), materialize=True if reduce_history else "persist")
     j = (main.join(ctx.flights(), "mawb", "left")
              .join(ctx.departures(), "mawb", "left")
              .join(ctx.costs(), "mawb", "left"))

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from ..functions.validity import valid_mawb
 from ..functions.weights import (actual_weight_wt, carrier_cost_wt,
                                  chargeable_weight_wt_basis, raise_to_actual)
+from ..operators.joins import DIMENSION_MAX_ROWS, cut_to_keys, has_at_most
 from ..operators.rollup import rollup_per_key_and_unit, sum_by_key
+from ..operators.stage import is_large, stage
 from ..operators.select import latest_by_sequence
 from ..params import LoadWindow
 
@@ -37,21 +39,45 @@ def shipment_weights(shipdesc: DataFrame) -> DataFrame:
 
 
 def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
-            latest_strategy: str = "max_join") -> DataFrame:
+            latest_strategy: str = "max_join", reduce_history: bool | None = None) -> DataFrame:
     """The distinct joined rows before the final projection (A5), keyed by
-    ``file_nbr`` (the order)."""
+    ``file_nbr`` (the order).
+
+    ``reduce_history``: the latest-sequence rows of the window are staged
+    (a written table in the shared checkpoint folder) and, when a bounded
+    job proves them small enough to broadcast, the four history-wide tables
+    are cut to the window's orders and airwaybills inside their scans
+    before any shuffle or rollup. Rollups are per order / per airwaybill
+    and every dropped row could only meet a non-matching join key, so the
+    result is the same; the daily job just stops re-aggregating all history.
+    ``None`` (default) decides by size: cut when the history-wide inputs are
+    estimated at ``HISTORY_CUT_MIN_BYTES`` or more.
+    """
     awb = tables["tbl_airwaybill"]
     in_window = F.to_date(F.col("flightdatetime1")) >= F.lit(window.start)
     a = latest_by_sequence(awb, "fk_orderno", "fk_seqno", keep=in_window,
                            strategy=latest_strategy)
-    c = (tables["tbl_shipmentapar"].filter(valid_mawb("refno", "wt"))
-         .select(F.col("fk_orderno").alias("c_order"), F.col("seqno").alias("c_seq"),
-                 "refno", F.col("rate").alias("c_rate"), F.col("total").alias("c_total")))
-    d = airwaybill_detail(tables["tbl_airwaybilldesc"])
+    apar = tables["tbl_shipmentapar"].filter(valid_mawb("refno", "wt"))
+    desc = tables["tbl_airwaybilldesc"]
+    header = tables["tbl_shipmentheader"]
+    shipdesc = tables["tbl_shipmentdesc"]
+    if reduce_history is None:
+        reduce_history = is_large(apar, desc, shipdesc)
+    if reduce_history:
+        a = stage(a, "wt_latest")
+        small = has_at_most(a, DIMENSION_MAX_ROWS)
+        apar, _ = cut_to_keys(apar, a, ["fk_orderno", "seqno"], ["fk_orderno", "fk_seqno"],
+                              proven=small)
+        desc, _ = cut_to_keys(desc, a, ["fk_airwaybillno"], ["pk_airwaybillno"], proven=small)
+        header, _ = cut_to_keys(header, a, ["pk_orderno"], ["fk_orderno"], proven=small)
+        shipdesc, _ = cut_to_keys(shipdesc, a, ["fk_orderno"], ["fk_orderno"], proven=small)
+    c = apar.select(F.col("fk_orderno").alias("c_order"), F.col("seqno").alias("c_seq"),
+                    "refno", F.col("rate").alias("c_rate"), F.col("total").alias("c_total"))
+    d = airwaybill_detail(desc)
     # Header and its order weights first: the weights join on the header's
     # key, so an order without a header gets no fallback weights.
-    e = tables["tbl_shipmentheader"].select("pk_orderno", "housebill")
-    w = shipment_weights(tables["tbl_shipmentdesc"])
+    e = header.select("pk_orderno", "housebill")
+    w = shipment_weights(shipdesc)
     ew = e.join(w, e["pk_orderno"] == w["fk_orderno"], "left").drop("fk_orderno")
 
     j = (a.join(c, (a["fk_orderno"] == c["c_order"]) & (a["fk_seqno"] == c["c_seq"]))
@@ -80,7 +106,8 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
 
 
 def wt_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
-            latest_strategy: str = "max_join", ordered: bool = False) -> DataFrame:
+            latest_strategy: str = "max_join", ordered: bool = False,
+            reduce_history: bool | None = None) -> DataFrame:
     """WT query result (P1): the distinct rows without ``file_nbr`` (two
     orders identical in everything else give two rows), chargeable weight
     raised to the actual weight, date cast to a date.
@@ -88,7 +115,7 @@ def wt_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
     ``ordered=True`` adds the source's ``ORDER BY date``; it costs a range
     shuffle and only matters for a single-file export.
     """
-    rows = wt_rows(tables, window, latest_strategy)
+    rows = wt_rows(tables, window, latest_strategy, reduce_history)
     out = rows.select(
         "mawb", "hawb", F.to_date("flight_ts").alias("date"), "origin", "destination",
         "flight_number", "actual_weight",
