@@ -376,12 +376,12 @@ def oracle_queries() -> dict[str, str]:
                round({tot}, {MONEY_DP}) AS total_cost_to_carrier
         FROM ({O.costs_by_mawb_sql()}) x
         WHERE {tot} > 0"""
-    wt45 = O.wt_query(s45)
-    cw45 = O.cw_query(s45)
+    wt45 = O.wt_feed_sql(s45)
+    cw45 = O.cw_feed_sql(s45)
     # CSV text: decimals keep their scale; NULL and '' are both read back as NULL
     roundtrip = ", ".join(
         f'nullif(CAST("{label}" AS VARCHAR), \'\') AS "{label}"' for label, _ in WT_MAWB_OBSERVED)
-    wt45_text = O.wt_query(s45, as_double=False)
+    wt45_text = O.wt_feed_sql(s45, as_double=False)
     return {
         "latest_by_sequence": _wt(latest),
         "latest_by_sequence_rank": _wt(latest),
@@ -405,12 +405,12 @@ def oracle_queries() -> dict[str, str]:
         "wt_feed": _wt(wt45),
         "wt_feed_rank": _wt(wt45),
         "wt_feed_history_cut": _wt(wt45),
-        "wt_feed_full_history": _wt(O.wt_query(HISTORY_START)),
+        "wt_feed_full_history": _wt(O.wt_feed_sql(HISTORY_START)),
         "wt_mawb_feed": _wt(_labels(WT_MAWB_OBSERVED, wt45)),
         "wt_mawb_feed_declared": _wt(_labels(WT_MAWB_DECLARED, wt45)),
         "wt_hawb_feed": _wt(_labels(HAWB_LABELS, wt45)),
         "cw_feed": _cw(cw45),
-        "cw_feed_full_history": _cw(O.cw_query(HISTORY_START)),
+        "cw_feed_full_history": _cw(O.cw_feed_sql(HISTORY_START)),
         "cw_feed_history_cut": _cw(cw45),
         "cw_mawb_feed": _cw(_labels(CW_MAWB_LABELS, cw45)),
         "cw_hawb_feed": _cw(_labels(HAWB_LABELS, cw45, {"hawb"})),
