@@ -2,9 +2,9 @@
 
 Feeds run in that order and the run stops at the first failure; feeds
 written before the failure stay written. The WT result feeds two exports,
-so it is materialised once as a checkpoint in the cluster's shared
-checkpoint folder (``spark.checkpoint.dir``): both exports read the stored
-rows, and a lost executor does not force the WT joins to run again.
+so it is written once as a table in the cluster's shared checkpoint folder
+(``spark.checkpoint.dir``, ``operators.stage``): both exports read the
+stored rows, and a lost executor does not force the WT joins to run again.
 
 Usage::
 
@@ -27,7 +27,8 @@ from .params import FeedParams, parse_date
 from .plans.cw import cw_feed
 from .plans.feeds import cw_hawb_feed, cw_mawb_feed, wt_hawb_feed, wt_mawb_feed
 from .plans.wt import wt_feed
-from .session import build_session, checkpoint_dir
+from .operators.stage import stage
+from .session import build_session
 from .sinks.csv import export_feed
 from .sources.tables import read_family
 
@@ -53,8 +54,7 @@ def run_feeds(spark: SparkSession, wt_tables: Mapping[str, DataFrame] | None,
 
         def wt_rows() -> DataFrame:
             if "wt" not in state:
-                checkpoint_dir(spark)
-                state["wt"] = wt_feed(wt_tables, params.wt_window).checkpoint(eager=True)
+                state["wt"] = stage(wt_feed(wt_tables, params.wt_window), "wt_feed")
             return state["wt"]
 
         steps.append(("mawb", lambda: wt_mawb_feed(wt_rows(), wt_header)))
@@ -66,8 +66,7 @@ def run_feeds(spark: SparkSession, wt_tables: Mapping[str, DataFrame] | None,
             if "cw" not in cw_state:
                 cw = cw_feed(cw_tables, params.cw_window)
                 if cw_hawb:
-                    checkpoint_dir(spark)
-                    cw = cw.checkpoint(eager=True)
+                    cw = stage(cw, "cw_feed")
                 cw_state["cw"] = cw
             return cw_state["cw"]
 
@@ -75,14 +74,17 @@ def run_feeds(spark: SparkSession, wt_tables: Mapping[str, DataFrame] | None,
         if cw_hawb:
             steps.append(("cwhawb", lambda: cw_hawb_feed(cw_rows())))
 
-    for feed, build in steps:
-        try:
-            result.written[feed] = export_feed(build(), feed, params.as_of, out_root)
-            log.info("feed %s written to %s", feed, result.written[feed])
-        except Exception as exc:  # noqa: BLE001 - report and stop, as the source job did
-            log.error("feed %s failed: %s", feed, exc)
-            result.ok, result.failed, result.error = False, feed, str(exc)
-            break
+    try:
+        for feed, build in steps:
+            try:
+                result.written[feed] = export_feed(build(), feed, params.as_of, out_root)
+                log.info("feed %s written to %s", feed, result.written[feed])
+            except Exception as exc:  # noqa: BLE001 - report and stop, as the source job did
+                log.error("feed %s failed: %s", feed, exc)
+                result.ok, result.failed, result.error = False, feed, str(exc)
+                break
+    finally:
+        spark.catalog.clearCache()  # window sets persisted by the small-input plans
     return result
 
 

@@ -142,3 +142,57 @@ def test_consol_weights_leg_fan_out_and_filters(spark):
     m, o, d, a, c, v = got[0]
     assert (m, o, d, a, c) == ("00000000001", "AAA", "BBB", act, chg)
     assert v == vol
+
+
+def test_charge_costs_every_fx_branch(spark):
+    from cargofeed.operators import charge_costs, costs_by_shipment
+    from cargofeed.operators.costs import RATE_COMPANY
+    d = dt.datetime
+    t = {
+        "jobshipment": [("s1", "KG", D("1"), D("1"), "M3", D("1"), d(2001, 1, 10, 8)),
+                        ("s2", "KG", D("1"), D("1"), "M3", D("1"), d(2001, 2, 1))],
+        "jobheader": [("h0", "s1", "0", "b", d(2001, 1, 1)), ("h1", "s1", "1", "b", d(2001, 1, 1)),
+                      ("h2", "s2", "0", "b", d(2001, 1, 1))],
+        "glbcompany": [("0", "EUR"), ("1", "USD")],
+        "jobcharge": [
+            ("h1", "1", "AP1", "AR1", D("100")),   # USD company: as is -> security 100
+            ("h0", "0", "AP2", "AR2", D("200")),   # not posted, two EUR rates that day -> fuel 160 + 80
+            ("h2", "0", "AP3", "AR3", D("300")),   # no payable header, no rate that day -> NULL
+            ("h0", "0", "AP4", "AR4", D("999")),   # posted, receivable invoice day has a rate -> 80 / 2
+            ("h0", "0", "AP5", "AR5", D("999")),   # posted, receivable without header, payable
+                                                   # invoice day has no rate -> 80 / 1
+            ("h0", "0", "AP6", "AR6", D("999")),   # line type outside CST/ACR -> dropped
+            ("h0", "0", "AP7", "AR7", D("999"))],  # unlisted charge code -> dropped
+        "acctransactionlines": [
+            ("AP1", "1", "HAP1", "PSEC", "CST", D("-10")), ("AP2", "0", "HAP2", "PFSC", "ACR", D("-10")),
+            ("AP3", "0", "NOHDR", "PSEC", "CST", D("-10")), ("AP4", "0", "HAP4", "PFRT", "CST", D("-80")),
+            ("AP5", "0", "HAP5", "PFRT", "CST", D("-80")), ("AP6", "0", "HAP6", "PFRT", "REV", D("-80")),
+            ("AP7", "0", "HAP7", "PMISC", "CST", D("-80")),
+            ("AR4", "0", "HAR4", "PFRT", "REV", D("80")), ("AR5", "0", "NOHDR", "PFRT", "REV", D("80"))],
+        "acctransactionheader": [
+            ("HAP1", "1", None, "USD", d(2001, 1, 10)), ("HAP2", "0", None, "GBP", d(2001, 1, 10)),
+            ("HAP4", "0", d(2001, 3, 1), "GBP", d(2001, 3, 4)),
+            ("HAP5", "0", d(2001, 3, 1), "GBP", d(2001, 3, 6)),
+            ("HAP6", "0", d(2001, 3, 1), "GBP", d(2001, 3, 6)),
+            ("HAP7", "0", d(2001, 3, 1), "GBP", d(2001, 3, 6)),
+            ("HAR4", "0", d(2001, 3, 2), "GBP", d(2001, 3, 5, 23))],
+        "accchargecode": [("PSEC", "0", "SEC"), ("PSEC", "1", "SEC"), ("PFSC", "0", "FSC"),
+                          ("PFRT", "0", "FRT"), ("PMISC", "0", "MISC")],
+        "glbbranch": [("b", "0"), ("b", "1")],
+        "refexchangerate": [
+            ("EUR", d(2001, 1, 10, 6), RATE_COMPANY, "BUY", D("1.25")),
+            ("EUR", d(2001, 1, 10, 9), RATE_COMPANY, "BUY", D("2.5")),
+            ("EUR", d(2001, 1, 10), RATE_COMPANY, "SELL", D("4")),       # other type: ignored
+            ("EUR", d(2001, 1, 10), "OTHER", "BUY", D("4")),             # other company: ignored
+            ("GBP", d(2001, 3, 5, 1), RATE_COMPANY, "BUY", D("2")),      # receivable invoice day
+            ("GBP", d(2001, 3, 4), RATE_COMPANY, "BUY", D("4"))],        # payable invoice day: unused
+    }
+    tables = {n: spark.createDataFrame(v, CW_SCHEMAS[n]) for n, v in t.items()}
+    for reduce_history in (False, True):
+        charges = charge_costs(tables, tables["jobshipment"], reduce_history=reduce_history)
+        got = {r.js_pk: (r.total_security_surcharge, r.total_fuel_surcharge, r.airlines_rate)
+               for r in costs_by_shipment(charges).collect()}
+        # The two same-day EUR rates fan out every EUR charge row of s1 through the
+        # PRE join, posted ones included (source join semantics): fuel 160 + 80,
+        # freight 2 x (40 + 80). The USD company has no USD rate rows: 100 once.
+        assert got == {"s1": (D("100"), D("240"), D("240")), "s2": (None, None, None)}, (reduce_history, got)
