@@ -11,8 +11,9 @@ from ..functions.validity import valid_mawb
 from ..functions.weights import actual_weight_cw, chargeable_weight_cw, to_m3
 from ..params import LoadWindow
 from .flights import air_legs_per_consol
-from .joins import broadcast_if_bounded, restrict_to_keys
+from .joins import broadcast_if_bounded, cut_to_keys, restrict_to_keys
 from .select import first_by_time
+from .stage import is_large
 from .window import load_window
 
 # Fixed values that must equal the source job's: output units of the CW feed.
@@ -21,14 +22,21 @@ VOLUME_UNIT_M3 = "M3"
 SUMMED_WEIGHT = "decimal(25,2)"
 
 
-def first_job_headers(jobheader: DataFrame, parents: DataFrame | None = None) -> DataFrame:
+def first_job_headers(jobheader: DataFrame, parents: DataFrame | None = None,
+                      broadcast_cut: bool = False) -> DataFrame:
     """One job header per shipment: the earliest created, then lowest
     company, then lowest key (M2). ``parents`` (a one-column frame of
     shipment keys) restricts the headers looked at, without changing the
-    choice for those parents."""
+    choice for those parents. ``broadcast_cut`` filters the header history
+    inside its scan against the broadcast parent keys when their row bound
+    is proven (``cut_to_keys``), instead of a shuffled semi join."""
     jh = jobheader.select("jh_pk", "jh_parentid", "jh_gc", "jh_systemcreatetimeutc")
     if parents is not None:
-        jh = restrict_to_keys(jh, parents, "jh_parentid", parents.columns[0])
+        cut = False
+        if broadcast_cut:
+            jh, cut = cut_to_keys(jh, parents, ["jh_parentid"], [parents.columns[0]])
+        if not cut:
+            jh = restrict_to_keys(jh, parents, "jh_parentid", parents.columns[0])
     return first_by_time(jh, "jh_parentid", "jh_systemcreatetimeutc", ["jh_gc", "jh_pk"])
 
 
@@ -53,7 +61,9 @@ def consol_weights(tables: Mapping[str, DataFrame], window: LoadWindow) -> DataF
     ship = load_window(tables["jobshipment"], "js_systemcreatetimeutc", window).select(
         "js_pk", "js_unitofweight", "js_actualweight", "js_actualchargeable",
         "js_unitofvolume", "js_actualvolume")
-    heads = first_job_headers(tables["jobheader"], ship.select("js_pk"))
+    # large header history: cut it to the window's shipments inside the scan
+    heads = first_job_headers(tables["jobheader"], ship.select("js_pk"),
+                              broadcast_cut=is_large(tables["jobheader"]))
     company = broadcast_if_bounded(tables["glbcompany"].select("gc_pk"))
     heads = heads.join(company, heads["jh_gc"] == company["gc_pk"]).select("jh_parentid")
     consol = valid_consols(tables["jobconsol"]).select(

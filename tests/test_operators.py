@@ -196,3 +196,16 @@ def test_charge_costs_every_fx_branch(spark):
         # PRE join, posted ones included (source join semantics): fuel 160 + 80,
         # freight 2 x (40 + 80). The USD company has no USD rate rows: 100 once.
         assert got == {"s1": (D("100"), D("240"), D("240")), "s2": (None, None, None)}, (reduce_history, got)
+
+
+def test_first_job_headers_cut_paths_agree(spark):
+    from cargofeed.operators import first_job_headers
+    t1, t2 = dt.datetime(2001, 1, 1), dt.datetime(2001, 1, 2)
+    jh = spark.createDataFrame(
+        [("h1", "s1", "1", "b", t2), ("h2", "s1", "0", "b", t1), ("h3", "s2", "0", "b", t1),
+         ("h4", "s3", "0", "b", t1)], CW_SCHEMAS["jobheader"])
+    parents = spark.createDataFrame([("s1",), ("s2",)], "js_pk string")
+    shuffled = first_job_headers(jh, parents)
+    cut = first_job_headers(jh, parents, broadcast_cut=True)
+    assert rows(shuffled, "jh_parentid", "jh_pk") == rows(cut, "jh_parentid", "jh_pk") == \
+        [("s1", "h2"), ("s2", "h3")]
