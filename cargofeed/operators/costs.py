@@ -167,5 +167,7 @@ def total_cost(df: DataFrame, cols: Sequence[str] = tuple(COST_CATEGORIES),
     positive total (M9)."""
     filled = df.select(*[F.coalesce(F.col(c), F.lit(0)).cast(COST_SUM).alias(c)
                          if c in cols else F.col(c) for c in df.columns])
-    total = sum((F.col(c) for c in cols[1:]), F.col(cols[0])).cast(COST_SUM)
+    # add with two digits of headroom, so Spark keeps all 12 decimals
+    addends = [F.col(c).cast("decimal(36,12)") for c in cols]
+    total = sum(addends[1:], addends[0]).cast(COST_SUM)
     return filled.withColumn(out, total).filter(F.col(out) > 0)

@@ -16,14 +16,30 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .stage import estimated_bytes
+
 # Upper bound on rows for a hinted broadcast of a narrow dimension table.
 # Narrow = a handful of short columns (company, charge code, branch, rates):
 # 2M rows of that width stay well under 256 MB on every executor.
 DIMENSION_MAX_ROWS = 2_000_000
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded job)."""
+# Inputs estimated above this are rejected without a counting job: the
+# bounded count (a local limit per partition feeding one task) is only run
+# where that single task's input is itself small.
+COUNT_CHECK_MAX_BYTES = 1 << 30
+
+
+def has_at_most(df: DataFrame, max_rows: int,
+                max_scan_bytes: int = COUNT_CHECK_MAX_BYTES) -> bool:
+    """True when ``df`` provably has at most ``max_rows`` rows.
+
+    A planner estimate above ``max_scan_bytes`` answers False at once (the
+    estimate only decides whether to look, it never proves a bound);
+    otherwise a bounded job counts at most ``max_rows + 1`` rows.
+    """
+    if estimated_bytes(df) > max_scan_bytes:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 
@@ -44,10 +60,15 @@ def broadcast_all_if_bounded(dfs: Sequence[DataFrame],
     """
     if not dfs:
         return []
-    tagged = [d.limit(max_rows + 1).select(F.lit(i).alias("__side")) for i, d in enumerate(dfs)]
+    small = [estimated_bytes(d) <= COUNT_CHECK_MAX_BYTES for d in dfs]
+    tagged = [d.limit(max_rows + 1).select(F.lit(i).alias("__side"))
+              for i, d in enumerate(dfs) if small[i]]
+    if not tagged:
+        return list(dfs)
     union = reduce(lambda a, b: a.unionByName(b), tagged)
     counts = {r["__side"]: r["n"] for r in union.groupBy("__side").agg(F.count("*").alias("n")).collect()}
-    return [F.broadcast(d) if counts.get(i, 0) <= max_rows else d for i, d in enumerate(dfs)]
+    return [F.broadcast(d) if small[i] and counts.get(i, 0) <= max_rows else d
+            for i, d in enumerate(dfs)]
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
