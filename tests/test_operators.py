@@ -209,3 +209,12 @@ def test_first_job_headers_cut_paths_agree(spark):
     cut = first_job_headers(jh, parents, broadcast_cut=True)
     assert rows(shuffled, "jh_parentid", "jh_pk") == rows(cut, "jh_parentid", "jh_pk") == \
         [("s1", "h2"), ("s2", "h3")]
+
+
+def test_size_check_rejects_large_estimates_without_counting(spark):
+    from cargofeed.operators import has_at_most
+    df = spark.range(5)
+    assert has_at_most(df, 10)
+    assert not has_at_most(df, 3)
+    # an estimate above the scan bound answers False before any job runs
+    assert not has_at_most(df, 10, max_scan_bytes=1)
