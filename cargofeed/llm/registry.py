@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, langid, packing, token_count
+import corpus_pipeline
+
+from . import ann, bpe, chat, exact_dedup, html_extract, langid, near_dedup, packing, suffix_dedup, token_count
 from .common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +33,15 @@ def queries() -> dict[str, Query]:
         "op2_exact_dedup": _on("documents", exact_dedup.exact_dedup),
         "op3_token_counts": _on("documents", token_count.token_counts),
         "op4_bpe": _on("documents", bpe.token_digests),
+        "op5_nearest": _on("embeddings", ann.nearest),
         "op6_packing": _on("documents", packing.pack_documents),
+        "op7_html_extract": _on("pages", html_extract.extract),
+        "op8_near_dedup": _on("documents", near_dedup.near_duplicates),
         "op9_chat_format": _chat,
+        "op10_suffix_dedup": _on("documents", suffix_dedup.repeated_spans),
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op8_near_dedup": near_dedup.ORACLE_SQL}
