@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
 
 #: Members of a group that one task compares with each other.
-BLOCK = 1024
+BLOCK = 4096
 #: Weight (for sets: elements) of a block.
 BLOCK_WEIGHT = 4_000_000
 #: Members of a large group, drawn by hash, that all of its blocks share.
@@ -28,18 +28,18 @@ def components(edges: DataFrame) -> DataFrame:
     and the rounds grow with the logarithm of the longest path.
     """
     e = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    before = None
+    before, around = None, Window.partitionBy("u")
     while True:
         mark = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if mark == before or mark["n"] == 0:
             break
         before = mark
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        large = (both.withColumn("m", F.least(F.min("v").over(around), "u")).filter("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
+        low = large.withColumn("m", F.min("v").over(around))
+        small = low.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
+        small = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct()
         e = stage(small, "stars")
     return (e.select(F.col("u").alias("id"), F.col("v").alias("component"))
             .unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()))

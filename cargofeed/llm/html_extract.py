@@ -9,7 +9,7 @@ what lies between their tokens are slots. The slot region with the most text,
 template text left out, is the host's main container.
 
 The main text of a page are its blocks inside ``article`` or ``main``, or else
-inside the host's main container, without those that stand in navigation,
+inside the main container of a host with enough pages, without those that stand in navigation,
 headers, footers, asides, forms, adverts, notices, comment threads and the like,
 and without texts of the template.
 
@@ -211,7 +211,7 @@ def templates(pages: DataFrame) -> DataFrame:
     listed = template.groupBy("host").agg(F.collect_set("token").alias("template"))
     # slots: texts of no valid class; the container with most of their text
     slots = tokens.join(template.select("host", "token"), ["host", "token"], "left_anti").filter("chars > 0")
-    main = (slots.groupBy("host", "path").agg(F.sum("chars").alias("chars"))
+    main = (slots.filter(F.col("pages") >= MIN_PAGES).groupBy("host", "path").agg(F.sum("chars").alias("chars"))
             .groupBy("host").agg(F.max_by("path", F.struct("chars", "path")).alias("main")))
     return hosts.select("host").join(listed, "host", "left").join(main, "host", "left")
 

@@ -175,36 +175,48 @@ def sketch_links(ids, n, payload, bounds, comps, side):
                     a, b = ids[x[ok]], ids[y[ok]]
                     out.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        if b - a > 12 or (side is not None and b - a > 1):
-            out.update(_forest(ids[a:b], n[a:b], words[a:b], None, comps[a:b] if side is not None else None,
-                               side[a:b] if side is not None else None))
+        if side is not None and b - a > 1:
+            out.update(_across(ids[a:b], n[a:b], words[a:b], None, comps[a:b], side[a:b]))
+        elif b - a > 12:
+            out.update(_within(ids[a:b], n[a:b], words[a:b], None))
     return out
 
 
-def _forest(ids, n, words, sets, comps, side):
-    """Spanning forest of one block's links; sets None: the sketch decides, else the full sets do."""
-    rows = np.arange(len(ids)) if side is None else np.flatnonzero(side == 1)
-    cols = np.arange(len(ids)) if side is None else np.flatnonzero(side == 0)
-    if comps is not None:
-        _, node = np.unique(comps, return_inverse=True)
-    else:
-        node = np.arange(len(ids))
+def _within(ids, n, words, sets):
+    """Spanning forest of one block's links; sets None: the sketch decides, else the full sets do.
+
+    From each member reached, only those not reached yet are compared.
+    """
+    rest, out = np.arange(len(ids)), []
+    while len(rest) > 1:
+        queue, rest = [int(rest[0])], rest[1:]
+        while queue and len(rest):
+            x = queue.pop()
+            near = (np.bitwise_count(words[rest] ^ words[x]).sum(axis=1, dtype=np.uint16) <= MAX_XOR) & _may_link(n[rest], n[x])
+            if sets is not None:
+                hit = np.flatnonzero(near)
+                near[hit] = [_linked(sets[x], sets[y]) for y in rest[hit].tolist()]
+            found = rest[near].tolist()
+            rest = rest[~near]
+            queue += found
+            out += [(min(int(ids[x]), int(ids[y])), max(int(ids[x]), int(ids[y]))) for y in found if ids[x] != ids[y]]
+    return out
+
+
+def _across(ids, n, words, sets, comps, side):
+    """Links of rows of side 1 with the others that join different components."""
+    rows, cols = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+    _, node = np.unique(comps, return_inverse=True)
     forest, out = Forest(int(node.max()) + 1), []
     counts = _xor_counts(words[rows], words[cols])
     ok = (counts <= MAX_XOR) & _may_link(n[rows][:, None], n[cols][None, :]) & (node[rows][:, None] != node[cols][None, :])
-    if side is None:
-        ok &= rows[:, None] < cols[None, :]
     i, j = np.nonzero(ok)
     order = np.argsort(counts[i, j], kind="stable")  # the most similar first
     for x, y in zip(rows[i[order]].tolist(), cols[j[order]].tolist(), strict=True):
-        if forest.left == 1:
-            break
         p, q = node[x], node[y]
         if forest.find(p) != forest.find(q) and (sets is None or _linked(sets[x], sets[y])):
             forest.join(p, q)
-            a, b = int(ids[x]), int(ids[y])
-            if a != b:
-                out.append((min(a, b), max(a, b)))
+            out.append((min(int(ids[x]), int(ids[y])), max(int(ids[x]), int(ids[y]))))
     return out
 
 
@@ -222,9 +234,10 @@ def exact_links(ids, n, payload, bounds, comps, side):
     sets = [np.frombuffer(p, np.uint64)[BITS // 64:] for p in payload]
     out = set()
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        if b - a > 1:
-            out.update(_forest(ids[a:b], n[a:b], words[a:b], sets[a:b], comps[a:b] if side is not None else None,
-                               side[a:b] if side is not None else None))
+        if side is not None and b - a > 1:
+            out.update(_across(ids[a:b], n[a:b], words[a:b], sets[a:b], comps[a:b], side[a:b]))
+        elif b - a > 1:
+            out.update(_within(ids[a:b], n[a:b], words[a:b], sets[a:b]))
     return out
 
 
