@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from .common import id_text, map_batches
 
 #: Words kept per worker: encoded ids and labels of about 100 bytes each.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 WORD_END = "</w>"
 #: Texts below this code point take the fast split.
 LATIN = 0x250
@@ -114,13 +114,11 @@ class TokenAutomaton:
     def _arc(self, state: int, x: int) -> bool:
         """Whether ``state`` has an arc ``x``. A removed arc ``y`` also lacks every
         token that was made later from ``y`` on the left."""
-        removed = self.removed[state]
-        if not removed:
-            return True
+        removed = None if self.removed is None else self.removed[state]
         later = 1 << 60
-        while x >= 0:
-            at = removed.get(x)
-            if at is not None and at <= later:  # equal: the merge of a token with itself
+        while x >= 0 and state:
+            at = self._gone.one(state << 20 | x) if removed is None else removed.get(x, -1)
+            if 0 <= at <= later:  # equal: the merge of a token with itself
                 return False
             later, x = self.born[x], self.left[x]
         return True
@@ -188,6 +186,7 @@ class TokenAutomaton:
         keys = (np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) << 20
                 | np.fromiter((t for d in self.removed for t in d), np.int64, sum(sizes)))
         self._gone = _Hash(keys, np.fromiter((k for d in self.removed for k in d.values()), np.int32, sum(sizes)))
+        self.removed = None  # the table has it all, in a third of the memory
         self._token, self._lead = np.array(self.token, np.int32), np.array(self.state, np.int64)
         self._born, self._left = np.array(self.born, np.int64), np.array(self.left, np.int64)
         self._width = np.array(self.width, np.int64)
@@ -275,6 +274,14 @@ class _Hash:
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
 
+    def one(self, key: int) -> int:
+        slot = ((key * 0x9E3779B97F4A7C15) & ((1 << 64) - 1)) >> int(self.shift)
+        while (found := int(self.keys[slot])) >= 0:
+            if found == key:
+                return int(self.values[slot])
+            slot = (slot + 1) & self.mask
+        return -1
+
     def get(self, keys: np.ndarray) -> np.ndarray:
         slot = self._slot(keys)
         found = self.keys[slot]
@@ -346,6 +353,7 @@ class Encoder:
             spec = json.load(f)
         model = spec["model"]
         self.automaton = TokenAutomaton(model["vocab"], [tuple(m) for m in model["merges"]], model["end_of_word_suffix"])
+        self.automaton.tables()
         self.label = {i: s for s, i in model["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.label.update({i: s for s, i in self.special.items()})

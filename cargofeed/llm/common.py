@@ -13,8 +13,8 @@ from ..session import checkpoint_dir
 
 #: Rows and bytes of one Arrow batch sent to a Python worker: whole texts, some very
 #: long, have to fit a worker's memory several times over.
-BATCH_ROWS = 2000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 #: A set of ids is broadcast up to this many rows (8 bytes each), counted first.
 BROADCAST_IDS = 500_000
