@@ -7,7 +7,6 @@ Layout
 ``operators``  DataFrame -> DataFrame domain operators (selection, rollups, costs)
 ``plans``      the composed WT and CW feed plans and the feed projections
 ``sinks``      CSV feed export
-``streaming``  (empty by design: the feeds are a daily batch)
 ``bindings``   freight-shaped views over the shared TPC-H-like test tables
 """
 

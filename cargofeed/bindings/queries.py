@@ -290,63 +290,33 @@ def oracle_queries() -> dict[str, str]:
 
     s45 = WINDOW_45.start
     latest = f"""
-        SELECT a.fk_orderno, a.fk_seqno, a.pk_airwaybillno, a.flightno1,
-               strftime(a.flightdatetime1, {O.TS_FMT}) AS flight_time
-        FROM tbl_airwaybill a
-        JOIN (SELECT fk_orderno, max(fk_seqno) AS fk_seqno FROM tbl_airwaybill GROUP BY fk_orderno) b
-          ON a.fk_orderno = b.fk_orderno AND a.fk_seqno = b.fk_seqno"""
+        SELECT fk_orderno, fk_seqno, pk_airwaybillno, flightno1,
+               strftime(flightdatetime1, {O.TS_FMT}) AS flight_time
+        FROM ({O.NEWEST})"""
     first = f"""
         SELECT jh_pk, jh_parentid, jh_gc, strftime(jh_systemcreatetimeutc, {O.TS_FMT}) AS created
-        FROM (SELECT a.*, ROW_NUMBER() OVER (PARTITION BY a.jh_parentid
-                                             ORDER BY a.jh_gc ASC NULLS LAST, a.jh_pk ASC NULLS LAST) AS rank1
-              FROM jobheader a
-              JOIN (SELECT jh_parentid, min(jh_systemcreatetimeutc) AS t FROM jobheader
-                    GROUP BY jh_parentid) b
-                ON a.jh_parentid = b.jh_parentid AND a.jh_systemcreatetimeutc = b.t) x
-        WHERE rank1 = 1"""
-    rollup = """
-        SELECT DISTINCT fk_airwaybillno,
-          CAST(sum(grossweight) OVER (PARTITION BY fk_airwaybillno) AS DOUBLE) AS d_actual,
-          CAST(sum(chargeableweight) OVER (PARTITION BY fk_airwaybillno) AS DOUBLE) AS d_chargeable,
-          CAST(sum(total) OVER (PARTITION BY fk_airwaybillno) AS DOUBLE) AS d_total,
-          lb_kg AS d_unit
-        FROM tbl_airwaybilldesc WHERE lb_kg <> ''"""
-    ship_w = """
-        SELECT e.pk_orderno, e.housebill,
-               CAST(w.w_lbs AS DOUBLE) AS w_lbs, CAST(w.w_kgs AS DOUBLE) AS w_kgs,
-               CAST(w.w_dim_lbs AS DOUBLE) AS w_dim_lbs, CAST(w.w_dim_kgs AS DOUBLE) AS w_dim_kgs
-        FROM tbl_shipmentheader e
-        LEFT JOIN (SELECT fk_orderno, sum(weight) AS w_lbs, sum(weightkilo) AS w_kgs,
-                          sum(dimweight) AS w_dim_lbs, sum(dimweightkilo) AS w_dim_kgs
-                   FROM tbl_shipmentdesc GROUP BY fk_orderno) w ON e.pk_orderno = w.fk_orderno"""
+        FROM ({O.FIRST_HEADERS})"""
+    rollup = f"""
+        SELECT fk_airwaybillno, CAST(gross AS DOUBLE) AS d_actual, CAST(billed AS DOUBLE) AS d_chargeable,
+               CAST(money AS DOUBLE) AS d_total, unit AS d_unit
+        FROM ({O.DETAIL})"""
+    ship_w = f"""
+        SELECT pk_orderno, housebill, CAST(lbs AS DOUBLE) AS w_lbs, CAST(kgs AS DOUBLE) AS w_kgs,
+               CAST(dim_lbs AS DOUBLE) AS w_dim_lbs, CAST(dim_kgs AS DOUBLE) AS w_dim_kgs
+        FROM ({O.ORDER_WEIGHTS})"""
+    typed = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in O.MEASURES_WT)
     wt_inner_typed = f"""
-        SELECT file_nbr, hawb, mawb, strftime(flight_ts, {O.TS_FMT}) AS flight_ts, origin,
-               destination, flight_number, CAST(actual_weight AS DOUBLE) AS actual_weight,
-               CAST(chargeable_weight AS DOUBLE) AS chargeable_weight, weight_unit, volume,
-               volume_unit, currency, CAST(airline_rate AS DOUBLE) AS airline_rate,
-               CAST(total_cost_to_airline AS DOUBLE) AS total_cost_to_airline,
-               total_fuel_surcharge, total_security_surcharge
-        FROM ({O.wt_inner(HISTORY_START)}) r"""
-    kg = ("CASE WHEN js_unitofweight = 'KG' THEN {c} "
-          "WHEN js_unitofweight = 'LB' THEN {c} * 0.453592 END")
-    act, chg = kg.format(c="js_actualweight"), kg.format(c="js_actualchargeable")
+        SELECT * REPLACE ({typed}, strftime(flight_ts, {O.TS_FMT}) AS flight_ts)
+        FROM ({O.wt_rows(HISTORY_START)})"""
     unit_norm = f"""
-        SELECT js_pk, js_unitofweight, js_unitofvolume,
-               CAST(CAST({act} AS DECIMAL(15,2)) AS DOUBLE) AS actual_kg,
-               CAST(CASE WHEN js_unitofvolume = 'CF' THEN js_actualvolume * 0.0283168
-                         ELSE js_actualvolume END AS DOUBLE) AS volume_m3
-        FROM jobshipment"""
-    chg_cw = f"""
-        SELECT js_pk, CAST(CAST(CASE WHEN ({chg}) < ({act}) THEN ({act}) ELSE ({chg}) END
-                               AS DECIMAL(15,2)) AS DOUBLE) AS chargeable_kg
+        SELECT js_pk, js_unitofweight, js_unitofvolume, CAST({O.ACTUAL_KG} AS DOUBLE) AS actual_kg,
+               CAST({O.VOLUME_M3} AS DOUBLE) AS volume_m3
         FROM jobshipment"""
+    chg_cw = f"SELECT js_pk, CAST({O.CHARGEABLE_KG} AS DOUBLE) AS chargeable_kg FROM jobshipment"
 
     def consol(start):
-        return f"""
-        SELECT mawb, origin, destination, CAST(actual_wght AS DOUBLE) AS actual_weight,
-               CAST(chrg_wght AS DOUBLE) AS chargeable_weight, weight_unit,
-               CAST(volume AS DOUBLE) AS volume, volume_unit
-        FROM ({O.consol_main(start)}) m"""
+        double = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in ("actual_weight", "chargeable_weight", "volume"))
+        return f"SELECT * REPLACE ({double}) FROM ({O.weights_sql(start)})"
 
     valid_wt = """
         SELECT fk_orderno, seqno, refno FROM tbl_shipmentapar
@@ -358,29 +328,21 @@ def oracle_queries() -> dict[str, str]:
     lw_full = f"""
         SELECT fk_orderno, fk_seqno, pk_airwaybillno FROM tbl_airwaybill
         WHERE CAST(flightdatetime1 AS DATE) >= DATE '{FULL_LOAD_START.isoformat()}'"""
-    flights = f"SELECT mawb1 AS mawb, flt AS flight_number FROM ({O.FLIGHTS}) f"
-    departures = f"SELECT mawb, strftime(atd, {O.TS_FMT}) AS atd FROM ({O.DEPARTURES}) d"
-    fx = f"""
-        SELECT js.js_pk, cc1.ac_code, round(sum({O.CONVERTED}), {MONEY_DP}) AS cost
-        {O.charge_joins(False)}
-        WHERE cc1.ac_code IN ({O._in(sorted({c for v in COST_CATEGORIES.values() for c in v}))})
-          AND c.al_linetype IN ({O._in(["CST", "ACR"])})
-        GROUP BY js.js_pk, cc1.ac_code"""
-    names = list(COST_CATEGORIES)
+    flights = O.FLIGHTS
+    departures = f"SELECT mawb, strftime(atd, {O.TS_FMT}) AS atd FROM ({O.DEPARTURES})"
+    fx = f"SELECT js_pk, ac_code, round(cost, {MONEY_DP}) AS cost FROM ({O.COSTS_BY_SHIPMENT})"
     costs = f"""
-        SELECT mawb, {", ".join(f"round({n}, {MONEY_DP}) AS {n}" for n in names)}
-        FROM ({O.costs_by_mawb_sql()}) x"""
-    tot = " + ".join(f"coalesce({n}, 0)" for n in names)
+        SELECT mawb, {", ".join(f"round({n}, {MONEY_DP}) AS {n}" for n in O.COST_COLUMNS)}
+        FROM ({O.COSTS})"""
     totals = f"""
-        SELECT mawb, {", ".join(f"round(coalesce({n}, 0), {MONEY_DP}) AS {n}" for n in names)},
-               round({tot}, {MONEY_DP}) AS total_cost_to_carrier
-        FROM ({O.costs_by_mawb_sql()}) x
-        WHERE {tot} > 0"""
+        SELECT mawb, {", ".join(f"round(coalesce({n}, 0), {MONEY_DP}) AS {n}" for n in O.COST_COLUMNS)},
+               round({O.TOTAL}, {MONEY_DP}) AS total_cost_to_carrier
+        FROM ({O.COSTS}) WHERE {O.TOTAL} > 0"""
     wt45 = O.wt_feed_sql(s45)
     cw45 = O.cw_feed_sql(s45)
-    # CSV text: decimals keep their scale; NULL and '' are both read back as NULL
+    # CSV text: decimals keep their scale; NULL and '' stay apart
     roundtrip = ", ".join(
-        f'nullif(CAST("{label}" AS VARCHAR), \'\') AS "{label}"' for label, _ in WT_MAWB_OBSERVED)
+        f'CAST("{label}" AS VARCHAR) AS "{label}"' for label, _ in WT_MAWB_OBSERVED)
     wt45_text = O.wt_feed_sql(s45, as_double=False)
     return {
         "latest_by_sequence": _wt(latest),

@@ -13,7 +13,7 @@ from ..params import LoadWindow
 from .flights import air_legs_per_consol
 from .joins import broadcast_if_bounded, cut_to_keys, restrict_to_keys
 from .select import first_by_time
-from .stage import is_large
+from .stage import stage
 from .window import load_window
 
 # Fixed values that must equal the source job's: output units of the CW feed.
@@ -32,10 +32,9 @@ def first_job_headers(jobheader: DataFrame, parents: DataFrame | None = None,
     is proven (``cut_to_keys``), instead of a shuffled semi join."""
     jh = jobheader.select("jh_pk", "jh_parentid", "jh_gc", "jh_systemcreatetimeutc")
     if parents is not None:
-        cut = False
         if broadcast_cut:
-            jh, cut = cut_to_keys(jh, parents, ["jh_parentid"], [parents.columns[0]])
-        if not cut:
+            jh = cut_to_keys(jh, parents, ["jh_parentid"], [parents.columns[0]])
+        else:
             jh = restrict_to_keys(jh, parents, "jh_parentid", parents.columns[0])
     return first_by_time(jh, "jh_parentid", "jh_systemcreatetimeutc", ["jh_gc", "jh_pk"])
 
@@ -61,9 +60,10 @@ def consol_weights(tables: Mapping[str, DataFrame], window: LoadWindow) -> DataF
     ship = load_window(tables["jobshipment"], "js_systemcreatetimeutc", window).select(
         "js_pk", "js_unitofweight", "js_actualweight", "js_actualchargeable",
         "js_unitofvolume", "js_actualvolume")
-    # large header history: cut it to the window's shipments inside the scan
-    heads = first_job_headers(tables["jobheader"], ship.select("js_pk"),
-                              broadcast_cut=is_large(tables["jobheader"]))
+    # the window's shipments are written first, so that what is counted and
+    # cut by is the window and not the planner's estimate of all history
+    ship = stage(ship, "window_shipments")
+    heads = first_job_headers(tables["jobheader"], ship.select("js_pk"), broadcast_cut=True)
     company = broadcast_if_bounded(tables["glbcompany"].select("gc_pk"))
     heads = heads.join(company, heads["jh_gc"] == company["gc_pk"]).select("jh_parentid")
     consol = valid_consols(tables["jobconsol"]).select(

@@ -100,8 +100,8 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
 
     if reduce_history:
         def cut(df, keys, on, key_cols, label=None):
-            out, applied = cut_to_keys(df, keys, on, key_cols)
-            return stage(out, label) if applied and label else out
+            out = cut_to_keys(df, keys, on, key_cols)
+            return stage(out, label) if label else out
 
         jh = cut(jh, ship, ["jh_parentid"], ["js_pk"], "job_headers")
         jr = cut(jr, jh, ["jr_jh", "jr_gc"], ["jh_pk", "jh_gc"], "charges")

@@ -1,9 +1,7 @@
 """Join helpers: size-checked broadcast and key-set restriction.
 
 Broadcasting is only safe for a side whose size is *known*, not estimated.
-``broadcast_if_bounded`` proves a row bound with a short job
-(``limit(n + 1).count()`` stops reading as soon as the bound is exceeded)
-and only then hints a broadcast; beyond the bound the join is left to the
+``broadcast_if_bounded`` counts the side first and only then hints a broadcast; beyond the bound the join is left to the
 shuffle strategies (sort-merge, with AQE skew splitting and AQE's own
 measured broadcast conversion).
 """
@@ -16,31 +14,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .stage import estimated_bytes
-
 # Upper bound on rows for a hinted broadcast of a narrow dimension table.
 # Narrow = a handful of short columns (company, charge code, branch, rates):
 # 2M rows of that width stay well under 256 MB on every executor.
 DIMENSION_MAX_ROWS = 2_000_000
 
 
-# Inputs estimated above this are rejected without a counting job: the
-# bounded count (a local limit per partition feeding one task) is only run
-# where that single task's input is itself small.
-COUNT_CHECK_MAX_BYTES = 1 << 30
-
-
-def has_at_most(df: DataFrame, max_rows: int,
-                max_scan_bytes: int = COUNT_CHECK_MAX_BYTES) -> bool:
-    """True when ``df`` provably has at most ``max_rows`` rows.
-
-    A planner estimate above ``max_scan_bytes`` answers False at once (the
-    estimate only decides whether to look, it never proves a bound);
-    otherwise a bounded job counts at most ``max_rows + 1`` rows.
-    """
-    if estimated_bytes(df) > max_scan_bytes:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (a plain count: partial
+    counts per task, nothing is funnelled into one)."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
@@ -54,21 +37,14 @@ def broadcast_all_if_bounded(dfs: Sequence[DataFrame],
                              max_rows: int = DIMENSION_MAX_ROWS) -> list[DataFrame]:
     """``broadcast_if_bounded`` for several sides with one bounded job.
 
-    Each side contributes at most ``max_rows + 1`` rows to a single counting
-    job, so proving the bounds of all dimension tables of a plan costs one
-    short job instead of one per table.
+    The sides are counted together, so proving the bounds of all dimension
+    tables of a plan costs one short job instead of one per table.
     """
     if not dfs:
         return []
-    small = [estimated_bytes(d) <= COUNT_CHECK_MAX_BYTES for d in dfs]
-    tagged = [d.limit(max_rows + 1).select(F.lit(i).alias("__side"))
-              for i, d in enumerate(dfs) if small[i]]
-    if not tagged:
-        return list(dfs)
-    union = reduce(lambda a, b: a.unionByName(b), tagged)
-    counts = {r["__side"]: r["n"] for r in union.groupBy("__side").agg(F.count("*").alias("n")).collect()}
-    return [F.broadcast(d) if small[i] and counts.get(i, 0) <= max_rows else d
-            for i, d in enumerate(dfs)]
+    tagged = [d.groupBy().agg(F.lit(i).alias("__side"), F.count(F.lit(1)).alias("n")) for i, d in enumerate(dfs)]
+    counts = {r["__side"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), tagged).collect()}
+    return [F.broadcast(d) if counts[i] <= max_rows else d for i, d in enumerate(dfs)]
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
@@ -87,26 +63,24 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
 
 def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Sequence[str],
                 max_rows: int = DIMENSION_MAX_ROWS,
-                proven: bool | None = None) -> tuple[DataFrame, bool]:
+                proven: bool | None = None) -> DataFrame:
     """Cut a history-wide ``df`` to the rows whose ``on`` columns match
     ``key_cols`` of some row of ``keys`` (a small driving set, e.g. the keys
     of one load window).
 
-    When a bounded job proves ``keys`` has at most ``max_rows`` rows, the
-    cut is a left-semi join against the broadcast key set: ``df`` is
-    filtered inside its scan stage and never shuffled. Otherwise ``df`` is
-    returned unchanged (a shuffled semi join of the whole history would only
-    add work). Returns ``(frame, cut_applied)``. Callers use it only where
-    the following join would drop the non-matching rows anyway, so the
-    result does not depend on whether the cut was applied. ``proven``
-    passes a bound already established for ``keys`` (skips the check).
+    When ``keys`` is counted to have at most ``max_rows`` rows, the cut is a
+    left-semi join against the broadcast key set: ``df`` is filtered inside
+    its scan stage and never shuffled. Otherwise it is a shuffled semi join
+    (with Spark's runtime filters): the history is reduced either way, the
+    count only chooses how. Callers use it only where the following join
+    would drop the non-matching rows anyway. ``proven`` passes a bound
+    already established for ``keys`` (skips the count).
     """
     k = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key_cols)])
-    if not (proven if proven is not None else has_at_most(k, max_rows)):
-        return df, False
-    kb = F.broadcast(k)
-    cond = reduce(lambda a, b: a & b, [df[o] == kb[f"__k{i}"] for i, o in enumerate(on)])
-    return df.join(kb, cond, "left_semi"), True
+    if proven if proven is not None else has_at_most(k, max_rows):
+        k = F.broadcast(k)
+    cond = reduce(lambda a, b: a & b, [df[o] == k[f"__k{i}"] for i, o in enumerate(on)])
+    return df.join(k, cond, "left_semi")
 
 
 NULL_KEY_SPREAD = 512

@@ -23,22 +23,3 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/cargofeed-stage/{uuid.uuid4().hex}/{label}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-# Inputs at least this large (by the planner's size estimate) are worth the
-# extra short jobs of cutting them to a load window's keys and staging the
-# small intermediates; below it a plain shuffle of the whole input is cheaper.
-HISTORY_CUT_MIN_BYTES = 1 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (file sizes for scans).
-
-    Used only to choose between two exact plans, never as a memory bound.
-    """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size if isinstance(size, int) else int(size.toString())
-
-
-def is_large(*dfs: DataFrame, threshold: int = HISTORY_CUT_MIN_BYTES) -> bool:
-    return sum(estimated_bytes(d) for d in dfs) >= threshold

@@ -17,7 +17,7 @@ from ..operators.flights import (air_legs, air_legs_per_consol, earliest_departu
                                  flight_list)
 from ..operators.joins import restrict_to_keys
 from ..params import LoadWindow
-from ..operators.stage import is_large, stage
+from ..operators.stage import stage
 
 # Fixed value that must equal the source job's: the currency of the CW feed.
 CW_CURRENCY = "USD"
@@ -105,7 +105,7 @@ class MawbContext:
 
 
 def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
-            reduce_history: bool | None = None) -> DataFrame:
+            reduce_history: bool = True) -> DataFrame:
     """CW query result (P3), one row per (MAWB, origin, destination).
 
     Rows need a positive total cost, a positive chargeable weight and a
@@ -114,15 +114,11 @@ def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
     DISTINCT is implied: the weights rollup is unique per (MAWB, port pair)
     and every right-hand side is unique per MAWB.
 
-    ``reduce_history`` (default: decided by the estimated size of the
-    charge history) stages the window-driven sets in the shared checkpoint
-    folder and cuts the history-wide charge tables to them before any
-    shuffle; otherwise the small sets are persisted and the history is
-    joined with ordinary shuffles. Both plans give the same rows.
+    ``reduce_history`` (the default, whatever the sizes) stages the
+    window-driven sets in the shared checkpoint folder and cuts the
+    history-wide charge tables to them; ``False`` persists the sets and joins
+    the history with ordinary shuffles (to compare plans). Both give the same rows.
     """
-    if reduce_history is None:
-        reduce_history = is_large(tables["jobcharge"], tables["acctransactionlines"],
-                                  tables["acctransactionheader"], tables["jobheader"])
     # one row per (MAWB, port pair) of the window: small, read by every branch
     main = consol_weights(tables, window)
     main = stage(main, "weights") if reduce_history else main.persist(StorageLevel.MEMORY_AND_DISK)

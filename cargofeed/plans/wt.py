@@ -13,7 +13,7 @@ from ..functions.weights import (actual_weight_wt, carrier_cost_wt,
                                  chargeable_weight_wt_basis, raise_to_actual)
 from ..operators.joins import DIMENSION_MAX_ROWS, cut_to_keys, has_at_most
 from ..operators.rollup import rollup_per_key_and_unit, sum_by_key
-from ..operators.stage import is_large, stage
+from ..operators.stage import stage
 from ..operators.select import latest_by_sequence
 from ..params import LoadWindow
 
@@ -39,19 +39,18 @@ def shipment_weights(shipdesc: DataFrame) -> DataFrame:
 
 
 def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
-            latest_strategy: str = "max_join", reduce_history: bool | None = None) -> DataFrame:
+            latest_strategy: str = "max_join", reduce_history: bool = True) -> DataFrame:
     """The distinct joined rows before the final projection (A5), keyed by
     ``file_nbr`` (the order).
 
     ``reduce_history``: the latest-sequence rows of the window are staged
-    (a written table in the shared checkpoint folder) and, when a bounded
-    job proves them small enough to broadcast, the four history-wide tables
-    are cut to the window's orders and airwaybills inside their scans
-    before any shuffle or rollup. Rollups are per order / per airwaybill
+    (a written table in the shared checkpoint folder) and counted, and the
+    four history-wide tables are cut to the window's orders and airwaybills
+    before any rollup: inside their scans where the keys are few enough to
+    broadcast, else by a shuffled semi join. Rollups are per order / per airwaybill
     and every dropped row could only meet a non-matching join key, so the
     result is the same; the daily job just stops re-aggregating all history.
-    ``None`` (default) decides by size: cut when the history-wide inputs are
-    estimated at ``HISTORY_CUT_MIN_BYTES`` or more.
+    ``False`` leaves the history whole (to compare plans).
     """
     awb = tables["tbl_airwaybill"]
     in_window = F.to_date(F.col("flightdatetime1")) >= F.lit(window.start)
@@ -61,16 +60,14 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
     desc = tables["tbl_airwaybilldesc"]
     header = tables["tbl_shipmentheader"]
     shipdesc = tables["tbl_shipmentdesc"]
-    if reduce_history is None:
-        reduce_history = is_large(apar, desc, shipdesc)
     if reduce_history:
         a = stage(a, "wt_latest")
         small = has_at_most(a, DIMENSION_MAX_ROWS)
-        apar, _ = cut_to_keys(apar, a, ["fk_orderno", "seqno"], ["fk_orderno", "fk_seqno"],
+        apar = cut_to_keys(apar, a, ["fk_orderno", "seqno"], ["fk_orderno", "fk_seqno"],
                               proven=small)
-        desc, _ = cut_to_keys(desc, a, ["fk_airwaybillno"], ["pk_airwaybillno"], proven=small)
-        header, _ = cut_to_keys(header, a, ["pk_orderno"], ["fk_orderno"], proven=small)
-        shipdesc, _ = cut_to_keys(shipdesc, a, ["fk_orderno"], ["fk_orderno"], proven=small)
+        desc = cut_to_keys(desc, a, ["fk_airwaybillno"], ["pk_airwaybillno"], proven=small)
+        header = cut_to_keys(header, a, ["pk_orderno"], ["fk_orderno"], proven=small)
+        shipdesc = cut_to_keys(shipdesc, a, ["fk_orderno"], ["fk_orderno"], proven=small)
     c = apar.select(F.col("fk_orderno").alias("c_order"), F.col("seqno").alias("c_seq"),
                     "refno", F.col("rate").alias("c_rate"), F.col("total").alias("c_total"))
     d = airwaybill_detail(desc)
@@ -107,7 +104,7 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
 
 def wt_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
             latest_strategy: str = "max_join", ordered: bool = False,
-            reduce_history: bool | None = None) -> DataFrame:
+            reduce_history: bool = True) -> DataFrame:
     """WT query result (P1): the distinct rows without ``file_nbr`` (two
     orders identical in everything else give two rows), chargeable weight
     raised to the actual weight, date cast to a date.

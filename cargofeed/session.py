@@ -70,8 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is always
-    used when present. Only when it is unset (local tests) is a fresh
-    temporary folder created.
+    used when present. Only a local master may leave it unset and gets a fresh
+    temporary folder; on a cluster that folder would be another one on every
+    machine, so an unset value raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -81,6 +82,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="cargofeed-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,7 +1,8 @@
 """CSV feed export (M17: K1-K3, S20).
 
 Each feed of a run goes to ``{root}/feed={type}/dt={as_of}/`` as a Spark CSV
-directory: a header row, every field double-quoted, inner quotes doubled.
+directory: a header row, every value double-quoted, inner quotes doubled,
+NULL an empty unquoted field.
 ``mode("overwrite")`` on that path makes a same-day re-run replace the
 earlier output (idempotent), and the file committer makes a task retried
 after a lost executor write its part exactly once.
@@ -10,8 +11,6 @@ Differences from the source's single CSV string, by design:
 
 * the feed is written by all tasks in parallel as part files, each with its
   own header row; nothing passes through the driver or a single task;
-* a NULL is written as ``""`` (quote-all mode), where the source wrote an
-  empty unquoted field;
 * numbers are quoted too; the source quoted the numeric strings its
   database driver returned, so the difference is nil in practice.
 """
@@ -20,7 +19,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators.stage import stage
 
 
 class NoDataError(RuntimeError):
@@ -35,21 +38,47 @@ def export_feed(df: DataFrame, feed: str, as_of: dt.date, root: str,
                 require_rows: bool = True) -> str:
     """Write ``df`` as the ``feed`` CSV of day ``as_of`` under ``root``; return the path.
 
-    Raises ``NoDataError`` (before writing anything) when ``df`` is empty and
-    ``require_rows`` is set. The emptiness check is a limit-1 job.
+    Values are quoted and NULL is an empty unquoted field, so it differs from
+    ``""``. Raises ``NoDataError``
+    (before writing anything) when ``df`` is empty and ``require_rows`` is
+    set; the feed is staged first, so the check does not compute it twice.
     """
+    df = stage(df, f"feed-{feed}")
     if require_rows and df.isEmpty():
         raise NoDataError(f"No data found for feed {feed!r} on {as_of.isoformat()}.")
     path = feed_path(root, feed, as_of)
-    (df.write.mode("overwrite")
-       .option("header", True)
-       .option("quoteAll", True)
-       .option("escape", '"')
-       .csv(path))
+    # Spark's CSV writer quotes either every field, NULL too, or only those
+    # that need it, so the lines are put together here and written as text
+    fields = [F.coalesce(_field(name), F.lit("")) for name in df.columns]
+    lines = df.select(F.concat_ws(",", *fields).alias("value"))
+    header = ",".join(map(_quoted, df.columns))
+    lines.mapInArrow(_with_header(header), "value string").write.mode("overwrite").text(path)
     return path
 
 
+def _with_header(header: str):
+    """Put the header line before each part's rows."""
+    def run(batches):
+        first = True
+        for batch in batches:
+            if first and batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([header], batch.schema.field(0).type)], schema=batch.schema)
+                first = False
+            yield batch
+    return run
+
+
+def _quoted(text: str) -> str:
+    return '"' + text.replace('"', '""') + '"'
+
+
+def _field(name: str):
+    text = F.col(f"`{name}`").cast("string")
+    return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+
 def read_feed(spark, path: str) -> DataFrame:
     """Read a written feed back as strings (for checks and downstream upload)."""
-    return (spark.read.option("header", True).option("escape", '"')
+    # any null marker that no field holds keeps an empty field apart from ""
+    return (spark.read.option("header", True).option("escape", '"').option("nullValue", "\x00").option("multiLine", True)
             .option("inferSchema", False).csv(path))

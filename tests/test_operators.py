@@ -211,10 +211,29 @@ def test_first_job_headers_cut_paths_agree(spark):
         [("s1", "h2"), ("s2", "h3")]
 
 
-def test_size_check_rejects_large_estimates_without_counting(spark):
+def test_size_check_counts(spark):
     from cargofeed.operators import has_at_most
     df = spark.range(5)
     assert has_at_most(df, 10)
     assert not has_at_most(df, 3)
-    # an estimate above the scan bound answers False before any job runs
-    assert not has_at_most(df, 10, max_scan_bytes=1)
+
+
+def test_cut_beyond_the_broadcast_bound_is_a_shuffled_semi_join(spark):
+    from cargofeed.operators.joins import cut_to_keys
+    df = spark.range(100).selectExpr("id % 20 AS k", "id AS v")
+    keys = spark.range(5).selectExpr("id AS key")
+    wide, narrow = cut_to_keys(df, keys, ["k"], ["key"], max_rows=3), cut_to_keys(df, keys, ["k"], ["key"])
+    assert rows(wide) == rows(narrow) and len(rows(wide)) == 25
+    plan = narrow._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    import pytest
+    from types import SimpleNamespace
+    from cargofeed.session import checkpoint_dir
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn",
+                              getConf=lambda: SimpleNamespace(get=lambda key, default: default))
+    session = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(session)
