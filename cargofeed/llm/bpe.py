@@ -38,7 +38,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import id_text, map_batches
+from .common import held, id_text, map_batches
 
 #: Words kept per worker: encoded ids and labels of about 100 bytes each.
 CACHE_WORDS = 300_000
@@ -490,14 +490,9 @@ class Encoder:
         return " ".join(map(self.label.__getitem__, ids))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's compiled automaton of a vocabulary file (its size depends on the file alone)."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def default_vocabulary() -> str:
@@ -519,7 +514,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([d[0] for d in done], pa.binary()), pa.array([d[1] for d in done], pa.string())],
             names=["doc_id", "ids", "decoded"])
-    return map_batches(id_text(docs), run, TOKENS)
+    return map_batches(id_text(docs), run, TOKENS, holds=True)
 
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -538,4 +533,4 @@ def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return map_batches(id_text(docs), run, DIGESTS)
+    return map_batches(id_text(docs), run, DIGESTS, holds=True)

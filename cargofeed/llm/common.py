@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -57,17 +58,47 @@ def without_space(col):
     return col
 
 
+#: Tables that this Python worker holds for an operator (a compiled vocabulary, language models).
+_held: dict = {}
+
+
+def held(key, build: Callable):
+    """The table of ``key``, built once per worker. Workers are reused: what
+    an earlier operator held is dropped first."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = build()
+    return _held[key]
+
+
+def drop_held() -> None:
+    _held.clear()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that an idle worker takes none from the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+    if trim is not None:
+        trim(0)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Iterator[pa.RecordBatch] | None],
-                schema: str) -> DataFrame:
-    """``mapInArrow`` with one call per record batch."""
+                schema: str, holds: bool = False) -> DataFrame:
+    """``mapInArrow`` with one call per record batch. ``holds``: ``fn`` uses ``held`` tables."""
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                out = fn(batch)
-                if isinstance(out, pa.RecordBatch):
-                    yield out
-                elif out is not None:
-                    yield from out
+        if not holds:
+            drop_held()
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    out = fn(batch)
+                    if isinstance(out, pa.RecordBatch):
+                        yield out
+                    elif out is not None:
+                        yield from out
+        finally:
+            give_back()
     return df.mapInArrow(run, schema)
 
 

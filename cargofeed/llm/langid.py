@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import held, map_batches
 
 #: Characters of training text per language, and of one document.
 SAMPLE_CHARS = 60_000
@@ -185,15 +185,8 @@ class CrossParser:
         return lang, score
 
 
-_PARSERS: dict[int, CrossParser] = {}
-
-
 def _parser(samples: dict[str, str]) -> CrossParser:
-    key = hash(tuple(sorted(samples.items())))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(samples)
-    return _PARSERS[key]
+    return held(("langid", hash(tuple(sorted(samples.items())))), lambda: CrossParser(samples))
 
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -211,7 +204,7 @@ def identify(docs: DataFrame, samples: dict[str, str] | None = None) -> DataFram
             names=["doc_id", "held_out", "lang_pred", "score"])
     narrow = docs.select(F.col("doc_id").cast("long"), F.coalesce(held_out(), F.lit(False)).alias("held_out"),
                          F.col("text").cast("string"))
-    return map_batches(narrow, run, PREDICTED)
+    return map_batches(narrow, run, PREDICTED, holds=True)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:

@@ -108,7 +108,7 @@ def pieces(docs: DataFrame, path: str | None = None, width: int = WIDTH, end_id:
                      for at in range(0, len(ids), width)]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
                                           names=[f.split()[0] for f in PIECES.split(", ")])
-    return map_batches(id_text(docs), run, PIECES)
+    return map_batches(id_text(docs), run, PIECES, holds=True)
 
 
 def pack(cut: DataFrame, width: int = WIDTH) -> DataFrame:

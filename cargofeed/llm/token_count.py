@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .bpe import CACHE_WORDS, byte_symbols, default_vocabulary, encoder
-from .common import id_text, map_batches
+from .common import held, id_text, map_batches
 
 
 class LongestMatch:
@@ -112,13 +112,8 @@ class Counter:
         return np.diff(bounds), total[bounds[1:]] - total[bounds[:-1]]
 
 
-_COUNTERS: dict[str, Counter] = {}
-
-
 def counter(path: str) -> Counter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = Counter(path)
-    return _COUNTERS[path]
+    return held(("counter", path), lambda: Counter(path))
 
 
 COUNTS = "doc_id long, n_words long, n_tokens long"
@@ -133,4 +128,4 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
         words, tokens = c.count_batch(batch.column("text").to_pylist())
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())],
                                           names=["doc_id", "n_words", "n_tokens"])
-    return map_batches(id_text(docs), run, COUNTS)
+    return map_batches(id_text(docs), run, COUNTS, holds=True)
