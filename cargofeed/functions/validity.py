@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,17 @@ def valid_mawb(c: Column | str, rule: str = "wt") -> Column:
     raise ValueError(f"unknown MAWB rule {rule!r}")
 
 
+def is_code(c: Column | str, *codes: str) -> Column:
+    """True when ``c`` is one of ``codes``, trailing blanks aside.
+
+    ``rtrim(c) = code`` alone reaches no scan; the prefix test beside it is
+    implied by it and is pushed down.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    starts = reduce(lambda a, b: a | b, [c.startswith(code) for code in codes])
+    return starts & F.rtrim(c).isin(list(codes))
+
+
 def non_empty(c: Column | str) -> Column:
     """The export-side guard: a non-empty string."""
     c = F.col(c) if isinstance(c, str) else c

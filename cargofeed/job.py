@@ -27,7 +27,7 @@ from .params import FeedParams, parse_date
 from .plans.cw import cw_feed
 from .plans.feeds import cw_hawb_feed, cw_mawb_feed, wt_hawb_feed, wt_mawb_feed
 from .plans.wt import wt_feed
-from .operators.stage import stage
+from .operators.stage import stage, staged_run
 from .session import build_session
 from .sinks.csv import export_feed
 from .sources.tables import read_family
@@ -65,34 +65,48 @@ def run_feeds(spark: SparkSession, wt_tables: Mapping[str, DataFrame] | None,
         def cw_rows() -> DataFrame:
             if "cw" not in cw_state:
                 cw = cw_feed(cw_tables, params.cw_window)
-                if cw_hawb:
-                    cw = stage(cw, "cw_feed")
-                cw_state["cw"] = cw
+                # one export stages its own rows; two share them
+                cw_state["cw"] = stage(cw, "cw_feed") if cw_hawb else cw
             return cw_state["cw"]
 
         steps.append(("cwmawb", lambda: cw_mawb_feed(cw_rows())))
         if cw_hawb:
             steps.append(("cwhawb", lambda: cw_hawb_feed(cw_rows())))
 
-    try:
+    with staged_run(spark):
         for feed, build in steps:
             try:
-                result.written[feed] = export_feed(build(), feed, params.as_of, out_root)
+                df = build()
+                # the WT feeds are written in the order of their dates
+                by = [c for c in df.columns if c.lower() == "date"] if feed in ("mawb", "hawb") else []
+                result.written[feed] = export_feed(df, feed, params.as_of, out_root, order_by=by)
                 log.info("feed %s written to %s", feed, result.written[feed])
             except Exception as exc:  # noqa: BLE001 - report and stop, as the source job did
                 log.error("feed %s failed: %s", feed, exc)
                 result.ok, result.failed, result.error = False, feed, str(exc)
                 break
-    finally:
-        spark.catalog.clearCache()  # window sets persisted by the small-input plans
     return result
 
 
+def reader_options(pairs: list[str]) -> dict[str, str]:
+    """``KEY=VALUE`` arguments as reader options."""
+    for pair in pairs:
+        if "=" not in pair:
+            raise ValueError(f"reader option {pair!r} is not KEY=VALUE")
+    return dict(pair.split("=", 1) for pair in pairs)
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="cargofeed.job", description=__doc__.split("\n")[0])
     ap.add_argument("--wt-root", help="root of the WT tables (omit to skip WT feeds)")
     ap.add_argument("--cw-root", help="root of the CW tables (omit to skip the CW feed)")
     ap.add_argument("--format", default="parquet", help="source format (parquet, orc, table, ...)")
+    for family in ("wt", "cw"):
+        ap.add_argument(f"--{family}-option", action="append", default=[], metavar="KEY=VALUE",
+                        help=f"reader option of the {family.upper()} tables, or TABLE.KEY=VALUE for "
+                             "one table (JDBC: url, user, TABLE.partitionColumn, ...); repeatable")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="about the shuffled bytes / 128 MB (default: the cluster's setting)")
     ap.add_argument("--out", required=True, help="feed output root")
     ap.add_argument("--as-of", help="run day, YYYY-MM-DD (default: today, UTC)")
     ap.add_argument("--full-load", action="store_true")
@@ -103,11 +117,11 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO)
-    spark = build_session(master=args.master)
+    spark = build_session(master=args.master, shuffle_partitions=args.shuffle_partitions)
     as_of = parse_date(args.as_of) or dt.datetime.now(dt.timezone.utc).date()
     params = FeedParams(as_of=as_of, full_load=args.full_load, lookback_days=args.lookback_days)
-    wt = read_family(spark, args.wt_root, "wt", args.format) if args.wt_root else None
-    cw = read_family(spark, args.cw_root, "cw", args.format) if args.cw_root else None
+    wt = read_family(spark, args.wt_root, "wt", args.format, reader_options(args.wt_option)) if args.wt_root else None
+    cw = read_family(spark, args.cw_root, "cw", args.format, reader_options(args.cw_option)) if args.cw_root else None
     result = run_feeds(spark, wt, cw, params, args.out, args.wt_header, args.cw_hawb)
     print(result)
     return 0 if result.ok else 1

@@ -11,7 +11,8 @@ from ..functions.validity import valid_mawb
 from ..functions.weights import actual_weight_cw, chargeable_weight_cw, to_m3
 from ..params import LoadWindow
 from .flights import air_legs_per_consol
-from .joins import broadcast_if_bounded, cut_to_keys, restrict_to_keys
+from .joins import (DIMENSION_MAX_ROWS, broadcast_if_bounded, cut_to_keys, has_at_most,
+                    restrict_to_keys)
 from .select import first_by_time
 from .stage import stage
 from .window import load_window
@@ -44,7 +45,8 @@ def valid_consols(consol: DataFrame) -> DataFrame:
     return consol.filter((F.col("jk_iscancelled") == 0) & valid_mawb("jk_masterbillnum", "cw"))
 
 
-def consol_weights(tables: Mapping[str, DataFrame], window: LoadWindow) -> DataFrame:
+def consol_weights(tables: Mapping[str, DataFrame], window: LoadWindow,
+                   reduce_history: bool = True) -> DataFrame:
     """One row per (mawb, origin, destination) of the CW family.
 
     Shipments created inside ``window`` that have a first job header of a
@@ -56,6 +58,9 @@ def consol_weights(tables: Mapping[str, DataFrame], window: LoadWindow) -> DataF
     consolidation (a two-leg consolidation doubles its weights), as in the
     source query. The legs are pre-counted per consolidation and applied as
     a multiplier, so no shipment x leg product is materialised.
+
+    ``reduce_history``: links are cut to the window's shipments, and
+    consolidations and legs to those links, before they are joined.
     """
     ship = load_window(tables["jobshipment"], "js_systemcreatetimeutc", window).select(
         "js_pk", "js_unitofweight", "js_actualweight", "js_actualchargeable",
@@ -70,8 +75,14 @@ def consol_weights(tables: Mapping[str, DataFrame], window: LoadWindow) -> DataF
         F.col("jk_pk"), F.col("jk_masterbillnum").alias("mawb"),
         F.col("jk_rl_nkloadport").alias("origin"),
         F.col("jk_rl_nkdischargeport").alias("destination"))
-    legs = air_legs_per_consol(tables["jobconsoltransport"])
+    transport = tables["jobconsoltransport"]
     link = tables["jobconshiplink"].select("jn_js", "jn_jk")
+    if reduce_history:
+        link = stage(cut_to_keys(link, ship, ["jn_js"], ["js_pk"]), "window_links")
+        small = has_at_most(link, DIMENSION_MAX_ROWS)
+        consol = cut_to_keys(consol, link, ["jk_pk"], ["jn_jk"], proven=small)
+        transport = cut_to_keys(transport, link, ["jw_parentguid"], ["jn_jk"], proven=small)
+    legs = air_legs_per_consol(transport)
 
     rows = (ship.join(heads, ship["js_pk"] == heads["jh_parentid"])
                 .join(link, F.col("js_pk") == link["jn_js"])
@@ -94,7 +105,7 @@ def linked_shipments_per_consol(link: DataFrame, shipments: DataFrame) -> DataFr
     shipment exists (times the number of shipment rows with that key)."""
     ship_n = shipments.groupBy("js_pk").agg(F.count(F.lit(1)).alias("n_ship"))
     return (link.join(ship_n, link["jn_js"] == ship_n["js_pk"])
-                .groupBy("jn_jk").agg(F.sum("n_ship").cast("int").alias("n_links")))
+                .groupBy("jn_jk").agg(F.sum("n_ship").alias("n_links")))
 
 
 def shipment_mawb_multiplicity(link: DataFrame, consol: DataFrame,
@@ -105,4 +116,4 @@ def shipment_mawb_multiplicity(link: DataFrame, consol: DataFrame,
     return (link.select("jn_js", "jn_jk")
                 .join(c, F.col("jn_jk") == c["jk_pk"])
                 .join(air_per_consol, F.col("jk_pk") == air_per_consol["jw_parentguid"])
-                .groupBy("jn_js", "mawb").agg(F.sum("n_air").cast("int").alias("mult")))
+                .groupBy("jn_js", "mawb").agg(F.sum("n_air").alias("mult")))

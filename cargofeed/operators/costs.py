@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import day
 from ..functions.money import converted_cost
+from ..functions.validity import is_code
 from .joins import broadcast_all_if_bounded, cut_to_keys, left_join_null_safe
 from .stage import stage
 
@@ -26,15 +27,16 @@ RATE_COMPANY = "9EEBDCD6-7BDF-460C-8210-7698FDD99758"
 RATE_TYPE = "BUY"
 
 # Precision of converted money. One charge line and one shipment's sum keep
-# 14 integer digits and 12 decimals, so that multiplying by an int
-# multiplicity stays within decimal(38) without Spark cutting the scale.
+# 14 integer digits and 12 decimals, so that multiplying by a multiplicity of
+# up to 11 digits stays within decimal(38) without Spark cutting the scale.
 COST_ROW = "decimal(26,12)"
+MULTIPLICITY = "decimal(11,0)"
 COST_SUM = "decimal(38,12)"
 
 
 def _rates(refexchangerate: DataFrame, company: str, rate_type: str) -> DataFrame:
     """Rates of one company and type, keyed by (currency, day)."""
-    r = refexchangerate.filter((F.col("re_gc") == company) & (F.col("re_exratetype") == rate_type))
+    r = refexchangerate.filter((F.col("re_gc") == company) & is_code("re_exratetype", rate_type))
     return r.select(F.col("re_rx_nkexcurrency").alias("cur"), day("re_startdate").alias("day"),
                     F.col("re_sellrate").alias("rate"))
 
@@ -74,7 +76,7 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
     jr = tables["jobcharge"].select("jr_jh", "jr_gc", "jr_al_apline", "jr_al_arline",
                                     "jr_localcostamt")
     lines = tables["acctransactionlines"]
-    ap = lines.filter(F.col("al_linetype").isin(list(line_types))).select(
+    ap = lines.filter(is_code("al_linetype", *line_types)).select(
         F.col("al_pk").alias("ap_pk"), F.col("al_gc").alias("ap_gc"),
         F.col("al_ah").alias("ap_ah"), F.col("al_ac").alias("ap_ac"),
         F.col("al_osamount").alias("ap_os"))
@@ -110,19 +112,19 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
         ar = cut(ar, jr, ["ar_pk", "ar_gc"], ["jr_al_arline", "jr_gc"], "receivable_lines")
         arh = cut(arh, ar, ["arh_pk", "arh_gc"], ["ar_ah", "ar_gc"])
 
-    # Each transaction line is joined to its header first (both keys are
-    # non-NULL there), so the charge stream only joins on non-NULL keys.
+    # Each transaction line is joined to its header first, NULL header keys
+    # spread by the line's own key.
     ap_full = left_join_null_safe(ap.join(codes, (ap["ap_ac"] == codes["ac_pk"])
                                           & (ap["ap_gc"] == codes["ac_gc"])),
-                                  aph, ["ap_ah", "ap_gc"], ["aph_pk", "aph_gc"])
-    ar_full = left_join_null_safe(ar, arh, ["ar_ah", "ar_gc"], ["arh_pk", "arh_gc"]).select(
-        "ar_pk", "ar_gc", "ar_inv")
+                                  aph, ["ap_ah", "ap_gc"], ["aph_pk", "aph_gc"], spread_by="ap_pk")
+    ar_full = left_join_null_safe(ar, arh, ["ar_ah", "ar_gc"], ["arh_pk", "arh_gc"],
+                                  spread_by="ar_pk").select("ar_pk", "ar_gc", "ar_inv")
     x = (ship.join(jh, ship["js_pk"] == jh["jh_parentid"])
              .join(jr, (F.col("jh_pk") == jr["jr_jh"]) & (F.col("jh_gc") == jr["jr_gc"]))
              .join(ap_full, (F.col("jr_al_apline") == ap_full["ap_pk"])
                    & (F.col("jr_gc") == ap_full["ap_gc"]))
              .join(company, F.col("jr_gc") == company["gc_pk"]))
-    x = left_join_null_safe(x, ar_full, ["jr_al_arline", "jr_gc"], ["ar_pk", "ar_gc"])
+    x = left_join_null_safe(x, ar_full, ["jr_al_arline", "jr_gc"], ["ar_pk", "ar_gc"], spread_by="ap_pk")
     x = (x.join(branch, (F.col("jh_gb") == branch["gb_pk"]) & (F.col("jh_gc") == branch["gb_gc"]), "left")
           .join(pre, (F.col("local_cur") == pre["pre_cur"]) & (F.col("ship_day") == pre["pre_day"]), "left")
           .join(post, (F.col("txn_cur") == post["post_cur"])
@@ -158,7 +160,7 @@ def costs_by_mawb(per_shipment: DataFrame, multiplicity: DataFrame,
     charge line, or only unconvertible ones, is NULL."""
     j = per_shipment.join(multiplicity, per_shipment["js_pk"] == multiplicity["jn_js"])
     return j.groupBy("mawb").agg(
-        *[F.sum(F.col(c) * F.col("mult")).cast(COST_SUM).alias(c) for c in categories])
+        *[F.sum(F.col(c) * F.col("mult").cast(MULTIPLICITY)).cast(COST_SUM).alias(c) for c in categories])
 
 
 def total_cost(df: DataFrame, cols: Sequence[str] = tuple(COST_CATEGORIES),

@@ -8,15 +8,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import SENTINEL_DATE, null_if_sentinel
+from ..functions.validity import is_code
 
 # Fixed value that must equal the source job's: the transport mode kept.
 AIR = "AIR"
 FLIGHT_SEPARATOR = ";"
+# Characters of a flight that name its part of a long list.
+PART_CHARS = 4
 
 
 def air_legs(transport: DataFrame) -> DataFrame:
     """Transport legs flown by air."""
-    return transport.filter(F.col("jw_transportmode") == AIR)
+    return transport.filter(is_code("jw_transportmode", AIR))
+
+
+def air_leg_base(transport: DataFrame) -> DataFrame:
+    """``(jw_parentguid, flt, n_leg, first_atd)``: AIR legs counted per
+    consolidation and trimmed flight, with their earliest known departure.
+
+    Leg counts, flight lists and departures all come from these rows, so one
+    scan of the transport table serves all three.
+    """
+    return (air_legs(transport)
+            .groupBy("jw_parentguid", F.trim("jw_voyageflight").alias("flt"))
+            .agg(F.count(F.lit(1)).alias("n_leg"),
+                 F.min(null_if_sentinel("jw_atd")).alias("first_atd")))
 
 
 def air_legs_per_consol(transport: DataFrame) -> DataFrame:
@@ -40,18 +56,28 @@ def flight_list(legs: DataFrame, key: str, flight: str, sep: str = FLIGHT_SEPARA
     A key whose flights are all NULL gets a NULL list.
 
     Plan: occurrences are first counted per (key, flight) with map-side
-    partial aggregation, so the list aggregate sees one row per distinct
-    flight of a key, however many legs and shipments repeat it.
+    partial aggregation, so the list aggregates see one row per distinct
+    flight of a key, however many legs and shipments repeat it. The list is
+    then built per (key, first characters of the flight) and those parts are
+    joined in order: a key that holds a large share of all flights (blank or
+    NULL MAWBs) is sorted by many tasks, and only its finished parts meet.
     """
     trimmed = F.trim(F.col(flight))
     n: Column = F.col(count) if count else F.lit(1)
     per_flight = (legs.select(F.col(key), trimmed.alias("__flt"), n.alias("__n"))
-                  .groupBy(key, "__flt").agg(F.sum("__n").cast("int").alias("__n")))
-    # NULL flights keep their key (the list is then NULL) but add no piece
+                  .groupBy(key, "__flt").agg(F.sum("__n").alias("__n")))
+    # NULL flights keep their key (the list is then NULL) but add no piece;
+    # the repeated text needs no array of occurrences
+    text = F.concat(F.col("__flt"), F.lit(sep))
     piece = F.when(F.col("__flt").isNotNull(),
-                   F.array_join(F.array_repeat(F.col("__flt"), F.col("__n")), sep))
-    return (per_flight.withColumn("__piece", piece).groupBy(key)
-            .agg(F.expr(f"listagg(__piece, '{sep}') WITHIN GROUP (ORDER BY __flt)").alias(out)))
+                   F.concat(F.repeat(text, (F.col("__n") - 1).cast("int")), F.col("__flt")))
+    # prefixes sort as the flights do, so the parts follow each other in order
+    parts = (per_flight.withColumn("__piece", piece)
+             .withColumn("__head", F.substring("__flt", 1, PART_CHARS))
+             .groupBy(key, "__head")
+             .agg(F.expr(f"listagg(__piece, '{sep}') WITHIN GROUP (ORDER BY __flt)").alias("__part")))
+    return parts.groupBy(key).agg(
+        F.expr(f"listagg(__part, '{sep}') WITHIN GROUP (ORDER BY __head)").alias(out))
 
 
 def earliest_departure(legs: DataFrame, key: str, ts: str,

@@ -87,7 +87,8 @@ NULL_KEY_SPREAD = 512
 
 
 def left_join_null_safe(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                        right_keys: Sequence[str], spread: int = NULL_KEY_SPREAD) -> DataFrame:
+                        right_keys: Sequence[str], spread: int = NULL_KEY_SPREAD,
+                        spread_by: str | None = None) -> DataFrame:
     """``left`` LEFT JOIN ``right`` on equal keys, with NULL-key rows spread
     over many partitions.
 
@@ -99,12 +100,13 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, left_keys: Sequence[s
     in ``[0, spread)`` on NULL-key left rows (which still match nothing,
     since their key is NULL). The shuffle hashes (key, salt), so the NULL
     rows spread over up to ``spread`` partitions. The result equals the
-    plain left join; no input is read twice. (Rows identical in every
-    column hash alike and stay together.)
+    plain left join; no input is read twice. ``spread_by`` names a column of
+    many values whose hash is the salt; without it the whole row is hashed.
+    (Rows that hash alike stay together.)
     """
     salt = "__null_salt"
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in ([spread_by] if spread_by else left.columns)])
     l = left.withColumn(salt, F.when(no_key, F.pmod(row_hash, F.lit(spread))).otherwise(F.lit(0)))
     # data-dependent on purpose: a literal 0 would be constant-folded out of
     # the join keys and the NULL rows would hash to one partition again

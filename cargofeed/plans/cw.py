@@ -13,9 +13,8 @@ from ..operators.consol import (consol_weights, linked_shipments_per_consol,
                                 shipment_mawb_multiplicity)
 from ..operators.costs import (COST_CATEGORIES, charge_costs, costs_by_mawb,
                                costs_by_shipment, total_cost)
-from ..operators.flights import (air_legs, air_legs_per_consol, earliest_departure,
-                                 flight_list)
-from ..operators.joins import restrict_to_keys
+from ..operators.flights import air_leg_base, flight_list
+from ..operators.joins import cut_to_keys, restrict_to_keys
 from ..params import LoadWindow
 from ..operators.stage import stage
 
@@ -55,16 +54,25 @@ class MawbContext:
                 return df.persist(StorageLevel.MEMORY_AND_DISK)
             return stage(df, label) if materialize else df
 
-        consol = tables["jobconsol"]
-        if mawbs is not None:
-            consol = restrict_to_keys(consol, mawbs, "jk_masterbillnum", "mawb")
         self.tables = tables
         self.materialize = materialize is True
+
+        def cut(df: DataFrame, keys: DataFrame, on: str, key: str) -> DataFrame:
+            if self.materialize:  # the keys are a written table: counted, then cut inside the scan
+                return cut_to_keys(df, keys, [on], [key])
+            return restrict_to_keys(df, keys, on, key)
+
+        consol = tables["jobconsol"]
+        if mawbs is not None:
+            consol = cut(consol, mawbs, "jk_masterbillnum", "mawb")
         self.consol = keep(consol.select("jk_pk", "jk_masterbillnum"), "consol")
-        self.link = keep(restrict_to_keys(tables["jobconshiplink"].select("jn_js", "jn_jk"),
-                                          self.consol, "jn_jk", "jk_pk"), "link")
-        self.transport = tables["jobconsoltransport"]
-        self.shipments = keep(restrict_to_keys(
+        self.link = keep(cut(tables["jobconshiplink"].select("jn_js", "jn_jk"),
+                             self.consol, "jn_jk", "jk_pk"), "link")
+        transport = tables["jobconsoltransport"]
+        if mawbs is not None:
+            transport = cut(transport, self.consol, "jw_parentguid", "jk_pk")
+        self.legs = keep(air_leg_base(transport), "air_legs")
+        self.shipments = keep(cut(
             tables["jobshipment"].select("js_pk", "js_systemcreatetimeutc"),
             self.link, "js_pk", "jn_js"), "shipment")
         self._links_per_consol = keep(linked_shipments_per_consol(self.link, self.shipments),
@@ -75,9 +83,7 @@ class MawbContext:
 
     def flights(self) -> DataFrame:
         """``(mawb, flight_number)``."""
-        legs = air_legs(self.transport).select(
-            "jw_parentguid", F.trim("jw_voyageflight").alias("flt"))
-        per_consol = legs.groupBy("jw_parentguid", "flt").agg(F.count(F.lit(1)).alias("n_leg"))
+        per_consol = self.legs.select("jw_parentguid", "flt", "n_leg")
         links = self.links_per_consol()
         occ = (self.consol.join(links, self.consol["jk_pk"] == links["jn_jk"])
                .join(per_consol, F.col("jk_pk") == per_consol["jw_parentguid"])
@@ -87,8 +93,7 @@ class MawbContext:
 
     def departures(self) -> DataFrame:
         """``(mawb, atd)``."""
-        legs = air_legs(self.transport).select("jw_parentguid", "jw_atd")
-        per_consol = earliest_departure(legs, "jw_parentguid", "jw_atd")
+        per_consol = self.legs.groupBy("jw_parentguid").agg(F.min("first_atd").alias("atd"))
         linked = restrict_to_keys(self.consol, self.links_per_consol(), "jk_pk", "jn_jk")
         occ = linked.join(per_consol, linked["jk_pk"] == per_consol["jw_parentguid"]).select(
             F.col("jk_masterbillnum").alias("mawb"), "atd")
@@ -99,8 +104,8 @@ class MawbContext:
         charges = charge_costs(self.tables, self.shipments, categories,
                                reduce_history=self.materialize)
         per_ship = costs_by_shipment(charges, categories)
-        mult = shipment_mawb_multiplicity(self.link, self.consol,
-                                          air_legs_per_consol(self.transport))
+        n_air = self.legs.groupBy("jw_parentguid").agg(F.sum("n_leg").alias("n_air"))
+        mult = shipment_mawb_multiplicity(self.link, self.consol, n_air)
         return costs_by_mawb(per_ship, mult, categories)
 
 
@@ -120,7 +125,7 @@ def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
     the history with ordinary shuffles (to compare plans). Both give the same rows.
     """
     # one row per (MAWB, port pair) of the window: small, read by every branch
-    main = consol_weights(tables, window)
+    main = consol_weights(tables, window, reduce_history)
     main = stage(main, "weights") if reduce_history else main.persist(StorageLevel.MEMORY_AND_DISK)
     ctx = MawbContext(tables, main.select("mawb"), materialize=True if reduce_history else "persist")
     j = (main.join(ctx.flights(), "mawb", "left")

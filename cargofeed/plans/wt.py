@@ -54,8 +54,15 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
     """
     awb = tables["tbl_airwaybill"]
     in_window = F.to_date(F.col("flightdatetime1")) >= F.lit(window.start)
-    a = latest_by_sequence(awb, "fk_orderno", "fk_seqno", keep=in_window,
-                           strategy=latest_strategy)
+    if reduce_history and latest_strategy == "max_join":
+        # the window's rows first; the history is read for their orders alone
+        inside = stage(awb.filter(in_window), "wt_window")
+        history = cut_to_keys(awb.select("fk_orderno", "fk_seqno"), inside, ["fk_orderno"], ["fk_orderno"])
+        newest = history.groupBy("fk_orderno").agg(F.max("fk_seqno").alias("fk_seqno"))
+        a = inside.join(newest, ["fk_orderno", "fk_seqno"])
+    else:
+        a = latest_by_sequence(awb, "fk_orderno", "fk_seqno", keep=in_window,
+                               strategy=latest_strategy)
     apar = tables["tbl_shipmentapar"].filter(valid_mawb("refno", "wt"))
     desc = tables["tbl_airwaybilldesc"]
     header = tables["tbl_shipmentheader"]

@@ -18,6 +18,7 @@ Differences from the source's single CSV string, by design:
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,17 +36,21 @@ def feed_path(root: str, feed: str, as_of: dt.date) -> str:
 
 
 def export_feed(df: DataFrame, feed: str, as_of: dt.date, root: str,
-                require_rows: bool = True) -> str:
+                require_rows: bool = True, order_by: Sequence[str] = ()) -> str:
     """Write ``df`` as the ``feed`` CSV of day ``as_of`` under ``root``; return the path.
 
     Values are quoted and NULL is an empty unquoted field, so it differs from
     ``""``. Raises ``NoDataError``
     (before writing anything) when ``df`` is empty and ``require_rows`` is
     set; the feed is staged first, so the check does not compute it twice.
+    With ``order_by`` the part files, read in name order, are in the order of
+    those columns (NULLs last; one range shuffle).
     """
     df = stage(df, f"feed-{feed}")
     if require_rows and df.isEmpty():
         raise NoDataError(f"No data found for feed {feed!r} on {as_of.isoformat()}.")
+    if order_by:
+        df = df.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in order_by])
     path = feed_path(root, feed, as_of)
     # Spark's CSV writer quotes either every field, NULL too, or only those
     # that need it, so the lines are put together here and written as text

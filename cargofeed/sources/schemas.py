@@ -75,15 +75,16 @@ CW_SCHEMAS: dict[str, T.StructType] = {
 
 ALL_SCHEMAS: dict[str, T.StructType] = {**WT_SCHEMAS, **CW_SCHEMAS}
 
-# Short code columns compared against literals. Trailing blanks are trimmed
-# at the scan so that 'AIR ' matches 'AIR' (the source dialect ignored them).
+# Short code columns whose value goes on (units, currencies, charge codes).
+# Trailing blanks are trimmed at the scan so that 'KG ' matches 'KG' (the source
+# dialect ignored them). Columns that only filter a large table (transport mode,
+# line type, rate type) stay as stored and are compared by ``functions.is_code``,
+# which also ignores trailing blanks but lets the scan skip row groups.
 CODE_COLUMNS: dict[str, tuple[str, ...]] = {
     "tbl_airwaybilldesc": ("lb_kg",),
     "jobshipment": ("js_unitofweight", "js_unitofvolume"),
     "glbcompany": ("gc_rx_nklocalcurrency",),
-    "jobconsoltransport": ("jw_transportmode",),
-    "acctransactionlines": ("al_linetype",),
     "acctransactionheader": ("ah_rx_nktransactioncurrency",),
     "accchargecode": ("ac_code",),
-    "refexchangerate": ("re_rx_nkexcurrency", "re_exratetype"),
+    "refexchangerate": ("re_rx_nkexcurrency",),
 }

@@ -34,8 +34,11 @@ def conform(df: DataFrame, name: str, trim_codes: bool = True) -> DataFrame:
     for f in schema.fields:
         src_field = actual[f.name.lower()]
         e = f"`{src_field.name}`"
-        if src_field.dataType != f.dataType:
-            e = f"CAST({e} AS {f.dataType.simpleString()})"
+        # a stored timestamp keeps its type (sessions run in UTC): a cast would
+        # keep the load window from reaching the scan
+        stored_ts = isinstance(f.dataType, T.TimestampNTZType) and isinstance(src_field.dataType, T.TimestampType)
+        if src_field.dataType != f.dataType and not stored_ts:
+            e =f"CAST({e} AS {f.dataType.simpleString()})"
         if f.name in trimmed:
             e = f"rtrim({e})"
         exprs.append(f"{e} AS {f.name}")
@@ -63,10 +66,27 @@ def read_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet",
 def read_family(spark: SparkSession, root: str, family: str, fmt: str = "parquet",
                 options: Mapping[str, str] | None = None,
                 names: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """Read all tables of ``family`` ('wt' or 'cw')."""
+    """Read all tables of ``family`` ('wt' or 'cw').
+
+    ``options`` go to the reader of every table; one named ``<table>.<option>``
+    goes to that table alone (for JDBC its ``partitionColumn``, ``lowerBound``,
+    ``upperBound`` and ``numPartitions``, without which one task reads it whole).
+    """
     schemas = WT_SCHEMAS if family == "wt" else CW_SCHEMAS
     wanted = list(names) if names is not None else list(schemas)
-    return {n: read_table(spark, root, n, fmt, options) for n in wanted}
+    return {n: read_table(spark, root, n, fmt, table_options(options, n)) for n in wanted}
+
+
+def table_options(options: Mapping[str, str] | None, name: str) -> dict[str, str]:
+    """The reader options of table ``name``: the shared ones and its own."""
+    shared, own = {}, {}
+    for key, value in (options or {}).items():
+        table, dot, option = key.partition(".")
+        if not dot or table not in ALL_SCHEMAS:
+            shared[key] = value
+        elif table == name:
+            own[option] = value
+    return {**shared, **own}
 
 
 def conform_all(tables: Mapping[str, DataFrame], trim_codes: bool = True) -> dict[str, DataFrame]:

@@ -64,6 +64,20 @@ def test_cw_feed_runs_the_charge_join_once(spark, tables):
     assert p.count("ReadSchema: struct<jr_jh:string") == 1
 
 
+def test_cw_feed_reads_the_stored_legs(spark, tables):
+    _, cw = tables
+    p = plan(cw_feed(cw, WINDOW))
+    # flights, departures and multiplicities come from the staged leg base
+    assert "jw_transportmode" not in p and "first_atd" in p
+
+
+def test_wt_feed_reads_the_history_of_the_windows_orders_only(spark, tables):
+    wt, _ = tables
+    files = wt_feed(wt, WINDOW).inputFiles()
+    # the final plan starts from the staged latest rows, not from the order history
+    assert any("/wt_latest/" in f for f in files) and not any("/tbl_airwaybill/" in f for f in files)
+
+
 def test_wt_feed_has_no_estimate_based_broadcast_of_history(spark, tables):
     wt, _ = tables
     p = plan(wt_feed(wt, WINDOW))

@@ -37,6 +37,26 @@ def test_csv_quoting_nulls_and_rerun(spark):
     assert [tuple(r) for r in read_feed(spark, path).collect()] == [("c", "d", "e")]
 
 
+def test_ordered_export(spark):
+    df = spark.createDataFrame([(f"2001-01-{d:02d}" if d else None,) for d in (9, 3, 0, 7, 1, 5)], "date string").repartition(3)
+    path = export_feed(df, "mawb", dt.date(2001, 8, 1), _root(spark), order_by=["date"])
+    local = path[len("file:"):] if path.startswith("file:") else path
+    parts = [f for f in sorted(os.listdir(local)) if f.startswith("part-")]
+    lines = [line for f in parts for line in open(os.path.join(local, f)).read().split("\n")]
+    # one column: a NULL field is an empty line, last; each part has its header
+    dates = [line for line in lines if line and line != '"date"']
+    assert dates == [f'"2001-01-{d:02d}"' for d in (1, 3, 5, 7, 9)]
+
+
+def test_staged_tables_go_with_the_run(spark):
+    from cargofeed.operators.stage import stage, staged_run
+    with staged_run(spark):
+        df = stage(spark.range(3).toDF("x"), "kept_for_the_run")
+        folder = df.inputFiles()[0].removeprefix("file://").removeprefix("file:").rsplit("/", 1)[0]
+        assert df.count() == 3 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_empty_feed_raises(spark):
     with pytest.raises(NoDataError):
         export_feed(spark.createDataFrame([], "x string"), "hawb", dt.date(2001, 8, 1), _root(spark))
