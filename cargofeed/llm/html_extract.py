@@ -51,45 +51,82 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
                     "samp small span strike strong sub sup time tt u var wbr".split())
-_OUT = frozenset("nav header footer aside form script style noscript template button select option input textarea iframe svg "
-                 "math object head title menu dialog fieldset canvas audio video map".split())
-_OUT_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+_OUT = frozenset("nav header footer aside script style noscript template button select option input textarea iframe svg "
+                 "math object head title menu dialog canvas audio video map".split())
+_FORM = frozenset(("form", "fieldset"))
+_OUT_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
 _OUT_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|adsense|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|notification\w*|alert|"
     r"popup|modal|overlay|sidebar|side-bar|aside|menu|nav|navbar|navigation|breadcrumbs?|header|masthead|topbar|footer|bottombar|"
     r"comments?|commentlist|disqus|replies|respond|share|sharing|social|related|recommend\w*|newsletter|subscribe|subscription|"
     r"signup|login|widgets?|toolbar|pagination|pager|skip-link|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
 _KEEP_NAME = frozenset(("html", "body", "article", "main"))
+_THREAD = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|replies|respond)(?:$|[\s_-])", re.I)
+_TITLED = frozenset("h1 h2 h3 h4 h5 h6 section hgroup".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}}
 
 
 class Block:
-    __slots__ = ("path", "text", "out", "core")
+    """A text block. ``pieces``: its texts with what leaves them out (``None`` for always, else marks)."""
 
-    def __init__(self, path, text, out, core):
-        self.path, self.text, self.out, self.core = path, text, out, core
+    __slots__ = ("path", "text", "core", "pieces")
 
+    def __init__(self, path, core, pieces):
+        self.path, self.core, self.pieces = path, core, pieces
+        self.text = self.shown(frozenset())
 
-def blocks(html: str) -> tuple[list[Block], list[str]]:
-    """Text blocks of a page in order, and the paths of its tags."""
-    stack: list[tuple[str, bool, bool]] = []  # name, left out, inside article or main
+    def shown(self, honoured) -> str:
+        """The text less pieces left out always or by an honoured mark."""
+        kept = [t for t, marks in self.pieces if marks is not None and honoured.isdisjoint(marks)]
+        return " ".join(unescape("".join(kept)).split()) if kept else ""
+
+
+class Mark:
+    """An element that its name, or being a form, says to leave out.
+
+    ``confirm``: only if the host's template has it. ``thread``: a comment thread.
+    """
+
+    __slots__ = ("path", "value", "confirm", "thread")
+
+    def __init__(self, path, value, confirm, thread):
+        self.path, self.value, self.confirm, self.thread = path, value, confirm, thread
+
+
+def _named(name: str, key: str, value: str, core: bool, titled: bool) -> tuple[bool, bool]:
+    """Whether a class or id hints at an element to leave out, and whether the template has to confirm it.
+
+    Inside article or main an id is often a heading's slug, and so are names of
+    headings and sections and of what stands in a heading.
+    """
+    if name in _KEEP_NAME or not _OUT_NAME.search(value):
+        return False, False
+    if not core:
+        return True, False
+    slug = key == "id" and (name in _INLINE or not all(_OUT_NAME.fullmatch(part) for part in re.split(r"[\s_-]+", value) if part))
+    return True, titled or slug
+
+
+def blocks(html: str) -> tuple[list[Block], list[str], list[Mark]]:
+    """Text blocks of a page in order, the paths of its tags, and its marks."""
+    stack: list[tuple[str, bool, bool, tuple]] = []  # name, left out, inside article or main, marks
     found: list[Block] = []
     paths: list[str] = []
-    parts: list[str] = []
+    marks: list[Mark] = []
+    parts: list[tuple[str, tuple | None]] = []
     where: list = [None]
 
     def flush():
         if parts:
-            text = " ".join(unescape("".join(parts)).split())
-            if text:
-                found.append(Block(*where[0][:1], text, *where[0][1:]))
+            block = Block(*where[0], parts[:])
+            if block.text:
+                found.append(block)
             parts.clear()
         where[0] = None
 
-    def state():
-        names = [s[0] for s in stack if s[0] not in _INLINE]
-        return "/".join(names), bool(stack) and stack[-1][1], bool(stack) and stack[-1][2]
+    def path():
+        return "/".join([s[0] for s in stack if s[0] not in _INLINE])
 
     def pop_to(i: int):
         del stack[i:]
@@ -98,19 +135,17 @@ def blocks(html: str) -> tuple[list[Block], list[str]]:
         text = m["text"]
         if text is not None:
             if where[0] is None:
-                where[0] = state()
-            elif stack and stack[-1][1] != where[0][1]:  # left-out inline element inside a block
-                if stack[-1][1]:
-                    continue
-            if not (stack and stack[-1][1] and not where[0][1]):
-                parts.append(text)
+                where[0] = path(), bool(stack) and stack[-1][2]
+            parts.append((text, () if not stack else None if stack[-1][1] else stack[-1][3]))
             continue
         name = m["name"]
         if name is None:
             continue  # comments, raw-text elements, declarations
         name = name.lower()
         if name == "br":
-            parts.append(" ")
+            parts.append((" ", ()))
+            if where[0] is None:
+                where[0] = path(), bool(stack) and stack[-1][2]
             continue
         if name not in _INLINE:
             flush()
@@ -131,13 +166,21 @@ def blocks(html: str) -> tuple[list[Block], list[str]]:
         if name in _VOID:
             continue
         attrs = m["attrs"]
-        out = bool(stack) and stack[-1][1] or name in _OUT
-        core = bool(stack) and stack[-1][2] or name in ("article", "main")
+        _, out, inside, on = stack[-1] if stack else ("", False, False, ())
+        out = out or name in _OUT
+        core = inside or name in ("article", "main")
+        if not out and name in _FORM:
+            on += (len(marks),)
+            marks.append(Mark(path() + "/" + name, "", False, False))
         if attrs.strip() and not out:
             for a in _HINT.finditer(attrs):
                 key, value = a[1].lower(), (a[2] or a[3] or a[4] or "").strip()
                 if key in ("class", "id"):
-                    out |= name not in _KEEP_NAME and bool(_OUT_NAME.search(value))
+                    titled = name in _TITLED or name in _INLINE and any(s[0] in _TITLED and s[0] != "section" for s in stack)
+                    hit, confirm = _named(name, key, value, inside, titled)
+                    if hit:
+                        on += (len(marks),)
+                        marks.append(Mark(path() + "/" + name, value, confirm, bool(_THREAD.search(value))))
                 elif key == "role":
                     out |= value.lower() in _OUT_ROLE
                     core |= value.lower() in ("main", "article")
@@ -147,9 +190,33 @@ def blocks(html: str) -> tuple[list[Block], list[str]]:
                     out |= "display:none" in value.replace(" ", "").lower()
             out |= bool(_HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", "", attrs)))
         if not attrs.rstrip().endswith("/") or name in _INLINE or name in ("p", "div", "article", "main"):
-            stack.append((name, out, core))
+            stack.append((name, out, core, on))
     flush()
-    return found, paths
+    return found, paths, marks
+
+
+def honoured(found: list[Block], marks: list[Mark], template=frozenset()) -> frozenset[int]:
+    """The marks that leave their element out.
+
+    The text of article and main (of the whole page without them) is what a
+    page is about: an element with half of it wraps the page's content, whatever
+    its name, unless it is a comment thread; and marks never take all of it.
+    """
+    if not marks:
+        return frozenset()
+    about = [b for b in found if b.core] or found
+    held, total = [0] * len(marks), 0
+    for b in about:
+        for text, on in b.pieces:
+            size = len(text) if on is not None and not text.isspace() else 0
+            total += size
+            for i in on or ():
+                held[i] += size
+    yes = frozenset(i for i, m in enumerate(marks) if (m.thread or 2 * held[i] < total or not held[i])
+                    and (not m.confirm or _code("mark", m.path, m.value) in template))
+    if total and not any(b.shown(yes) for b in about):
+        yes = frozenset(i for i in yes if not held[i])
+    return yes
 
 
 def container(path: str) -> str:
@@ -177,7 +244,8 @@ def _tokens(pages: DataFrame) -> DataFrame:
 
         rows = []
         for host, url, page, html in zip(*(batch.column(c).to_pylist() for c in ("host", "url", "page_id", "html")), strict=True):
-            found, paths = blocks(html)
+            found, paths, marks = blocks(html)
+            leave = honoured(found, marks)
             key = xxhash.xxh64_intdigest(f"{page}\x00{url}") - (1 << 63)
             count: dict[int, list] = {}
             for path in paths:
@@ -185,7 +253,10 @@ def _tokens(pages: DataFrame) -> DataFrame:
             for b in found:
                 e = count.setdefault(_code("text", b.path, b.text), [container(b.path), 0, 0])
                 e[1] += 1
-                e[2] += 0 if b.out else len(b.text)
+                e[2] += len(b.shown(leave))
+            for m in marks:
+                if m.confirm:
+                    count.setdefault(_code("mark", m.path, m.value), [m.path, 0, 0])[1] += 1
             rows += [(host, token, path, n, chars, key) for token, (path, n, chars) in count.items()]
         if rows:
             cols = list(zip(*rows, strict=True))
@@ -217,14 +288,15 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def main_text(html: str, template: frozenset[int] | set[int], main: str | None) -> str:
-    found, _ = blocks(html)
-    inside = [b for b in found if b.core]
+    found, _, marks = blocks(html)
+    leave = honoured(found, marks, template)
+    shown = [(b, text) for b in found if (text := b.shown(leave))]
+    inside = [x for x in shown if x[0].core]
     if not inside and main is not None:
-        inside = [b for b in found if b.path == main or b.path.startswith(main + "/") or container(b.path) == main]
-        inside = inside if any(not b.out for b in inside) else []
-    kept = [b for b in inside or found if not b.out]
-    own = [b for b in kept if _code("text", b.path, b.text) not in template] if template else kept
-    return "\n".join(b.text for b in own or kept)
+        inside = [x for x in shown if x[0].path == main or x[0].path.startswith(main + "/") or container(x[0].path) == main]
+    kept = inside or shown
+    own = [x for x in kept if _code("text", x[0].path, x[0].text) not in template] if template else kept
+    return "\n".join(text for _, text in own or kept)
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long"

@@ -237,6 +237,31 @@ def test_html_cases(spark):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+WRAPPED = [
+    ('<div class="content with-sidebar"><article><p>One</p></article></div><div class="related"><article>x</article></div>', "One"),
+    ('<div class="entry-content has-sidebar"><main><p>One</p></main></div>', "One"),
+    ('<main><div class="post no-sidebar"><article><p>One and two</p></article></div><div id="comments"><article>x</article></div></main>',
+     "One and two"),
+    ('<form><div><article><p>One</p></article></div></form><form>mail</form>', "One"),
+    ('<article><p>One</p><h2 id="legal-framework">Law</h2><section id="related-work"><p>Two</p></section>'
+     '<h2 id="social-history">Three</h2><div id="market-share">Four</div><h3><span id="legal">Five</span></h3>'
+     '<div class="ad">no</div><div id="comments">no no no no no no no no no no no no no no no</div></article>',
+     "One\nLaw\nTwo\nThree\nFour\nFive"),
+    ('<div class="content with-sidebar"><p>One</p></div>', "One"),
+    ('<article><p><span class="share">no</span>One <i class="ad">no</i>two</p></article>', "One two"),
+]
+
+
+def test_html_names_never_take_the_content(spark):
+    rows = [(i, f"https://h{i}.example.org/x", h) for i, (h, _) in enumerate(WRAPPED)]
+    # a section that the host's template has is left out, a slug of one page is not
+    page = '<article><p>Text %d</p><section id="related-links"><p>See %d</p></section><section id="legal-%d"><p>Law %d</p></section></article>'
+    rows += [(100 + i, f"https://many.example.org/{i}", page % (i, i, i, i)) for i in range(8)]
+    got = {r["page_id"]: r["text"] for r in
+           html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: want for i, (_, want) in enumerate(WRAPPED)}, **{100 + i: f"Text {i}\nLaw {i}" for i in range(8)}}
+
+
 def test_html_template_finds_the_container_without_an_article(spark):
     """No semantic element: the slot with the most text, less the text all pages share."""
     body = "<html><body><div><b>Site name</b></div><div><section><p>All rights of this site</p><p>%s</p><p>%s</p></section></div>" \
