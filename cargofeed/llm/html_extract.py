@@ -11,7 +11,9 @@ template text left out, is the host's main container.
 The main text of a page are its blocks inside ``article`` or ``main``, or else
 inside the main container of a host with enough pages, without those that stand in navigation,
 headers, footers, asides, forms, adverts, notices, comment threads and the like,
-and without texts of the template.
+and, outside ``article`` and ``main``, without texts of the template: those of a
+class that has tags outside the main container. Texts that pages share as content
+(copies and near copies of one article, a common passage) stay.
 
 Vectors are never built: a page contributes a hash of (page, count) to each of
 its tokens, and the exclusive-or of these with the number of pages tells equal
@@ -20,8 +22,8 @@ of all pages is no larger group than another, and pages are not shuffled:
 a host's template is bounded by its pages' size and is sent to them.
 
 Defined cases: NULL or empty html gives an empty text; a page without a URL is
-of the empty host; a page all of whose main text is template (copies of one
-page) keeps it; broken markup is read as browsers do. Repeated rows are
+of the empty host; a page most of whose main text is template (copies and
+near copies of one page) keeps it; broken markup is read as browsers do. Repeated rows are
 extracted alike; extra columns are ignored; an empty table gives an empty table.
 """
 
@@ -228,7 +230,7 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-TOKENS = "host string, token long, path string, n long, chars long, page long"
+TOKENS = "host string, token long, kind string, path string, n long, chars long, page long"
 
 
 def _code(kind: str, path: str, text: str = "") -> int:
@@ -249,19 +251,19 @@ def _tokens(pages: DataFrame) -> DataFrame:
             key = xxhash.xxh64_intdigest(f"{page}\x00{url}") - (1 << 63)
             count: dict[int, list] = {}
             for path in paths:
-                count.setdefault(_code("tag", path), [path, 0, 0])[1] += 1
+                count.setdefault(_code("tag", path), ["tag", path, 0, 0])[2] += 1
             for b in found:
-                e = count.setdefault(_code("text", b.path, b.text), [container(b.path), 0, 0])
-                e[1] += 1
-                e[2] += len(b.shown(leave))
+                e = count.setdefault(_code("text", b.path, b.text), ["text", container(b.path), 0, 0])
+                e[2] += 1
+                e[3] += len(b.shown(leave))
             for m in marks:
                 if m.confirm:
-                    count.setdefault(_code("mark", m.path, m.value), [m.path, 0, 0])[1] += 1
-            rows += [(host, token, path, n, chars, key) for token, (path, n, chars) in count.items()]
+                    count.setdefault(_code("mark", m.path, m.value), ["mark", m.path, 0, 0])[2] += 1
+            rows += [(host, token, *entry, key) for token, entry in count.items()]
         if rows:
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.string() if i in (0, 2) else pa.int64()) for i, c in enumerate(cols)],
+                [pa.array(c, pa.string() if i in (0, 2, 3) else pa.int64()) for i, c in enumerate(cols)],
                 names=[f.split()[0] for f in TOKENS.split(", ")])
     return map_batches(pages, run, TOKENS)
 
@@ -270,7 +272,7 @@ def templates(pages: DataFrame) -> DataFrame:
     """``host, template array<long>, main string``: tokens of the valid classes and the main container."""
     hosts = pages.groupBy("host").agg(F.count("*").alias("pages"))
     tokens = (_tokens(pages).groupBy("host", "token").agg(
-        F.first("path").alias("path"), F.count("*").alias("on"), F.sum("n").alias("n"), F.sum("chars").alias("chars"),
+        F.first("kind").alias("kind"), F.first("path").alias("path"), F.count("*").alias("on"), F.sum("n").alias("n"), F.sum("chars").alias("chars"),
         F.bit_xor(F.xxhash64("page", "n")).alias("vector")))
     tokens = stage(tokens, "tokens").join(F.broadcast(hosts) if hosts.count() <= BROADCAST_IDS else hosts, "host")
     often = tokens.filter((F.col("on") >= MIN_PAGES) & (F.col("on") >= MIN_SHARE * F.col("pages")))
@@ -279,11 +281,22 @@ def templates(pages: DataFrame) -> DataFrame:
     outer = Window.partitionBy("host").orderBy(F.desc("on"), "depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     valid = classes.filter(F.col("size") >= MIN_TOKENS).withColumn("top", F.min("depth").over(outer)).filter("depth >= top")
     template = often.join(valid.select("host", "vector", "on"), ["host", "vector", "on"])
-    listed = template.groupBy("host").agg(F.collect_set("token").alias("template"))
-    # slots: texts of no valid class; the container with most of their text
-    slots = tokens.join(template.select("host", "token"), ["host", "token"], "left_anti").filter("chars > 0")
-    main = (slots.filter(F.col("pages") >= MIN_PAGES).groupBy("host", "path").agg(F.sum("chars").alias("chars"))
-            .groupBy("host").agg(F.max_by("path", F.struct("chars", "path")).alias("main")))
+    template = stage(template, "template")
+    # slots: texts of no class that has tags; the container with most of their text, if it outweighs the template's
+    skeleton = template.filter("kind = 'tag'").select("host", "vector", "on").distinct()
+    fixed = template.filter("kind = 'text'").join(skeleton, ["host", "vector", "on"], "left_semi")
+    slots = (tokens.filter((F.col("kind") == "text") & (F.col("chars") > 0) & (F.col("pages") >= MIN_PAGES))
+             .join(fixed.select("host", "token"), ["host", "token"], "left_anti"))
+    main = (slots.groupBy("host", "path").agg(F.sum("chars").alias("chars"))
+            .groupBy("host").agg(F.max_by("path", F.struct("chars", "path")).alias("main"), F.sum("chars").alias("free"))
+            .join(fixed.groupBy("host").agg(F.sum("chars").alias("bound")), "host", "left")
+            .filter(F.col("free") >= F.coalesce("bound", F.lit(0))).select("host", "main"))
+    # a text is boilerplate if its class has a tag outside the main container; else pages share it as content
+    outside = (template.filter("kind = 'tag'").join(main, "host", "left")
+               .filter(F.col("main").isNull() | ~F.concat("path", F.lit("/")).startswith(F.concat("main", F.lit("/"))))
+               .select("host", "vector", "on").distinct())
+    listed = (template.filter("kind <> 'text'").unionByName(fixed.join(outside, ["host", "vector", "on"], "left_semi").select(template.columns))
+              .groupBy("host").agg(F.collect_set("token").alias("template")))
     return hosts.select("host").join(listed, "host", "left").join(main, "host", "left")
 
 
@@ -295,8 +308,10 @@ def main_text(html: str, template: frozenset[int] | set[int], main: str | None)
     if not inside and main is not None:
         inside = [x for x in shown if x[0].path == main or x[0].path.startswith(main + "/") or container(x[0].path) == main]
     kept = inside or shown
-    own = [x for x in kept if _code("text", x[0].path, x[0].text) not in template] if template else kept
-    return "\n".join(text for _, text in own or kept)
+    own = [x for x in kept if x[0].core or _code("text", x[0].path, x[0].text) not in template] if template else kept
+    if 2 * sum(len(text) for _, text in own) < sum(len(text) for _, text in kept):
+        own = kept  # mostly shared text: a near copy of other pages
+    return "\n".join(text for _, text in own)
 
 
 EXTRACTED = "page_id long, url string, text string, n_chars long"

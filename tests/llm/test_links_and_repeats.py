@@ -262,6 +262,30 @@ def test_html_names_never_take_the_content(spark):
     assert got == {**{i: want for i, (_, want) in enumerate(WRAPPED)}, **{100 + i: f"Text {i}\nLaw {i}" for i in range(8)}}
 
 
+def test_html_near_copies_of_a_host_keep_their_text(spark):
+    rng = random.Random(3)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(10 ** 5)}" for _ in range(n))
+    story, passage = [prose(20) for _ in range(4)], prose(15)
+    layouts = {"article": "<article>%s</article>", "div": "<div><section>%s</section></div>"}
+    rows, want = [], {}
+    for name, layout in layouts.items():
+        for share in (12, 8):  # of twelve pages near copies, the others hold a text of their own
+            for i in range(12):
+                texts = [f"By {i}", *story] if i < share else [f"By {i}", passage, prose(40), passage, prose(30)]
+                key = len(rows)
+                want[key] = "\n".join(texts)
+                body = layout % "".join(f"<p>{t}</p>" for t in texts)
+                rows.append((key, f"http://{name}{share}.example.org/{i}",
+                             f"<html><body><div><b>Site</b></div>{body}<nav>menu</nav></body></html>"))
+    got = {r["page_id"]: r["text"] for r in
+           html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # where all pages of a host are near copies without article, nothing tells its name from the story
+    assert {k: t.removeprefix("Site\n") for k, t in got.items()} == want
+    assert all(not t.startswith("Site") for k, t in got.items() if not rows[k][1].startswith("http://div12"))
+
+
 def test_html_template_finds_the_container_without_an_article(spark):
     """No semantic element: the slot with the most text, less the text all pages share."""
     body = "<html><body><div><b>Site name</b></div><div><section><p>All rights of this site</p><p>%s</p><p>%s</p></section></div>" \
