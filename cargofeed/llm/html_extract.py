@@ -1,23 +1,27 @@
 """Operator 7, HTML extraction: equivalence-class template deduction.
 
-A page is a sequence of tokens: tags (named by their path of tags) and texts
-(their path and content). Over the pages of a host each token has an occurrence
-vector, the number of times it occurs in each page. Tokens with equal vectors
-form an equivalence class; a class is valid if it is large enough and on most
-pages of the host. Valid classes nest by path and make up the host's template;
-what lies between their tokens are slots. The slot region with the most text,
-template text left out, is the host's main container.
-
-The main text of a page are its blocks inside ``article`` or ``main``, or else
-inside the main container of a host with enough pages, without those that stand in navigation,
-headers, footers, asides, forms, adverts, notices, comment threads and the like,
-and, outside ``article`` and ``main``, without texts of the template: those of a
-class that has tags outside the main container. Texts that pages share as content
-(copies and near copies of one article, a common passage) stay.
+A page is a sequence of tokens: tags (named by their path of tags), texts
+(their path and content) and names that hint at boilerplate. Over the pages of a
+host each token has an occurrence vector, the number of times it occurs in each
+page. Tokens with equal vectors form an equivalence class; a class is large
+enough and on most pages of the host. A class is valid if on every page its
+tokens come in one order, and its tuples lie whole between the same two
+consecutive tokens of each valid class before it (on more pages, or larger), or
+hold that class so, or lie beside it. Valid classes make up the host's template;
+what lies between their tokens are slots. The container with the most slot text
+is the host's main container, if its host has enough pages.
+
+The main text of a page are its blocks in the main container; one inside
+``article`` or ``main`` counts as all of these, and their text is main text on
+any page. Pages without either keep all blocks. What stands in navigation,
+headers, footers, asides, forms, adverts, notices, comment threads and the like
+is left out, and, outside ``article`` and ``main``, texts of the template: those
+of a class that has tags outside the main container. Texts that pages share as
+content (copies and near copies of one article, a common passage) stay.
 
 Vectors are never built: a page contributes a hash of (page, count) to each of
 its tokens, and the exclusive-or of these with the number of pages tells equal
-vectors apart. These aggregates are combined map-side, so a host with a third
+vectors apart. Order and nesting are checked page by page on stored token sequences. These aggregates are combined map-side, so a host with a third
 of all pages is no larger group than another, and pages are not shuffled:
 a host's template is bounded by its pages' size and is sent to them.
 
@@ -30,6 +34,7 @@ extracted alike; extra columns are ignored; an empty table gives an empty table.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -72,10 +77,10 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
 class Block:
     """A text block. ``pieces``: its texts with what leaves them out (``None`` for always, else marks)."""
 
-    __slots__ = ("path", "text", "core", "pieces")
+    __slots__ = ("path", "text", "core", "at", "pieces")
 
-    def __init__(self, path, core, pieces):
-        self.path, self.core, self.pieces = path, core, pieces
+    def __init__(self, path, core, at, pieces):
+        self.path, self.core, self.at, self.pieces = path, core, at, pieces  # at: tags before it
         self.text = self.shown(frozenset())
 
     def shown(self, honoured) -> str:
@@ -90,10 +95,10 @@ class Mark:
     ``confirm``: only if the host's template has it. ``thread``: a comment thread.
     """
 
-    __slots__ = ("path", "value", "confirm", "thread")
+    __slots__ = ("path", "value", "confirm", "thread", "at")
 
-    def __init__(self, path, value, confirm, thread):
-        self.path, self.value, self.confirm, self.thread = path, value, confirm, thread
+    def __init__(self, path, value, confirm, thread, at):
+        self.path, self.value, self.confirm, self.thread, self.at = path, value, confirm, thread, at
 
 
 def _named(name: str, key: str, value: str, core: bool, titled: bool) -> tuple[bool, bool]:
@@ -137,7 +142,7 @@ def blocks(html: str) -> tuple[list[Block], list[str], list[Mark]]:
         text = m["text"]
         if text is not None:
             if where[0] is None:
-                where[0] = path(), bool(stack) and stack[-1][2]
+                where[0] = path(), bool(stack) and stack[-1][2], len(paths)
             parts.append((text, () if not stack else None if stack[-1][1] else stack[-1][3]))
             continue
         name = m["name"]
@@ -147,7 +152,7 @@ def blocks(html: str) -> tuple[list[Block], list[str], list[Mark]]:
         if name == "br":
             parts.append((" ", ()))
             if where[0] is None:
-                where[0] = path(), bool(stack) and stack[-1][2]
+                where[0] = path(), bool(stack) and stack[-1][2], len(paths)
             continue
         if name not in _INLINE:
             flush()
@@ -173,7 +178,7 @@ def blocks(html: str) -> tuple[list[Block], list[str], list[Mark]]:
         core = inside or name in ("article", "main")
         if not out and name in _FORM:
             on += (len(marks),)
-            marks.append(Mark(path() + "/" + name, "", False, False))
+            marks.append(Mark(path() + "/" + name, "", False, False, len(paths)))
         if attrs.strip() and not out:
             for a in _HINT.finditer(attrs):
                 key, value = a[1].lower(), (a[2] or a[3] or a[4] or "").strip()
@@ -182,7 +187,7 @@ def blocks(html: str) -> tuple[list[Block], list[str], list[Mark]]:
                     hit, confirm = _named(name, key, value, inside, titled)
                     if hit:
                         on += (len(marks),)
-                        marks.append(Mark(path() + "/" + name, value, confirm, bool(_THREAD.search(value))))
+                        marks.append(Mark(path() + "/" + name, value, confirm, bool(_THREAD.search(value)), len(paths)))
                 elif key == "role":
                     out |= value.lower() in _OUT_ROLE
                     core |= value.lower() in ("main", "article")
@@ -230,7 +235,9 @@ def host_of(url):
     return F.lower(F.regexp_extract(F.coalesce(url.cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
 
 
-TOKENS = "host string, token long, kind string, path string, n long, chars long, page long"
+PAGES = ("host string, page long, token array<long>, kind array<string>, path array<string>, n array<long>, "
+         "chars array<long>, seq array<int>")
+NESTING = "host string, outer int, inner int, bad boolean, low long, high long"
 
 
 def _code(kind: str, path: str, text: str = "") -> int:
@@ -240,47 +247,135 @@ def _code(kind: str, path: str, text: str = "") -> int:
 
 
 def _tokens(pages: DataFrame) -> DataFrame:
-    """Tokens of every page with their counts; texts outside left-out regions have their length."""
-    def run(batch: pa.RecordBatch):
-        import xxhash
-
+    """Per page its distinct tokens with their counts, and their sequence; shown texts have their length."""
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for host, url, page, html in zip(*(batch.column(c).to_pylist() for c in ("host", "url", "page_id", "html")), strict=True):
+        for host, page, html in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "html")), strict=True):
             found, paths, marks = blocks(html)
             leave = honoured(found, marks)
-            key = xxhash.xxh64_intdigest(f"{page}\x00{url}") - (1 << 63)
+            # a tag opens after the texts before it; a mark stands at its element's tag
+            events = [(i, 1, "tag", path, _code("tag", path), 0) for i, path in enumerate(paths)]
+            events += [(b.at, 0, "text", container(b.path), _code("text", b.path, b.text), len(b.shown(leave))) for b in found]
+            events += [(m.at, -1, "mark", m.path, _code("mark", m.path, m.value), 0) for m in marks if m.confirm]
+            events.sort(key=lambda e: e[:2])
             count: dict[int, list] = {}
-            for path in paths:
-                count.setdefault(_code("tag", path), ["tag", path, 0, 0])[2] += 1
-            for b in found:
-                e = count.setdefault(_code("text", b.path, b.text), ["text", container(b.path), 0, 0])
-                e[2] += 1
-                e[3] += len(b.shown(leave))
-            for m in marks:
-                if m.confirm:
-                    count.setdefault(_code("mark", m.path, m.value), ["mark", m.path, 0, 0])[2] += 1
-            rows += [(host, token, *entry, key) for token, entry in count.items()]
+            seq = []
+            for _, _, kind, path, token, chars in events:
+                e = count.setdefault(token, [len(count), kind, path, 0, 0])
+                e[3] += 1
+                e[4] += chars
+                seq.append(e[0])
+            _, kind, path, n, chars = zip(*count.values(), strict=True) if count else [()] * 5
+            rows.append((host, page, list(count), kind, path, n, chars, seq))
+        types = [pa.string(), pa.int64(), *map(pa.list_, (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32()))]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                          names=[f.split()[0] for f in PAGES.split(", ")])
+    return map_batches(pages.withColumn("page", F.monotonically_increasing_id()), run, PAGES)
+
+
+def nesting(tokens: list[int], of: dict[int, int], size: dict[int, int]):
+    """``outer, inner, bad, place`` of the classes of one page's token sequence.
+
+    ``of`` names tokens' classes, lower numbers first in rank. A class is ordered
+    if its tokens come in one and the same order again and again (the row with
+    itself; the place is that order). Two classes nest if each tuple of one
+    lies between two consecutive tokens of the other, or beside its tuples (the
+    place tells which two tokens).
+    """
+    at: dict[int, list] = {}
+    for i, token in enumerate(tokens):
+        if token in of:
+            at.setdefault(of[token], []).append(i)
+    spots = {}
+    for c in sorted(at):
+        k = size[c]
+        order = tuple(tokens[i] for i in at[c][:k])
+        ordered = len(set(order)) == k and len(at[c]) % k == 0 and all(
+            tokens[i] == order[j % k] for j, i in enumerate(at[c]))
+        yield c, c, not ordered, hash(order) if ordered else 0
+        if ordered:
+            spots[c] = np.array(at[c])
+    names = list(spots)
+    for i, a in enumerate(names):
+        for b in names[i + 1:]:
+            place = _inside(spots[a], size[a], spots[b], size[b])
+            if place is None:
+                place = _inside(spots[b], size[b], spots[a], size[a])
+                place = place if place is None else -1 - place
+            yield a, b, place is None, place or 0
+
+
+def _inside(a: np.ndarray, k: int, b: np.ndarray, m: int) -> int | None:
+    """The one gap of ``a``'s tuples that holds every tuple of ``b`` whole (0: beside them), or None."""
+    gap = np.searchsorted(a, b)
+    if (gap.reshape(-1, m) != gap[::m, None]).any():
+        return None
+    gap = gap % k
+    return int(gap[0]) if (gap == gap[0]).all() else None
+
+
+def _valid(seqs: DataFrame, often: DataFrame, classes: DataFrame) -> DataFrame:
+    """``host, vector, on`` of the classes that are ordered and nest with all valid ones before them."""
+    rank = Window.partitionBy("host").orderBy(F.desc("on"), F.desc("size"), "depth", "vector")
+    ranked = stage(classes.withColumn("cls", F.row_number().over(rank)), "classes")
+    named = (often.join(ranked, ["host", "vector", "on"]).groupBy("host")
+             .agg(F.collect_list("token").alias("known"), F.collect_list("cls").alias("cls")))
+    named = stage(named, "named")
+    total = named.agg(F.sum(F.size("known"))).first()[0] or 0
+    named = F.broadcast(named) if total <= BROADCAST_IDS else named
+
+    def run(batch: pa.RecordBatch):
+        memo, seen = {}, {}
+        for i, host in enumerate(batch.column("host").to_pylist()):
+            if host not in memo:
+                of = dict(zip(batch.column("known")[i].as_py(), batch.column("cls")[i].as_py(), strict=True))
+                memo[host] = of, Counter(of.values())
+            token = batch.column("token")[i].as_py()
+            for a, b, bad, place in nesting([token[j] for j in batch.column("seq")[i].as_py()], *memo[host]):
+                e = seen.setdefault((host, a, b), [bad, place, place])
+                seen[host, a, b] = [e[0] or bad, min(e[1], place), max(e[2], place)]
+        rows = [(*key, *e) for key, e in seen.items()]
         if rows:
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.string() if i in (0, 2, 3) else pa.int64()) for i, c in enumerate(cols)],
-                names=[f.split()[0] for f in TOKENS.split(", ")])
-    return map_batches(pages, run, TOKENS)
+            types = (pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                             names=[f.split()[0] for f in NESTING.split(", ")])
+    found = map_batches(seqs.select("host", "token", "seq").join(named, "host"), run, NESTING)
+    clash = (found.groupBy("host", "outer", "inner").agg(F.max("bad").alias("bad"), F.min("low").alias("low"), F.max("high").alias("high"))
+             .filter("bad OR low <> high").groupBy("host").agg(F.collect_list(F.struct("outer", "inner")).alias("clash")))
+
+    def accept(batch: pa.RecordBatch) -> pa.RecordBatch:
+        gone = [rejected((e["outer"], e["inner"]) for e in x) for x in batch.column("clash").to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column("host"), pa.array(gone, pa.list_(pa.int32()))], names=["host", "gone"])
+    gone = (stage(map_batches(clash, accept, "host string, gone array<int>"), "rejected")
+            .select("host", F.explode("gone").alias("cls")))
+    return ranked.join(gone, ["host", "cls"], "left_anti").select("host", "vector", "on")
+
+
+def rejected(clashes) -> list[int]:
+    """Classes that clash with themselves, or with one before them that is not rejected."""
+    before: dict[int, list] = {}
+    for a, b in clashes:
+        before.setdefault(b, []).append(a)
+    gone: set[int] = set()
+    for c in sorted(before):
+        if any(a == c or a not in gone for a in before[c]):
+            gone.add(c)
+    return sorted(gone)
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """``host, template array<long>, main string``: tokens of the valid classes and the main container."""
     hosts = pages.groupBy("host").agg(F.count("*").alias("pages"))
-    tokens = (_tokens(pages).groupBy("host", "token").agg(
-        F.first("kind").alias("kind"), F.first("path").alias("path"), F.count("*").alias("on"), F.sum("n").alias("n"), F.sum("chars").alias("chars"),
+    seqs = stage(_tokens(pages), "pages")
+    each = seqs.select("host", "page", F.explode(F.arrays_zip("token", "kind", "path", "n", "chars")).alias("t")).select("host", "page", "t.*")
+    tokens = (each.groupBy("host", "token").agg(
+        F.first("kind").alias("kind"), F.first("path").alias("path"), F.count("*").alias("on"), F.sum("chars").alias("chars"),
         F.bit_xor(F.xxhash64("page", "n")).alias("vector")))
     tokens = stage(tokens, "tokens").join(F.broadcast(hosts) if hosts.count() <= BROADCAST_IDS else hosts, "host")
     often = tokens.filter((F.col("on") >= MIN_PAGES) & (F.col("on") >= MIN_SHARE * F.col("pages")))
     classes = often.groupBy("host", "vector", "on").agg(F.count("*").alias("size"), F.min(F.length("path")).alias("depth"))
-    # a class nests in one that is on at least as many pages and starts at least as high
-    outer = Window.partitionBy("host").orderBy(F.desc("on"), "depth").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    valid = classes.filter(F.col("size") >= MIN_TOKENS).withColumn("top", F.min("depth").over(outer)).filter("depth >= top")
-    template = often.join(valid.select("host", "vector", "on"), ["host", "vector", "on"])
+    valid = _valid(seqs, often, classes.filter(F.col("size") >= MIN_TOKENS))
+    template = often.join(valid, ["host", "vector", "on"])
     template = stage(template, "template")
     # slots: texts of no class that has tags; the container with most of their text, if it outweighs the template's
     skeleton = template.filter("kind = 'tag'").select("host", "vector", "on").distinct()
@@ -304,9 +399,14 @@ def main_text(html: str, template: frozenset[int] | set[int], main: str | None)
     found, _, marks = blocks(html)
     leave = honoured(found, marks, template)
     shown = [(b, text) for b in found if (text := b.shown(leave))]
-    inside = [x for x in shown if x[0].core]
-    if not inside and main is not None:
+    if main is not None:  # the slots inside article or main are all that it holds
         inside = [x for x in shown if x[0].path == main or x[0].path.startswith(main + "/") or container(x[0].path) == main]
+        if any(x[0].core for x in inside):
+            inside = [x for x in shown if x[0].core]
+        else:
+            inside = [x for x in shown if x[0].core or x in inside]
+    else:
+        inside = [x for x in shown if x[0].core]
     kept = inside or shown
     own = [x for x in kept if x[0].core or _code("text", x[0].path, x[0].text) not in template] if template else kept
     if 2 * sum(len(text) for _, text in own) < sum(len(text) for _, text in kept):

@@ -286,6 +286,42 @@ def test_html_near_copies_of_a_host_keep_their_text(spark):
     assert all(not t.startswith("Site") for k, t in got.items() if not rows[k][1].startswith("http://div12"))
 
 
+def test_html_classes_nest():
+    of = {1: 1, 2: 1, 3: 1, 7: 2, 8: 2}
+    size = {1: 3, 2: 2}
+
+    def check(*tokens):
+        return {(a, b): bad or place for a, b, bad, place in html_extract.nesting(tokens, of, size) if a != b or bad}
+    assert check(1, 7, 8, 7, 8, 2, 3) == {(1, 2): 1}  # between the first two tokens
+    assert check(1, 2, 3, 7, 8, 1, 2, 3) == {(1, 2): 0}  # beside
+    assert check(7, 1, 2, 3, 8) == {(1, 2): -2}  # the lower class is the outer one
+    assert check(1, 7, 2, 8, 3) == {(1, 2): True} and check(1, 7, 8, 2, 7, 8, 3) == {(1, 2): True}
+    assert check(1, 2, 3, 2, 1, 3) == {(1, 1): True}
+    assert html_extract.rejected([(1, 2), (2, 3), (4, 4), (4, 5)]) == [2, 4]
+
+
+def test_html_template_rejects_classes_that_do_not_nest(spark):
+    """Lines that stand before the article on some pages and after it on others are no template."""
+    rows = []
+    for i in range(12):
+        lines, text = "<p>moved one</p><p>moved two</p>", f"<p>own {'word ' * 20}{i}</p>"
+        body = f"<section>{lines if i % 2 else ''}<b>Fixed</b><ul></ul>{text}{'' if i % 2 else lines}</section>"
+        rows.append((i, "http://one.example.org/", f"<html><body><div><i>Site</i></div><div>{body}</div></body></html>"))
+    pages = spark.createDataFrame([(*r, "one") for r in rows], "page_id long, url string, html string, host string")
+    listed = set(html_extract.templates(pages).first()["template"] or ())
+    code = html_extract._code
+    assert code("tag", "html/body/div") not in listed and code("text", "html/body/div/section/p", "moved one") not in listed
+
+
+def test_html_slots_beside_an_article_count(spark):
+    """The host's largest slot is main text too where a page has a small article elsewhere; repeated rows do not cancel."""
+    body = "<html><body><article><p>teaser %d</p></article><div><b>Site</b></div><div><section><p>%s</p></section></div></body></html>"
+    rows = [(i // 2, "http://one.example.org/", body % (i // 2, f"story{i // 2} " * 40)) for i in range(16)]
+    got = {r["page_id"]: r["text"] for r in
+           html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"teaser {i}\n" + f"story{i} " * 39 + f"story{i}" for i in range(8)}
+
+
 def test_html_template_finds_the_container_without_an_article(spark):
     """No semantic element: the slot with the most text, less the text all pages share."""
     body = "<html><body><div><b>Site name</b></div><div><section><p>All rights of this site</p><p>%s</p><p>%s</p></section></div>" \
