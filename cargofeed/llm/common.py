@@ -102,6 +102,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | I
     return df.mapInArrow(run, schema)
 
 
+def per_row(docs: DataFrame, decide: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``decide(docs)`` with every row judged by itself where a ``doc_id`` is NULL or repeated.
+
+    ``decide`` then gets row numbers in its place, unique and in the order of
+    the ids (NULL last; by text within one id), and the ids come back in its rows.
+    """
+    if docs.groupBy("doc_id").count().filter("count > 1 OR doc_id IS NULL").isEmpty():
+        return decide(docs)
+    # the numbers rise with the range partitions of the sort; written once, so they stay
+    rows = docs.orderBy(F.asc_nulls_last("doc_id"), F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    rows = stage(rows.withColumn("__own_id", F.col("doc_id")).withColumn("doc_id", F.monotonically_increasing_id()), "rows")
+    return decide(rows).withColumn("doc_id", F.col("__own_id")).select(docs.columns)
+
+
 def keep_rows(docs: DataFrame, keep: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose ``doc_id`` is in ``keep(doc_id, n_rows)``, one row per id.
 

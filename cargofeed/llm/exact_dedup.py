@@ -11,7 +11,7 @@ remaining digests, none of which is frequent, go through an ordinary shuffle.
 Defined cases: NULL text counts as empty; all empty or blank texts are one
 group. Ties go to the longest original text, then the smallest ``doc_id``
 (NULL last), then one row of those that repeat a ``doc_id``; each group keeps
-exactly one row per kept ``doc_id`` in :func:`drop_duplicates`, while the
+exactly one row in :func:`drop_duplicates`, whatever the ids, while the
 decision table gives every row, repeated or not, its group's ``keep_id``.
 An empty table gives an empty table. Extra columns are ignored.
 """
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, keep_rows, stage, without_space
+from .common import id_text, keep_rows, per_row, stage, without_space
 
 #: A digest above this share of all rows is decided by broadcast.
 SUPPORT = 0.002
@@ -66,7 +66,11 @@ def exact_dedup(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
-    """The documents that stay, all columns."""
+    """The documents that stay, all columns: one row of each group."""
+    return per_row(docs, lambda rows: _keep(rows, support))
+
+
+def _keep(docs: DataFrame, support: float) -> DataFrame:
     kept = stage(exact_dedup(docs, support).filter("kept").groupBy("doc_id").agg(F.count("*").alias("n_rows")), "kept")
     return keep_rows(docs, kept)
 

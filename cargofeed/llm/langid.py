@@ -208,8 +208,15 @@ def identify(docs: DataFrame, samples: dict[str, str] | None = None) -> DataFram
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """Documents with a language, all columns; ``und`` ones go. ``doc_id`` is the key."""
-    found = identify(docs).groupBy("doc_id").agg(
+    """Documents with a language, all columns; ``und`` ones go. Each row is judged by its own text."""
+    from .common import per_row
+
+    samples = training_sample(docs)
+    return per_row(docs, lambda rows: _keep(rows, samples))
+
+
+def _keep(docs: DataFrame, samples: dict[str, str]) -> DataFrame:
+    found = identify(docs, samples).groupBy("doc_id").agg(
         F.count("*").alias("n_rows"), F.bool_and(F.col("lang_pred") != UNDETERMINED).alias("ok"))
     from .common import BROADCAST_IDS, stage
 

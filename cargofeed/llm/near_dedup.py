@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, id_text, keep_rows, map_batches, stage
+from .common import BROADCAST_IDS, id_text, keep_rows, map_batches, per_row, stage
 from .fingerprints import Ranges, mix
 from .graph import Forest, components, link_groups
 
@@ -295,7 +295,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each component (the smallest id) stays, all columns."""
+    """One document of each component (the smallest id) stays, all columns.
+
+    Rows without a ``doc_id`` stay; rows that share one are compared as documents of their own.
+    """
+    known = docs.filter("doc_id IS NOT NULL")
+    out = per_row(known, _keep)
+    nameless = docs.filter("doc_id IS NULL")
+    return out if nameless.isEmpty() else out.unionByName(nameless)
+
+
+def _keep(docs: DataFrame) -> DataFrame:
     kept = stage(near_duplicates(docs).groupBy("doc_id").agg(F.count("*").alias("n_rows"), F.bool_or("kept").alias("kept"))
                  .filter("kept"), "kept")
     return keep_rows(docs, kept)

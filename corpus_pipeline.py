@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargofeed.llm import exact_dedup, langid, near_dedup, packing, suffix_dedup
-from cargofeed.llm.common import prepare, stage, table
+from cargofeed.llm.common import per_row, prepare, stage, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,6 +34,10 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its text less repeated passages; ``n_chars`` follows the text."""
     prepare(spark)
+    return per_row(docs, _cut)
+
+
+def _cut(docs: DataFrame) -> DataFrame:
     kept = suffix_dedup.without_repeats(docs).withColumnsRenamed({"doc_id": "__id", "text": "__text"})
     rest = docs.drop("text").hint("shuffle_hash")
     out = kept.join(rest, rest["doc_id"].eqNullSafe(F.col("__id")))

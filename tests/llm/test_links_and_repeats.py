@@ -351,6 +351,35 @@ def test_html_pages_of_the_tables(spark):
         assert got[r["page_id"]] == "\n".join(p for p in parts if p)
 
 
+def test_pipeline_stages_judge_each_row_by_its_text(spark):
+    """NULL ids and ids repeated with different texts."""
+    rng = random.Random(5)
+
+    def prose(n=30):
+        return " ".join(rng.choice(("the", "over", "house", "river", "and")) + str(rng.randrange(10 ** 6)) for _ in range(n))
+    a, b, c, d, e, f, g = (prose() for _ in range(7))
+    rows = [(None, a), (None, b), (None, "12 34"), (None, None), (1, c), (1, d), (1, "!!"), (2, d + " "), (3, e), (3, f), (4, prose()), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", f"s{n}", len(t or "")) for n, (i, t) in enumerate(rows)], DOCS)
+
+    def run(k, df):
+        out = corpus_pipeline.stage(corpus_pipeline.STAGES[k][1](spark, df, SF), f"rows{k}")
+        assert out.columns == docs.columns
+        return out, sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    one, got = run(0, docs)
+    assert got == sorted([r for r in rows if r[1] not in ("12 34", None, "!!")], key=str)
+    two, got = run(1, one)
+    assert got == sorted([(None, a), (None, b), (1, c), (2, d + " "), (3, e), (3, f), rows[10]], key=str)
+    # of id 3 one row is a near copy of id 5's, the other one is not; id 3's two rows stay apart
+    more = spark.createDataFrame([(5, e + " end", "en", "s", 1), (6, f + " end", "en", "s", 1), (3, g, "en", "s", 1)], DOCS)
+    three, got = run(2, two.unionByName(more))
+    assert got == sorted([(None, a), (None, b), (1, c), (2, d + " "), (3, e), (3, f), (3, g), rows[10]], key=str)
+    twice = spark.createDataFrame([(3, e + g, "en", "twice", 1)], DOCS)  # e and g go from every row of theirs
+    four, got = run(3, three.unionByName(twice))
+    assert [t for _, t in got if t in (a, b, c, d + " ", f, rows[10][1])] and len(got) == 9
+    assert sorted(t for i, t in got if i == 3) == ["", "", "", f] and sorted(t for i, t in got if i is None) == sorted([a, b])
+    assert {r["source"] for r in four.collect() if r["text"] == f} == {"s9"}
+
+
 def test_pipeline_stage_by_stage(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame([(10 ** 6, None, None, "s", None), (10 ** 6 + 1, "12 34 !!", "en", "s", 8)], DOCS)
