@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import ann, bpe, chat, exact_dedup, html_extract, langid, near_dedup, packing, suffix_dedup, token_count
+from . import (ann, bpe, chat, exact_dedup, html_extract, langid, near_dedup, packing, secrets, suffix_dedup, token_count,
+               vector_codes, whitening)
 from .common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,9 +40,13 @@ def queries() -> dict[str, Query]:
         "op8_near_dedup": _on("documents", near_dedup.near_duplicates),
         "op9_chat_format": _chat,
         "op10_suffix_dedup": _on("documents", suffix_dedup.repeated_spans),
+        "op11_vector_codes": _on("embeddings", vector_codes.compress),
+        "op12_secret_scan": _on("documents", secrets.scan),
+        "op13_whitening": _on("embeddings", whitening.whiten),
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op8_near_dedup": near_dedup.ORACLE_SQL}
+    return {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op8_near_dedup": near_dedup.ORACLE_SQL,
+            "op11_vector_codes": vector_codes.ORACLE_SQL}
