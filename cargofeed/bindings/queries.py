@@ -28,7 +28,7 @@ from ..plans.wt import airwaybill_detail, shipment_weights, wt_feed, wt_rows
 from ..session import checkpoint_dir
 from ..sinks.csv import export_feed, read_feed
 from . import oracle as O
-from .testdata import TEST_AS_OF, freight_tables
+from .testdata import TEST_AS_OF, freight_cost_layout, freight_tables
 
 # The feed's own 45-day window at the test run day, and the full history.
 WINDOW_45 = LoadWindow(TEST_AS_OF, False, dt.date(2019, 1, 1))
@@ -190,19 +190,19 @@ def q_earliest_departure(spark, sf_dir):
 
 def q_fx_convert(spark, sf_dir):
     _, cw = _tables(spark, sf_dir)
-    rows = charge_costs(cw, cw["jobshipment"])
+    rows = charge_costs(cw, None, layout=freight_cost_layout(spark, sf_dir))
     out = rows.groupBy("js_pk", "ac_code").agg(F.sum("cost").alias("cost"))
     return typed(out, MONEY)
 
 
 def q_categorised_costs(spark, sf_dir):
     _, cw = _tables(spark, sf_dir)
-    return typed(MawbContext(cw).costs(), MONEY)
+    return typed(MawbContext(cw, layout=freight_cost_layout(spark, sf_dir)).costs(), MONEY)
 
 
 def q_total_cost(spark, sf_dir):
     _, cw = _tables(spark, sf_dir)
-    return typed(total_cost(MawbContext(cw).costs()), MONEY)
+    return typed(total_cost(MawbContext(cw, layout=freight_cost_layout(spark, sf_dir)).costs()), MONEY)
 
 
 def q_cw_feed(spark, sf_dir, window=WINDOW_45):

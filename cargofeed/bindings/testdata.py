@@ -25,9 +25,10 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..operators.cost_layout import CostLayout, cost_layout
 from ..operators.costs import RATE_COMPANY
 from ..session import checkpoint_dir
-from ..sources.schemas import ALL_SCHEMAS
+from ..sources.layout import bucket_count, store_family
 from ..sources.tables import conform
 
 BASE_TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
@@ -270,24 +271,27 @@ def freight_tables(spark: SparkSession, sf_dir: str, materialize: bool = True,
                    files_per_table: int | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(WT tables, CW tables) over the test tables in ``sf_dir``.
 
-    With ``materialize`` (default) the 17 derived tables are written once as
-    multi-file parquet under the shared checkpoint folder
-    (``spark.checkpoint.dir``), keyed by a fingerprint of the inputs and the
-    view definitions, and read back from there: queries then scan stored
-    source tables, as the feed job does in production, instead of deriving
+    With ``materialize`` (default) the 17 derived tables are stored once under
+    the shared checkpoint folder (``spark.checkpoint.dir``), keyed by a
+    fingerprint of the inputs and the view definitions, and read back from
+    there: queries then scan stored source tables, bucketed on their join keys
+    (``sources.layout``), as the feed job does in production, instead of deriving
     them from single-file test tables on every run. A copy is used only when
     its ``_SUCCESS`` marker exists; a missing or partial copy is rewritten.
     """
     wt, cw = freight_views(spark, sf_dir)
     if not materialize:
         return wt, cw
-    root = f"{checkpoint_dir(spark).rstrip('/')}/cargofeed-freight/{_fingerprint(spark, sf_dir)}"
-    n_files = files_per_table or spark.sparkContext.defaultParallelism
-    stored: dict[str, DataFrame] = {}
-    for name, df in {**wt, **cw}.items():
-        path = f"{root}/{name}"
-        fs, marker = _fs_status(spark, f"{path}/_SUCCESS")
-        if not fs.exists(marker):
-            df.repartition(n_files).write.mode("overwrite").parquet(path)
-        stored[name] = spark.read.schema(ALL_SCHEMAS[name]).parquet(path)
+    stored = store_family({**wt, **cw}, store_root(spark, sf_dir), bucket_count(spark), files_per_table)
     return ({n: stored[n] for n in wt}, {n: stored[n] for n in cw})
+
+
+def store_root(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of the stored copies of one test directory."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/cargofeed-freight/{_fingerprint(spark, sf_dir)}"
+
+
+def freight_cost_layout(spark: SparkSession, sf_dir: str) -> CostLayout:
+    """The stored cost layout of the CW tables of ``sf_dir``, built once."""
+    _, cw = freight_tables(spark, sf_dir)
+    return cost_layout(cw, store_root(spark, sf_dir), bucket_count(spark))

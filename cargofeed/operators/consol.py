@@ -111,9 +111,11 @@ def linked_shipments_per_consol(link: DataFrame, shipments: DataFrame) -> DataFr
 def shipment_mawb_multiplicity(link: DataFrame, consol: DataFrame,
                                air_per_consol: DataFrame) -> DataFrame:
     """``(jn_js, mawb, mult)``: how many (consolidation row x AIR leg) rows
-    each shipment contributes to each MAWB through its links."""
+    each shipment contributes to each MAWB through its links. Dealt by shipment, so
+    that a join on the shipment needs no further exchange."""
     c = consol.select("jk_pk", F.col("jk_masterbillnum").alias("mawb"))
     return (link.select("jn_js", "jn_jk")
                 .join(c, F.col("jn_jk") == c["jk_pk"])
                 .join(air_per_consol, F.col("jk_pk") == air_per_consol["jw_parentguid"])
+                .select("jn_js", "mawb", "n_air").repartition("jn_js")
                 .groupBy("jn_js", "mawb").agg(F.sum("n_air").alias("mult")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import day
 from ..functions.money import converted_cost
 from ..functions.validity import is_code
+from .cost_layout import CostLayout
 from .joins import broadcast_all_if_bounded, cut_to_keys, left_join_null_safe
 from .stage import stage
 
@@ -45,11 +46,46 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
 
 
-def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
+def _dimensions(tables: Mapping[str, DataFrame], all_codes: Sequence[str], rate_company: str, rate_type: str) -> list[DataFrame]:
+    """Charge codes, companies, branch multiplicities and rates: broadcast only after one bounded
+    job proves their sizes."""
+    codes = (tables["accchargecode"].filter(F.col("ac_code").isin(list(all_codes)))
+             .select("ac_pk", "ac_gc", "ac_code"))
+    company = tables["glbcompany"].select(
+        "gc_pk", F.col("gc_rx_nklocalcurrency").alias("local_cur"))
+    branch = (tables["glbbranch"].groupBy("gb_pk", "gb_gc")
+              .agg(F.count(F.lit(1)).cast("int").alias("n_branch")))
+    rates = _rates(tables["refexchangerate"], rate_company, rate_type)
+    return broadcast_all_if_bounded([codes, company, branch, rates])
+
+
+def _stored_chain(layout: CostLayout, shipments: DataFrame | None, codes: DataFrame,
+                  line_types: Sequence[str]) -> DataFrame:
+    """Charges with header, payable and receivable line from the stored layout.
+
+    The charges meet their headers without an exchange; then they alone are shuffled, once
+    to each role's lines, which stay in their buckets.
+    """
+    h, c = layout.headers, layout.charges
+    if shipments is not None:
+        wanted = shipments.select(F.col("js_pk").alias("__js"))
+        h = h.join(wanted, h["js_pk"] == wanted["__js"], "left_semi")
+    x = h.join(c, (h["jh_pk"] == c["jr_jh"]) & (h["jh_gc"] == c["jr_gc"]) & (h["copy"] == c["copy"])).drop("copy")
+    ap = layout.lines.filter(is_code("al_linetype", *line_types)).select(
+        F.col("al_pk").alias("ap_pk"), F.col("al_gc").alias("ap_gc"), F.col("copy").alias("__ap"), F.col("al_ac").alias("ap_ac"),
+        F.col("al_osamount").alias("ap_os"), F.col("post").alias("ap_post"), "txn_cur", F.col("inv").alias("ap_inv"))
+    ar = layout.lines.select(F.col("al_pk").alias("ar_pk"), F.col("al_gc").alias("ar_gc"), F.col("copy").alias("__ar"),
+                             F.col("inv").alias("ar_inv"))
+    x = (x.join(ap, (x["jr_al_apline"] == ap["ap_pk"]) & (x["jr_gc"] == ap["ap_gc"]) & (x["ap_copy"] == ap["__ap"]))
+          .join(codes, (F.col("ap_ac") == codes["ac_pk"]) & (F.col("jr_gc") == codes["ac_gc"])))
+    return left_join_null_safe(x, ar, ["jr_al_arline", "jr_gc", "ar_copy"], ["ar_pk", "ar_gc", "__ar"])
+
+
+def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame | None,
                  categories: Mapping[str, Sequence[str]] = COST_CATEGORIES,
                  line_types: Sequence[str] = COST_LINE_TYPES,
                  rate_company: str = RATE_COMPANY, rate_type: str = RATE_TYPE,
-                 reduce_history: bool = False) -> DataFrame:
+                 reduce_history: bool = False, layout: CostLayout | None = None) -> DataFrame:
     """One row per costed charge line of ``shipments``: ``(js_pk, ac_code, cost)``.
 
     The chain: shipment -> all its job headers -> charges of the header's
@@ -69,8 +105,30 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
     are staged. The big tables are then scanned and filtered, never shuffled
     whole. Each cut only drops rows that the following join could not
     match, so the result is unchanged.
+
+    ``layout``: the whole history from the stored bucketed tables
+    (:mod:`cost_layout`) instead; ``shipments`` None then stands for all of them.
     """
     all_codes = sorted({c for codes in categories.values() for c in codes})
+    codes, company, branch, rates = _dimensions(tables, all_codes, rate_company, rate_type)
+    if layout is not None:
+        x = _stored_chain(layout, shipments, codes, line_types)
+    else:
+        x = _source_chain(tables, shipments, codes, line_types, reduce_history)
+    pre, post = _prefixed(rates, "pre"), _prefixed(rates, "post")
+    x = (x.join(company, F.col("jr_gc") == company["gc_pk"])
+          .join(branch, (F.col("jh_gb") == branch["gb_pk"]) & (F.col("jh_gc") == branch["gb_gc"]), "left")
+          .join(pre, (F.col("local_cur") == pre["pre_cur"]) & (F.col("ship_day") == pre["pre_day"]), "left")
+          .join(post, (F.col("txn_cur") == post["post_cur"])
+                & (F.coalesce(F.col("ar_inv"), F.col("ap_inv")) == post["post_day"]), "left"))
+    cost = converted_cost("local_cur", "jr_localcostamt", "ap_post", "ap_os", "pre_rate", "post_rate")
+    n_branch = F.coalesce(F.col("n_branch"), F.lit(1))
+    return x.select("js_pk", "ac_code", (cost.cast(COST_ROW) * n_branch).cast(COST_ROW).alias("cost"))
+
+
+def _source_chain(tables: Mapping[str, DataFrame], shipments: DataFrame, codes: DataFrame,
+                  line_types: Sequence[str], reduce_history: bool) -> DataFrame:
+    """The chain over the source tables; see :func:`charge_costs`."""
     ship = shipments.select("js_pk", day("js_systemcreatetimeutc").alias("ship_day"))
     jh = tables["jobheader"].select("jh_pk", "jh_parentid", "jh_gc", "jh_gb")
     jr = tables["jobcharge"].select("jr_jh", "jr_gc", "jr_al_apline", "jr_al_arline",
@@ -89,17 +147,6 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
                      day("ah_invoicedate").alias("ap_inv"))
     arh = hdr.select(F.col("ah_pk").alias("arh_pk"), F.col("ah_gc").alias("arh_gc"),
                      day("ah_invoicedate").alias("ar_inv"))
-    codes = (tables["accchargecode"].filter(F.col("ac_code").isin(all_codes))
-             .select("ac_pk", "ac_gc", "ac_code"))
-    company = tables["glbcompany"].select(
-        "gc_pk", F.col("gc_rx_nklocalcurrency").alias("local_cur"))
-    branch = (tables["glbbranch"].groupBy("gb_pk", "gb_gc")
-              .agg(F.count(F.lit(1)).cast("int").alias("n_branch")))
-    rates = _rates(tables["refexchangerate"], rate_company, rate_type)
-    # dimension sides: broadcast only after one bounded job proves their sizes
-    codes, company, branch, rates = broadcast_all_if_bounded([codes, company, branch, rates])
-    pre, post = _prefixed(rates, "pre"), _prefixed(rates, "post")
-
     if reduce_history:
         def cut(df, keys, on, key_cols, label=None):
             out = cut_to_keys(df, keys, on, key_cols)
@@ -122,16 +169,8 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame,
     x = (ship.join(jh, ship["js_pk"] == jh["jh_parentid"])
              .join(jr, (F.col("jh_pk") == jr["jr_jh"]) & (F.col("jh_gc") == jr["jr_gc"]))
              .join(ap_full, (F.col("jr_al_apline") == ap_full["ap_pk"])
-                   & (F.col("jr_gc") == ap_full["ap_gc"]))
-             .join(company, F.col("jr_gc") == company["gc_pk"]))
-    x = left_join_null_safe(x, ar_full, ["jr_al_arline", "jr_gc"], ["ar_pk", "ar_gc"], spread_by="ap_pk")
-    x = (x.join(branch, (F.col("jh_gb") == branch["gb_pk"]) & (F.col("jh_gc") == branch["gb_gc"]), "left")
-          .join(pre, (F.col("local_cur") == pre["pre_cur"]) & (F.col("ship_day") == pre["pre_day"]), "left")
-          .join(post, (F.col("txn_cur") == post["post_cur"])
-                & (F.coalesce(F.col("ar_inv"), F.col("ap_inv")) == post["post_day"]), "left"))
-    cost = converted_cost("local_cur", "jr_localcostamt", "ap_post", "ap_os", "pre_rate", "post_rate")
-    n_branch = F.coalesce(F.col("n_branch"), F.lit(1))
-    return x.select("js_pk", "ac_code", (cost.cast(COST_ROW) * n_branch).cast(COST_ROW).alias("cost"))
+                   & (F.col("jr_gc") == ap_full["ap_gc"])))
+    return left_join_null_safe(x, ar_full, ["jr_al_arline", "jr_gc"], ["ar_pk", "ar_gc"], spread_by="ap_pk")
 
 
 def _category_sums(code: Column, value: Column,

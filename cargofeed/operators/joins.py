@@ -1,7 +1,8 @@
 """Join helpers: size-checked broadcast and key-set restriction.
 
 Broadcasting is only safe for a side whose size is *known*, not estimated.
-``broadcast_if_bounded`` counts the side first and only then hints a broadcast; beyond the bound the join is left to the
+Rows and bytes of a side are counted first and only then is a broadcast hinted; beyond the bound a key set is
+sent as a Bloom filter, whose size follows from the count, and the join itself is left to the
 shuffle strategies (sort-merge, with AQE skew splitting and AQE's own
 measured broadcast conversion).
 """
@@ -11,23 +12,38 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound on rows for a hinted broadcast of a narrow dimension table.
-# Narrow = a handful of short columns (company, charge code, branch, rates):
-# 2M rows of that width stay well under 256 MB on every executor.
+#: Upper bounds of a hinted broadcast: rows, and bytes of their values as text
+#: (a row's hash table entry is allowed for with ``ROW_BYTES``).
 DIMENSION_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
+ROW_BYTES = 32
 
+#: Bits of a Bloom filter per key, and of one block (eight words of 64 bits).
+BLOOM_BITS = 12
+BLOCK_WORDS = 8
+#: Most blocks that are broadcast: 2M rows of nine longs, enough for 85M keys.
+BLOOM_MAX_BLOCKS = 2_000_000
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (a plain count: partial
-    counts per task, nothing is funnelled into one)."""
-    return df.count() <= max_rows
+
+def _size(df: DataFrame) -> list[Column]:
+    """Aggregates: rows, and bytes of all values as text."""
+    width = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns]
+    total = reduce(lambda a, b: a + b, width, F.lit(ROW_BYTES))
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(total.cast("long")), F.lit(0)).alias("bytes")]
+
+
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes (partial
+    sums per task, nothing is funnelled into one)."""
+    r = df.agg(*_size(df)).first()
+    return r["n"] <= max_rows and r["bytes"] <= max_bytes
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven ``<= max_rows``; else ``df``."""
+    """``F.broadcast(df)`` when its size is proven within the bounds; else ``df``."""
     if has_at_most(df, max_rows):
         return F.broadcast(df)
     return df
@@ -42,9 +58,10 @@ def broadcast_all_if_bounded(dfs: Sequence[DataFrame],
     """
     if not dfs:
         return []
-    tagged = [d.groupBy().agg(F.lit(i).alias("__side"), F.count(F.lit(1)).alias("n")) for i, d in enumerate(dfs)]
-    counts = {r["__side"]: r["n"] for r in reduce(lambda a, b: a.unionByName(b), tagged).collect()}
-    return [F.broadcast(d) if counts[i] <= max_rows else d for i, d in enumerate(dfs)]
+    tagged = [d.groupBy().agg(F.lit(i).alias("__side"), *_size(d)) for i, d in enumerate(dfs)]
+    found = {r["__side"]: r for r in reduce(lambda a, b: a.unionByName(b), tagged).collect()}
+    return [F.broadcast(d) if found[i]["n"] <= max_rows and found[i]["bytes"] <= BROADCAST_MAX_BYTES else d
+            for i, d in enumerate(dfs)]
 
 
 def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
@@ -68,21 +85,65 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Seq
     ``key_cols`` of some row of ``keys`` (a small driving set, e.g. the keys
     of one load window).
 
-    When ``keys`` is counted to have at most ``max_rows`` rows, the cut is a
-    left-semi join against the broadcast key set: ``df`` is filtered inside
-    its scan stage and never shuffled. Otherwise it is a shuffled semi join
-    (with Spark's runtime filters): the history is reduced either way, the
-    count only chooses how. Callers use it only where the following join
+    The count of ``keys`` chooses how, never whether. Few keys (rows and bytes counted):
+    a left-semi join against the broadcast key set; ``df`` is filtered inside
+    its scan stage and never shuffled. More keys: ``df`` is first filtered in its scan stage by a
+    broadcast Bloom filter of the keys, about a hundredth of their size, and what
+    passes goes through an exact shuffled semi join. Beyond ``BLOOM_MAX_BLOCKS``: the
+    shuffled semi join alone. Callers use it only where the following join
     would drop the non-matching rows anyway. ``proven`` passes a bound
-    already established for ``keys`` (skips the count).
+    already established for ``keys`` (skips the count when true).
     """
     k = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key_cols)])
-    if proven if proven is not None else has_at_most(k, max_rows):
-        k = F.broadcast(k)
+    if proven is None:
+        size = k.agg(*_size(k)).first()
+        proven = size["n"] <= max_rows and size["bytes"] <= BROADCAST_MAX_BYTES
+        n = size["n"]
+    else:
+        n = None if proven else k.count()
     cond = reduce(lambda a, b: a & b, [df[o] == k[f"__k{i}"] for i, o in enumerate(on)])
+    if proven:
+        return df.join(F.broadcast(k), cond, "left_semi")
+    if -(-n * BLOOM_BITS // (64 * BLOCK_WORDS)) <= BLOOM_MAX_BLOCKS:
+        passed = bloom_cut(df, k, on, k.columns, n)
+        cond = reduce(lambda a, b: a & b, [passed[o] == k[f"__k{i}"] for i, o in enumerate(on)])
+        return passed.join(k, cond, "left_semi")
     return df.join(k, cond, "left_semi")
 
 
+def _block_and_masks(cols: Sequence[str], blocks: int) -> tuple[Column, list[Column]]:
+    """Block number of a key, and its one bit in each of the block's words."""
+    key = [F.col(f"`{c}`") for c in cols]
+    bits = F.xxhash64(*key, F.lit(1))
+    masks = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(bits, 6 * j).bitwiseAND(F.lit(63)).cast("int"))
+             for j in range(BLOCK_WORDS)]
+    return F.pmod(F.xxhash64(*key), F.lit(blocks)), masks
+
+
+def bloom_blocks(keys: DataFrame, cols: Sequence[str], n: int) -> tuple[DataFrame, int]:
+    """A split-block Bloom filter of at most ``n`` keys: ``(__block, __w0 .. __w7)``, and its number of blocks.
+
+    Built by one aggregation with map-side combining; about 1 in 100 absent keys passes.
+    """
+    blocks = max(1, -(-n * BLOOM_BITS // (64 * BLOCK_WORDS)))
+    at, masks = _block_and_masks(cols, blocks)
+    words = keys.select(at.alias("__block"), *[m.alias(f"__w{j}") for j, m in enumerate(masks)])
+    return words.groupBy("__block").agg(*[F.bit_or(f"__w{j}").alias(f"__w{j}") for j in range(BLOCK_WORDS)]), blocks
+
+
+def bloom_cut(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Sequence[str], n: int) -> DataFrame:
+    """Rows of ``df`` that a Bloom filter of the ``n`` rows of ``keys`` lets pass: all that match, and few others.
+
+    The types of ``on`` and ``key_cols`` must be the same, since their hashes are compared.
+    """
+    filter_rows, blocks = bloom_blocks(keys, key_cols, n)
+    at, masks = _block_and_masks(on, blocks)
+    cond = at == filter_rows["__block"]
+    for j, m in enumerate(masks):
+        cond &= filter_rows[f"__w{j}"].bitwiseAND(m) == m
+    return df.join(F.broadcast(filter_rows), cond, "left_semi")  # at most BLOOM_MAX_BLOCKS rows
+
+
 NULL_KEY_SPREAD = 512
 
 
@@ -95,23 +156,24 @@ def left_join_null_safe(left: DataFrame, right: DataFrame, left_keys: Sequence[s
     A left row with a NULL key can never match, but a shuffle join hashes
     every NULL key to the same partition: when many rows lack the key
     (charges without a receivable line, lines without a header) one task
-    receives all of them. A salt column joins the keys: 0 on keyed rows of
-    both sides (so matches are unchanged), a deterministic hash of the row
-    in ``[0, spread)`` on NULL-key left rows (which still match nothing,
-    since their key is NULL). The shuffle hashes (key, salt), so the NULL
-    rows spread over up to ``spread`` partitions. The result equals the
-    plain left join; no input is read twice. ``spread_by`` names a column of
-    many values whose hash is the salt; without it the whole row is hashed.
-    (Rows that hash alike stay together.)
+    receives all of them. ``__null_salt`` takes the place of the first key:
+    the key itself, or on rows that lack one a text that depends on a hash of the
+    row, in ``[0, spread)``. The join also asks for the key to be there, so
+    such a text meets nothing even if a key equals it. The right side is joined on
+    its own columns, so a right side bucketed on them is not shuffled, and no
+    input is read twice. ``spread_by`` names a column of many values whose hash is
+    taken; without it the whole row is hashed. (Rows that hash alike stay together.)
     """
     salt = "__null_salt"
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in left_keys])
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in ([spread_by] if spread_by else left.columns)])
-    l = left.withColumn(salt, F.when(no_key, F.pmod(row_hash, F.lit(spread))).otherwise(F.lit(0)))
-    # data-dependent on purpose: a literal 0 would be constant-folded out of
-    # the join keys and the NULL rows would hash to one partition again
-    r_no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in right_keys])
-    r = right.withColumn(salt, F.when(r_no_key, F.lit(-1)).otherwise(F.lit(0)).cast("long"))
-    cond = reduce(lambda a, b: a & b,
-                  [l[lk] == r[rk] for lk, rk in zip(left_keys, right_keys)]) & (l[salt] == r[salt])
-    return l.join(r, cond, "left").drop(l[salt]).drop(r[salt])
+    first, other = left_keys[0], right_keys[0]
+    own, theirs = F.col(first).cast("string"), right[other]
+    if dict(right.dtypes)[other] != "string":  # equal values of one type have one text
+        theirs = theirs.cast("string")
+    text = F.concat(F.lit("\u0000"), F.pmod(row_hash, F.lit(spread)).cast("string"))
+    l = left.withColumn(salt, F.when(no_key, text).otherwise(own))
+    cond = (l[salt] == theirs) & l[first].isNotNull()
+    for lk, rk in zip(left_keys[1:], right_keys[1:], strict=True):
+        cond &= l[lk] == right[rk]
+    return l.join(right, cond, "left").drop(l[salt])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..operators.consol import (consol_weights, linked_shipments_per_consol,
                                 shipment_mawb_multiplicity)
+from ..operators.cost_layout import CostLayout
 from ..operators.costs import (COST_CATEGORIES, charge_costs, costs_by_mawb,
                                costs_by_shipment, total_cost)
 from ..operators.flights import air_leg_base, flight_list
@@ -45,19 +46,25 @@ class MawbContext:
     load window) and each is read by several branches of the plan; Catalyst
     prunes every reference differently, so without this each branch would
     recompute the whole restriction chain, weights rollup included.
+
+    Without ``mawbs`` nothing is restricted: every later join drops what has no
+    partner. ``layout`` is the stored cost layout that the costs of
+    all history then read.
     """
 
     def __init__(self, tables: Mapping[str, DataFrame], mawbs: DataFrame | None = None,
-                 materialize: bool | str = False):
+                 materialize: bool | str = False, layout: CostLayout | None = None):
         def keep(df: DataFrame, label: str) -> DataFrame:
             if materialize == "persist":
                 return df.persist(StorageLevel.MEMORY_AND_DISK)
             return stage(df, label) if materialize else df
 
-        self.tables = tables
+        self.tables, self.layout, self.whole = tables, layout, mawbs is None
         self.materialize = materialize is True
 
         def cut(df: DataFrame, keys: DataFrame, on: str, key: str) -> DataFrame:
+            if self.whole:
+                return df
             if self.materialize:  # the keys are a written table: counted, then cut inside the scan
                 return cut_to_keys(df, keys, [on], [key])
             return restrict_to_keys(df, keys, on, key)
@@ -101,8 +108,9 @@ class MawbContext:
 
     def costs(self, categories: Mapping[str, list[str]] = COST_CATEGORIES) -> DataFrame:
         """``(mawb, <category>...)`` (M8)."""
-        charges = charge_costs(self.tables, self.shipments, categories,
-                               reduce_history=self.materialize)
+        every = self.whole and self.layout is not None
+        charges = charge_costs(self.tables, None if every else self.shipments, categories,
+                               reduce_history=self.materialize, layout=self.layout)
         per_ship = costs_by_shipment(charges, categories)
         n_air = self.legs.groupBy("jw_parentguid").agg(F.sum("n_leg").alias("n_air"))
         mult = shipment_mawb_multiplicity(self.link, self.consol, n_air)
