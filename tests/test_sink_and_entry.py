@@ -12,7 +12,8 @@ from cargofeed.job import run_feeds
 from cargofeed.bindings.queries import spark_queries
 from cargofeed.params import FeedParams
 from cargofeed.session import checkpoint_dir
-from cargofeed.sinks import NoDataError, export_feed, read_feed
+from cargofeed.sinks import NoDataError, csv, export_feed, read_feed
+from cargofeed.sinks.publish import current
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -48,6 +49,95 @@ def test_ordered_export(spark):
     assert dates == [f'"2001-01-{d:02d}"' for d in (1, 3, 5, 7, 9)]
 
 
+def _local_files(path):
+    local = path[len("file:"):] if path.startswith("file:") else path
+    return local, sorted(os.listdir(local))
+
+
+def test_one_file_with_one_header_from_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(csv, "PIECE", 7)  # parts are copied in many pieces
+    df = spark.range(200).selectExpr("id", "concat('x\"', id, if(id % 9 = 0, '\n', '')) AS t", "if(id % 4 = 0, null, id) AS v").repartition(6)
+    path = export_feed(df, "mawb", dt.date(2001, 8, 1), _root(spark))
+    local, files = _local_files(path)
+    assert [f for f in files if not f.startswith(".")] == ["part-00000.csv"]
+    text = open(os.path.join(local, "part-00000.csv")).read()
+    assert text.startswith('"id","t","v"\n') and text.count('"id"') == 1
+    want = sorted((str(i), f'x"{i}' + ("\n" if i % 9 == 0 else ""), None if i % 4 == 0 else str(i)) for i in range(200))
+    assert sorted(map(tuple, read_feed(spark, path).collect()), key=str) == sorted(want, key=str)
+    empty = export_feed(df.limit(0), "hawb", dt.date(2001, 8, 1), _root(spark), require_rows=False)
+    assert open(os.path.join(_local_files(empty)[0], "part-00000.csv")).read() == '"id","t","v"\n'
+
+
+def test_parts_are_published_where_no_task_can_write_at_an_offset(spark, monkeypatch):
+    df = spark.range(50).selectExpr("cast(id AS string) AS id", "'a' AS b").repartition(3)
+    monkeypatch.setattr(csv, "_local", lambda *_: None)
+    root = _root(spark)
+    for k in (50, 20):  # the second run replaces the first
+        path = export_feed(df.filter(f"id < {k}"), "mawb", dt.date(2001, 8, 1), root)
+        assert sorted(int(r["id"]) for r in read_feed(spark, path).collect()) == list(range(k))
+    version = current(spark, path)
+    whole = b""
+    for part, size, at in version["parts"]:
+        assert at == len(whole)
+        whole += open(part.removeprefix("file:"), "rb").read()
+        assert len(whole) == at + size
+    assert whole.startswith(b'"id","b"\n') and whole.count(b"\n") == 21
+    assert len([f for f in _local_files(path)[1] if f.startswith("_work-")]) == 1
+
+
+def test_a_killed_run_leaves_the_old_day_readable(spark, monkeypatch):
+    root, day = _root(spark), dt.date(2001, 8, 1)
+    path = export_feed(spark.createDataFrame([("old",)], "x string"), "mawb", day, root)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+    for step in ("_assemble", "_replace"):
+        with monkeypatch.context() as m:
+            m.setattr(csv, step, killed)
+            with pytest.raises(KeyboardInterrupt):
+                export_feed(spark.createDataFrame([("new",)], "x string"), "mawb", day, root)
+        assert [tuple(r) for r in read_feed(spark, path).collect()] == [("old",)]
+    with pytest.raises(NoDataError):  # nor does a run without rows
+        export_feed(spark.createDataFrame([], "x string"), "mawb", day, root)
+    assert [tuple(r) for r in read_feed(spark, path).collect()] == [("old",)]
+    export_feed(spark.createDataFrame([("new",)], "x string"), "mawb", day, root)
+    assert [tuple(r) for r in read_feed(spark, path).collect()] == [("new",)]
+    assert [f for f in _local_files(path)[1] if f.startswith("_work")] == []
+
+
+def test_a_feed_is_computed_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            calls.add(b.num_rows)
+            yield b
+    df = spark.range(30).selectExpr("id").mapInArrow(count, "id long")
+    export_feed(df, "mawb", dt.date(2001, 8, 1), _root(spark))
+    assert calls.value == 30
+    export_feed(df, "mawb", dt.date(2001, 8, 1), _root(spark), order_by=["id"])
+    assert calls.value == 60
+
+
+def test_a_hot_date_is_sorted_by_many_tasks(spark, monkeypatch):
+    df = spark.range(4000).selectExpr("if(id % 50 = 0, '2001-01-0' || (id % 3 + 1), '2001-01-02') AS date", "id")
+    seen = {}
+    tidy = csv._assemble
+
+    def look(s, work, header):
+        seen["sizes"] = [size for _, size in csv._parts(s, f"{work}/parts")]
+        return tidy(s, work, header)
+    monkeypatch.setattr(csv, "_assemble", look)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = export_feed(df, "mawb", dt.date(2001, 8, 1), _root(spark), order_by=["date"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(seen["sizes"]) == 8 and max(seen["sizes"]) < 2 * sum(seen["sizes"]) / 8
+    dates = [line.split(",")[0] for line in open(os.path.join(_local_files(path)[0], "part-00000.csv"))][1:]
+    assert len(dates) == 4000 and dates == sorted(dates)
+
+
 def test_staged_tables_go_with_the_run(spark):
     from cargofeed.operators.stage import stage, staged_run
     with staged_run(spark):
