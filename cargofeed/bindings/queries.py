@@ -104,15 +104,27 @@ def q_wt_feed(spark, sf_dir, window=WINDOW_45):
 
 
 def q_wt_feed_history_cut(spark, sf_dir):
-    """The WT feed through the large-input plan (history cut to the window's keys)."""
+    """The WT feed of all history through the window plan (history cut to the window's keys)."""
     wt, _ = _tables(spark, sf_dir)
-    return typed(wt_feed(wt, WINDOW_45, reduce_history=True))
+    return typed(wt_feed(wt, WINDOW_ALL, reduce_history=True))
 
 
 def q_cw_feed_history_cut(spark, sf_dir):
-    """The CW feed through the large-input plan (staged sets, charge history cut)."""
+    """The CW feed of all history through the window plan (staged sets, charge history cut)."""
     _, cw = _tables(spark, sf_dir)
-    return typed(cw_feed(cw, WINDOW_45, reduce_history=True), MONEY)
+    return typed(cw_feed(cw, WINDOW_ALL, reduce_history=True), MONEY)
+
+
+def q_wt_feed_uncut(spark, sf_dir):
+    """The WT feed of the 45-day window with all history joined, as the source query has it."""
+    wt, _ = _tables(spark, sf_dir)
+    return typed(wt_feed(wt, WINDOW_45, reduce_history=False))
+
+
+def q_cw_feed_uncut(spark, sf_dir):
+    """The CW feed of the 45-day window with all history joined, as the source query has it."""
+    _, cw = _tables(spark, sf_dir)
+    return typed(cw_feed(cw, WINDOW_45, reduce_history=False), MONEY)
 
 
 def q_wt_feed_rank(spark, sf_dir):
@@ -152,7 +164,7 @@ def q_chargeable_weight_cw(spark, sf_dir):
 
 def q_consol_rollup(spark, sf_dir, window=WINDOW_45):
     _, cw = _tables(spark, sf_dir)
-    return typed(consol_weights(cw, window))
+    return typed(consol_weights(cw, window, reduce_history=not window.full_load))
 
 
 def q_valid_mawb_wt(spark, sf_dir):
@@ -229,7 +241,8 @@ def q_total_cost(spark, sf_dir):
 
 def q_cw_feed(spark, sf_dir, window=WINDOW_45):
     _, cw = _tables(spark, sf_dir)
-    return typed(cw_feed(cw, window), MONEY)
+    layout = freight_cost_layout(spark, sf_dir) if window.full_load else None
+    return typed(cw_feed(cw, window, layout=layout), MONEY)
 
 
 def q_cw_mawb_feed(spark, sf_dir):
@@ -284,6 +297,8 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cw_feed": q_cw_feed,
         "cw_feed_full_history": lambda s, d: q_cw_feed(s, d, WINDOW_ALL),
         "cw_feed_history_cut": q_cw_feed_history_cut,
+        "wt_feed_uncut": q_wt_feed_uncut,
+        "cw_feed_uncut": q_cw_feed_uncut,
         "cw_mawb_feed": q_cw_mawb_feed,
         "cw_hawb_feed": q_cw_hawb_feed,
         "csv_roundtrip": q_csv_roundtrip,
@@ -390,14 +405,16 @@ def oracle_queries() -> dict[str, str]:
         "total_cost": _cw(totals),
         "wt_feed": _wt(wt45),
         "wt_feed_rank": _wt(wt45),
-        "wt_feed_history_cut": _wt(wt45),
+        "wt_feed_history_cut": _wt(O.wt_feed_sql(HISTORY_START)),
+        "wt_feed_uncut": _wt(wt45),
         "wt_feed_full_history": _wt(O.wt_feed_sql(HISTORY_START)),
         "wt_mawb_feed": _wt(_labels(WT_MAWB_OBSERVED, wt45)),
         "wt_mawb_feed_declared": _wt(_labels(WT_MAWB_DECLARED, wt45)),
         "wt_hawb_feed": _wt(_labels(HAWB_LABELS, wt45)),
         "cw_feed": _cw(cw45),
         "cw_feed_full_history": _cw(O.cw_feed_sql(HISTORY_START)),
-        "cw_feed_history_cut": _cw(cw45),
+        "cw_feed_history_cut": _cw(O.cw_feed_sql(HISTORY_START)),
+        "cw_feed_uncut": _cw(cw45),
         "cw_mawb_feed": _cw(_labels(CW_MAWB_LABELS, cw45)),
         "cw_hawb_feed": _cw(_labels(HAWB_LABELS, cw45, {"hawb"})),
         "csv_roundtrip": _wt(f"SELECT {roundtrip} FROM ({_labels(WT_MAWB_OBSERVED, wt45_text)}) f"),

@@ -59,16 +59,20 @@ def consol_weights(tables: Mapping[str, DataFrame], window: LoadWindow,
     source query. The legs are pre-counted per consolidation and applied as
     a multiplier, so no shipment x leg product is materialised.
 
-    ``reduce_history``: links are cut to the window's shipments, and
-    consolidations and legs to those links, before they are joined.
+    ``reduce_history``: headers and links are cut to the window's shipments, and
+    consolidations and legs to those links, before they are joined. Where the window is
+    all history that drops nothing: pass ``False``.
     """
     ship = load_window(tables["jobshipment"], "js_systemcreatetimeutc", window).select(
         "js_pk", "js_unitofweight", "js_actualweight", "js_actualchargeable",
         "js_unitofvolume", "js_actualvolume")
-    # the window's shipments are written first, so that what is counted and
-    # cut by is the window and not the planner's estimate of all history
-    ship = stage(ship, "window_shipments")
-    heads = first_job_headers(tables["jobheader"], ship.select("js_pk"), broadcast_cut=True)
+    if reduce_history:
+        # the window's shipments are written first, so that what is counted and
+        # cut by is the window and not the planner's estimate of all history
+        ship = stage(ship, "window_shipments")
+        heads = first_job_headers(tables["jobheader"], ship.select("js_pk"), broadcast_cut=True)
+    else:
+        heads = first_job_headers(tables["jobheader"])
     company = broadcast_if_bounded(tables["glbcompany"].select("gc_pk"))
     heads = heads.join(company, heads["jh_gc"] == company["gc_pk"]).select("jh_parentid")
     consol = valid_consols(tables["jobconsol"]).select(

@@ -15,6 +15,9 @@ AIR = "AIR"
 FLIGHT_SEPARATOR = ";"
 # Characters of a flight that name its part of a long list.
 PART_CHARS = 4
+# Occurrences of a flight in one piece of text, and pieces that one task joins.
+RUN_PIECE = 4096
+RUN_PART = 64
 
 
 def air_legs(transport: DataFrame) -> DataFrame:
@@ -57,27 +60,34 @@ def flight_list(legs: DataFrame, key: str, flight: str, sep: str = FLIGHT_SEPARA
 
     Plan: occurrences are first counted per (key, flight) with map-side
     partial aggregation, so the list aggregates see one row per distinct
-    flight of a key, however many legs and shipments repeat it. The list is
-    then built per (key, first characters of the flight) and those parts are
-    joined in order: a key that holds a large share of all flights (blank or
-    NULL MAWBs) is sorted by many tasks, and only its finished parts meet.
+    flight of a key, however many legs and shipments repeat it. A count is a run,
+    cut into pieces of ``RUN_PIECE`` occurrences while it is still a pair of numbers; pieces are
+    dealt over tasks by their place in the run and only there become text. Places, flights and
+    first characters of flights all follow the list's order, so joining the texts of a part, then of a
+    head, then of the key, each in order, gives the list: a key that holds a large
+    share of all flights (blank or NULL MAWBs), or a flight that occurs millions of times, is
+    built by many tasks, and only its finished parts meet.
     """
     trimmed = F.trim(F.col(flight))
     n: Column = F.col(count) if count else F.lit(1)
     per_flight = (legs.select(F.col(key), trimmed.alias("__flt"), n.alias("__n"))
-                  .groupBy(key, "__flt").agg(F.sum("__n").alias("__n")))
-    # NULL flights keep their key (the list is then NULL) but add no piece;
-    # the repeated text needs no array of occurrences
-    text = F.concat(F.col("__flt"), F.lit(sep))
-    piece = F.when(F.col("__flt").isNotNull(),
-                   F.concat(F.repeat(text, (F.col("__n") - 1).cast("int")), F.col("__flt")))
-    # prefixes sort as the flights do, so the parts follow each other in order
-    parts = (per_flight.withColumn("__piece", piece)
-             .withColumn("__head", F.substring("__flt", 1, PART_CHARS))
-             .groupBy(key, "__head")
-             .agg(F.expr(f"listagg(__piece, '{sep}') WITHIN GROUP (ORDER BY __flt)").alias("__part")))
-    return parts.groupBy(key).agg(
-        F.expr(f"listagg(__part, '{sep}') WITHIN GROUP (ORDER BY __head)").alias(out))
+                  .groupBy(key, "__flt").agg(F.sum("__n").cast("long").alias("__n")))
+    last = F.floor((F.col("__n") - 1) / F.lit(RUN_PIECE)).cast("long")
+    # NULL flights keep their key (the list is then NULL) but add no piece
+    places = F.when(F.col("__flt").isNotNull(), F.sequence(F.lit(0).cast("long"), F.greatest(last, F.lit(0).cast("long")))).otherwise(
+        F.array(F.lit(0).cast("long")))
+    runs = per_flight.select(key, "__flt", "__n", F.explode(places).alias("__place"))
+    runs = runs.withColumn("__part", F.floor(F.col("__place") / F.lit(RUN_PART))).repartition(key, "__flt", "__part")
+    times = F.least(F.lit(RUN_PIECE).cast("long"), F.col("__n") - F.col("__place") * RUN_PIECE).cast("int")
+    piece = F.when(F.col("__flt").isNotNull(), F.concat(F.repeat(F.concat(F.col("__flt"), F.lit(sep)), times - 1), F.col("__flt")))
+
+    def joined(df: DataFrame, by: list[str], text: str, order: str, to: str) -> DataFrame:
+        return df.groupBy(*by).agg(F.expr(f"listagg({text}, '{sep}') WITHIN GROUP (ORDER BY {order})").alias(to))
+    parts = joined(runs.withColumn("__piece", piece), [key, "__flt", "__part"], "__piece", "__place", "__text")
+    parts = parts.withColumn("__head", F.substring("__flt", 1, PART_CHARS)).withColumn(
+        "__at", F.struct("__flt", "__part"))
+    heads = joined(parts, [key, "__head"], "__text", "__at", "__text")
+    return joined(heads, [key], "__text", "__head", out)
 
 
 def earliest_departure(legs: DataFrame, key: str, ts: str,

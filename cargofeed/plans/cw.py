@@ -118,7 +118,7 @@ class MawbContext:
 
 
 def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
-            reduce_history: bool = True) -> DataFrame:
+            reduce_history: bool | None = None, layout: CostLayout | None = None) -> DataFrame:
     """CW query result (P3), one row per (MAWB, origin, destination).
 
     Rows need a positive total cost, a positive chargeable weight and a
@@ -127,15 +127,21 @@ def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
     DISTINCT is implied: the weights rollup is unique per (MAWB, port pair)
     and every right-hand side is unique per MAWB.
 
-    ``reduce_history`` (the default, whatever the sizes) stages the
+    ``reduce_history`` (by default: unless the window is a full load, whatever the sizes) stages the
     window-driven sets in the shared checkpoint folder and cuts the
-    history-wide charge tables to them; ``False`` persists the sets and joins
-    the history with ordinary shuffles (to compare plans). Both give the same rows.
+    history-wide charge tables to them. A full load needs all history: nothing is staged
+    or cut, and its costs come from the stored ``layout`` where one is given. ``False`` for a
+    45-day window persists the sets and joins
+    the history with ordinary shuffles (to compare plans). All give the same rows.
     """
+    cut = not window.full_load if reduce_history is None else reduce_history
     # one row per (MAWB, port pair) of the window: small, read by every branch
-    main = consol_weights(tables, window, reduce_history)
-    main = stage(main, "weights") if reduce_history else main.persist(StorageLevel.MEMORY_AND_DISK)
-    ctx = MawbContext(tables, main.select("mawb"), materialize=True if reduce_history else "persist")
+    main = consol_weights(tables, window, cut)
+    if window.full_load and not cut:
+        ctx = MawbContext(tables, None, layout=layout)
+    else:
+        main = stage(main, "weights") if cut else main.persist(StorageLevel.MEMORY_AND_DISK)
+        ctx = MawbContext(tables, main.select("mawb"), materialize=True if cut else "persist")
     j = (main.join(ctx.flights(), "mawb", "left")
              .join(ctx.departures(), "mawb", "left")
              .join(ctx.costs(), "mawb", "left"))

@@ -39,7 +39,7 @@ def shipment_weights(shipdesc: DataFrame) -> DataFrame:
 
 
 def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
-            latest_strategy: str = "max_join", reduce_history: bool = True) -> DataFrame:
+            latest_strategy: str = "max_join", reduce_history: bool | None = None) -> DataFrame:
     """The distinct joined rows before the final projection (A5), keyed by
     ``file_nbr`` (the order).
 
@@ -50,8 +50,11 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
     broadcast, else by a shuffled semi join. Rollups are per order / per airwaybill
     and every dropped row could only meet a non-matching join key, so the
     result is the same; the daily job just stops re-aggregating all history.
-    ``False`` leaves the history whole (to compare plans).
+    ``False`` leaves the history whole; so does the default for a full load, whose
+    window is all history and would drop nothing.
     """
+    if reduce_history is None:
+        reduce_history = not window.full_load
     awb = tables["tbl_airwaybill"]
     in_window = F.to_date(F.col("flightdatetime1")) >= F.lit(window.start)
     if reduce_history and latest_strategy == "max_join":
@@ -111,7 +114,7 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
 
 def wt_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
             latest_strategy: str = "max_join", ordered: bool = False,
-            reduce_history: bool = True) -> DataFrame:
+            reduce_history: bool | None = None) -> DataFrame:
     """WT query result (P1): the distinct rows without ``file_nbr`` (two
     orders identical in everything else give two rows), chargeable weight
     raised to the actual weight, date cast to a date.

@@ -69,6 +69,22 @@ def test_flight_list(spark):
     assert rows(out, "m", "flight_number") == [("m1", "FL1;FL2;FL2"), ("m2", None), ("m3", ";")]
 
 
+def test_flight_list_of_long_runs(spark, monkeypatch):
+    from cargofeed.operators import flights
+    monkeypatch.setattr(flights, "RUN_PIECE", 10)
+    monkeypatch.setattr(flights, "RUN_PART", 3)
+    data = [("m1", "AA1", 95), ("m1", "AA10", 1), ("m1", "AA2", 31), ("m1", " AB", 10), ("m1", None, 40), ("m2", "", 12), (None, "Z", 11)]
+    out = flight_list(spark.createDataFrame(data, "m string, f string, n long"), "m", "f", count="n")
+    want = ";".join(["AA1"] * 95 + ["AA10"] + ["AA2"] * 31 + ["AB"] * 10)
+    assert rows(out, "m", "flight_number") == sorted([("m1", want), ("m2", ";" * 11), (None, ";".join("Z" * 11))],
+                                                     key=lambda t: tuple((x is None, str(x)) for x in t))
+    many = flight_list(spark.createDataFrame([("m", "F", 10_000)], "m string, f string, n long"), "m", "f", count="n")
+    # the run is text only beyond the exchange that deals its pieces
+    p = many._jdf.queryExecution().executedPlan().toString()
+    assert p.index("repeat(") < p.index("REPARTITION_BY_COL")  # the plan is printed from the result down
+    assert many.first()["flight_number"] == ";".join(["F"] * 10_000)
+
+
 def test_earliest_departure(spark):
     s = dt.datetime(1900, 1, 1, 12, 0)
     real = dt.datetime(2001, 3, 4)
