@@ -14,8 +14,9 @@ table of removed tokens along the left spine of ``x``.
 A pre-split word is encoded in one pass over its bytes: every prefix has one
 valid tokenization, so each position keeps its last token, and from the state
 that token leads to the arcs are followed whose labels match the next bytes.
-Decoding emits arc labels. Words repeat, so each worker keeps a bounded table
-of encoded words; texts never leave the executors.
+Decoding emits arc labels. The driver compiles the automaton once and broadcasts
+its tables (their size depends on the vocabulary file alone). Words repeat, so each
+worker keeps a bounded table of encoded words; texts never leave the executors.
 
 Text preparation is that of the vocabulary file: special-token strings of the
 raw text become their ids, NFC, white space to one space, lower case, the
@@ -28,7 +29,9 @@ are ignored; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import json
 import re
 import unicodedata
@@ -36,12 +39,13 @@ import unicodedata
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
-from .common import held, id_text, map_batches
+from .common import id_text, map_batches
 
-#: Words kept per worker: encoded ids and labels of about 100 bytes each.
-CACHE_WORDS = 300_000
+#: Words kept per worker: about 200 bytes each with their ids.
+CACHE_WORDS = 450_000
 WORD_END = "</w>"
 #: Texts below this code point take the fast split.
 LATIN = 0x250
@@ -133,7 +137,7 @@ class TokenAutomaton:
         if not n:
             return []
         syms = [*word[:-1], word[-1] + 256]
-        nxt, token, shorter, width, arc, lead = self.next, self.token, self.shorter, self.width, self._arc, self.state
+        child, token, shorter, width, arc, lead = self._child, self.token, self.shorter, self.width, self._arc, self.state
         out: list[int] = []
         at, state, dead = 0, 0, set()
         tok = self._longest(syms, 0, n)
@@ -148,7 +152,7 @@ class TokenAutomaton:
                 state = lead[tok]
                 node, tok = 0, -1
                 for j in range(at, n):
-                    node = nxt[node].get(syms[j], -1)
+                    node = child(node, syms[j])
                     if node < 0:
                         break
                     if token[node] >= 0:
@@ -162,10 +166,13 @@ class TokenAutomaton:
                 state = lead[out[-1]] if out else 0
                 tok = shorter[last]
 
+    def _child(self, node: int, symbol: int) -> int:
+        return self._trie.one(node << 9 | symbol) if self.next is None else self.next[node].get(symbol, -1)
+
     def _longest(self, syms: list[int], at: int, n: int) -> int:
         node, tok = 0, -1
         for j in range(at, n):
-            node = self.next[node].get(syms[j], -1)
+            node = self._child(node, syms[j])
             if node < 0:
                 break
             if self.token[node] >= 0:
@@ -186,7 +193,7 @@ class TokenAutomaton:
         keys = (np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) << 20
                 | np.fromiter((t for d in self.removed for t in d), np.int64, sum(sizes)))
         self._gone = _Hash(keys, np.fromiter((k for d in self.removed for k in d.values()), np.int32, sum(sizes)))
-        self.removed = None  # the table has it all, in a third of the memory
+        self.removed = self.next = None  # the tables have it all, in a third of the memory
         self._token, self._lead = np.array(self.token, np.int32), np.array(self.state, np.int64)
         self._born, self._left = np.array(self.born, np.int64), np.array(self.left, np.int64)
         self._width = np.array(self.width, np.int64)
@@ -207,7 +214,15 @@ class TokenAutomaton:
         return ok
 
     def encode_many(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of many words: positions in step, one table transition for all words at a time."""
+        """Token ids of each of many words."""
+        ids, count = self.encode_flat(words)
+        return np.split(ids, np.cumsum(count)[:-1])
+
+    def encode_flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of many words, one after the other, and the number of each word's ids.
+
+        Positions go in step, one table transition for all words at a time.
+        """
         self.tables()
         lens = np.array([*map(len, words)], np.int64)
         first = np.cumsum(lens + 1) - (lens + 1)  # one position more than bytes
@@ -249,11 +264,14 @@ class TokenAutomaton:
             steps.append((live, last[at[live]]))
             at[live] = back[at[live]]
             live = live[at[live] > first[live]]
-        who = np.concatenate([s[0] for s in steps])
-        ids = np.concatenate([s[1] for s in steps])
-        step = np.repeat(np.arange(len(steps)), [len(s[0]) for s in steps])
-        order = np.lexsort((-step, who))
-        return np.split(ids[order].astype("<u4"), np.cumsum(np.bincount(who, minlength=len(words)))[:-1])
+        count = np.zeros(len(words), np.int64)
+        for live, _ in steps:
+            count[live] += 1
+        # the last token was met first: each step fills one place further from the end
+        end, out = np.cumsum(count), np.empty(int(count.sum()), "<u4")
+        for k, (live, tok) in enumerate(steps):
+            out[end[live] - 1 - k] = tok
+        return out, count
 
 
 class _Hash:
@@ -363,27 +381,69 @@ class Encoder:
         self.beyond = re.compile(f"[^\x00-{chr(LATIN - 1)}]|\u0130")
         self.simple = pattern == WORD_PATTERN  # the split that split_batch does on bytes
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, tuple[bytes, str]] = {}
-
-    def learn(self, word: str) -> tuple[bytes, str]:
-        if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
-        ids = self.automaton.encode(word.encode("utf-8"))
-        self.known[word] = entry = (b"".join([i.to_bytes(4, "little") for i in ids]), " ".join([self.label[i] for i in ids]))
-        return entry
-
-    def learn_many(self, words: list[str]) -> None:
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the table of known words; special tokens (keyed as tuples) are always in it."""
+        ids = [*self.special.values()]
+        self.known: dict[str | tuple[str], int] = {(s,): k for k, s in enumerate(self.special)}
+        self.spelled: list[str | None] = [*self.special]
+        self.pool, self.used = np.array(ids or [0], "<u4"), len(ids)
+        self.first, self.size = np.arange(max(1, len(ids))), np.ones(max(1, len(ids)), np.int64)
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "spelled", "pool", "used", "first", "size")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.forget()
+
+    def _add(self, words: list[str], ids: np.ndarray, count: np.ndarray) -> None:
+        n, at = len(self.known), self.used
+        while len(self.pool) < at + len(ids):
+            self.pool = np.concatenate([self.pool, np.empty(len(self.pool) + (1 << 16), "<u4")])
+        while len(self.first) < n + len(words):
+            self.first, self.size = (np.concatenate([a, np.empty(len(a) + (1 << 14), np.int64)]) for a in (self.first, self.size))
+        self.pool[at:at + len(ids)] = ids
+        self.used += len(ids)
+        self.first[n:n + len(words)] = at + np.cumsum(count) - count
+        self.size[n:n + len(words)] = count
+        self.known.update(zip(words, range(n, n + len(words))))
+        self.spelled += [None] * len(words)
+
+    def learn(self, words: list[str]) -> None:
         """Encode new words together; very long ones singly."""
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self.known.clear()
         raw = [w.encode("utf-8") for w in words]
         short = [(w, r) for w, r in zip(words, raw, strict=True) if len(r) <= STEP_BYTES]
-        for w in (w for w, r in zip(words, raw, strict=True) if len(r) > STEP_BYTES):
-            self.learn(w)
+        for w, r in zip(words, raw, strict=True):
+            if len(r) > STEP_BYTES:
+                ids = np.array(self.automaton.encode(r), "<u4")
+                self._add([w], ids, np.array([len(ids)]))
         if short:
-            label = self.label
-            for (w, _), ids in zip(short, self.automaton.encode_many([r for _, r in short]), strict=True):
-                self.known[w] = (ids.tobytes(), " ".join([label[i] for i in ids.tolist()]))
+            self._add([w for w, _ in short], *self.automaton.encode_flat([r for _, r in short]))
+
+    def places(self, words: list) -> np.ndarray:
+        """Place of each distinct word in the table; those the worker has not met yet are encoded together."""
+        def find() -> np.ndarray:
+            return np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
+        found = find()
+        new = np.flatnonzero(found < 0).tolist()
+        if new and len(self.known) + len(new) > CACHE_WORDS:
+            self.forget()
+            found = find()
+            new = np.flatnonzero(found < 0).tolist()
+        if new:
+            self.learn([words[i] for i in new])
+            found = find()
+        return found
+
+    def label_of(self, place: int) -> str:
+        """Decoded text of a known word: its labels joined by a space."""
+        out = self.spelled[place]
+        if out is None:
+            a = int(self.first[place])
+            out = self.spelled[place] = " ".join(map(self.label.__getitem__, self.pool[a:a + int(self.size[place])].tolist()))
+        return out
 
     def split(self, text: str) -> list[str]:
         """Prepared and pre-split words of a text without special tokens."""
@@ -435,53 +495,36 @@ class Encoder:
 
     def encode(self, text: str, labels: bool = False) -> tuple[bytes, str]:
         """Little-endian 32-bit ids and, if asked for, the decoded text (labels joined by a space)."""
-        get, learn = self.known.get, self.learn
-        if "<|" in text:
-            found = [(self.special[w].to_bytes(4, "little"), w) if special else get(w) or learn(w)
-                     for w, special in self.pieces(text)]
-        else:
-            found = [get(w) or learn(w) for w in self.split(text)]
-        return b"".join([e[0] for e in found]), " ".join([e[1] for e in found]) if labels else ""
-
-    def entry(self, word) -> tuple[bytes, str]:
-        if isinstance(word, tuple):
-            return self.special[word[0]].to_bytes(4, "little"), word[0]
-        return self.known.get(word) or self.learn(word)
-
-    def _entries(self, words: list) -> list[tuple[bytes, str]]:
-        """Entries of distinct words; those the worker has not met yet are encoded together."""
-        get = self.known.get
-        new = [w for w in words if get(w) is None and isinstance(w, str)]
-        for at in range(0, len(new), CACHE_WORDS // 4):
-            self.learn_many(new[at:at + CACHE_WORDS // 4])
-        return [get(w) or self.entry(w) for w in words]
+        return self.encode_batch([text], labels)[0]
+
+    def _flat(self, index: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words given by their index among distinct ones, and the bounds of each word's ids."""
+        first, size = self.first[place], self.size[place]
+        lens = size[index]
+        ends = np.zeros(len(index) + 1, np.int64)
+        np.cumsum(lens, out=ends[1:])
+        kind = np.int32 if max(int(ends[-1]), self.used) < 2 ** 31 else np.int64
+        where = np.repeat((first[index] - ends[:-1]).astype(kind), lens)
+        where += np.arange(int(ends[-1]), dtype=kind)
+        return self.pool[where], ends
 
     def encode_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts as one 32-bit array, and the bounds of each text's ids in it."""
         bounds, index, words = self.split_batch(texts)
-        flat, ends = self._flat(index, self._entries(words))
+        flat, ends = self._flat(index, self.places(words))
         return flat, ends[bounds]
 
-    @staticmethod
-    def _flat(index, entries):
-        raw = [e[0] for e in entries]
-        each = np.array([len(r) for r in raw] or [0], np.int64) // 4
-        start, lens = np.cumsum(each) - each, each[index]
-        ends = np.concatenate([[0], np.cumsum(lens)])
-        where = np.repeat(start[index] - ends[:-1], lens) + np.arange(ends[-1])
-        return np.frombuffer(b"".join(raw), "<u4")[where], ends
-
     def encode_batch(self, texts: list[str], labels: bool = False) -> list[tuple[bytes, str]]:
-        """:meth:`encode` of every text."""
+        """Ids and, if asked for, decoded text of every text."""
         bounds, index, words = self.split_batch(texts)
-        entries = self._entries(words)
-        flat, ends = self._flat(index, entries)
+        place = self.places(words)
+        flat, ends = self._flat(index, place)
         cuts = ends[bounds].tolist()
         ids = [flat[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         if not labels:
             return [(i, "") for i in ids]
         spelled = np.empty(len(words), object)
-        spelled[:] = [e[1] for e in entries]
+        spelled[:] = [*map(self.label_of, place.tolist())]
         text = spelled[index].tolist()
         return [(i, " ".join(text[a:b])) for i, a, b in zip(ids, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
@@ -490,9 +533,15 @@ class Encoder:
         return " ".join(map(self.label.__getitem__, ids))
 
 
+@functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """The worker's compiled automaton of a vocabulary file (its size depends on the file alone)."""
-    return held(("encoder", path), lambda: Encoder(path))
+    """The compiled automaton of a vocabulary file (its size depends on the file alone)."""
+    return Encoder(path)
+
+
+def shared_encoder(docs: DataFrame, path: str) -> Broadcast:
+    """The encoder compiled once on the driver; each worker's copy keeps its own table of known words."""
+    return docs.sparkSession.sparkContext.broadcast(encoder(path))
 
 
 def default_vocabulary() -> str:
@@ -506,15 +555,14 @@ TOKENS = "doc_id long, ids binary, decoded string"
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``doc_id, ids, decoded``: ids as little-endian 32-bit integers, and their decoded text."""
-    path = path or default_vocabulary()
+    shared = shared_encoder(docs, path or default_vocabulary())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc = encoder(path)
-        done = enc.encode_batch(batch.column("text").to_pylist(), labels=True)
+        done = shared.value.encode_batch(batch.column("text").to_pylist(), labels=True)
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([d[0] for d in done], pa.binary()), pa.array([d[1] for d in done], pa.string())],
             names=["doc_id", "ids", "decoded"])
-    return map_batches(id_text(docs), run, TOKENS, holds=True)
+    return map_batches(id_text(docs), run, TOKENS)
 
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -522,15 +570,14 @@ DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The digests of :func:`encode_documents`, taken in the worker so that ids and texts are not sent on."""
-    path = path or default_vocabulary()
+    shared = shared_encoder(docs, path or default_vocabulary())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc = encoder(path)
         rows = []
-        for ids, decoded in enc.encode_batch(batch.column("text").to_pylist(), labels=True):
+        for ids, decoded in shared.value.encode_batch(batch.column("text").to_pylist(), labels=True):
             rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode("utf-8")).hexdigest()))
         n, a, b = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())],
             names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return map_batches(id_text(docs), run, DIGESTS, holds=True)
+    return map_batches(id_text(docs), run, DIGESTS)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import default_vocabulary, encoder
+from .bpe import default_vocabulary, shared_encoder
 from .common import id_text, map_batches, stage
 
 WIDTH = 4096
@@ -96,19 +96,28 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 def pieces(docs: DataFrame, path: str | None = None, width: int = WIDTH, end_id: int = END_ID) -> DataFrame:
     """Each document's ids (and the end token) cut into pieces of ``width`` and a rest."""
-    path = path or default_vocabulary()
+    shared = shared_encoder(docs, path or default_vocabulary())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        flat, bounds = encoder(path).encode_ids(batch.column("text").to_pylist())
-        end = np.array([end_id], "<u4")
-        rows = []
-        for doc, a, b in zip(batch.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            ids = np.concatenate([flat[a:b], end])
-            rows += [(doc, at, min(width, len(ids) - at), zlib.crc32(ids[at:at + width].tobytes()), len(ids))
-                     for at in range(0, len(ids), width)]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
-                                          names=[f.split()[0] for f in PIECES.split(", ")])
-    return map_batches(id_text(docs), run, PIECES, holds=True)
+        flat, bounds = shared.value.encode_ids(batch.column("text").to_pylist())
+        n = batch.num_rows
+        # every text's ids with its end token behind them, in one buffer
+        size = np.diff(bounds) + 1
+        first = np.cumsum(size) - size
+        ids, text = np.empty(len(flat) + n, "<u4"), np.ones(len(flat) + n, bool)
+        text[first + size - 1] = False
+        ids[first + size - 1] = end_id
+        ids[text] = flat
+        cuts = -(-size // width)
+        doc = np.repeat(np.arange(n), cuts)
+        start = (np.arange(len(doc)) - np.repeat(np.cumsum(cuts) - cuts, cuts)) * width
+        length = np.minimum(width, size[doc] - start)
+        raw = memoryview(ids).cast("B")
+        crc = [zlib.crc32(raw[4 * a:4 * (a + k)]) for a, k in zip((first[doc] + start).tolist(), length.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(pa.array(doc)), *(pa.array(c, pa.int64()) for c in (start, length, crc, size[doc]))],
+            names=[f.split()[0] for f in PIECES.split(", ")])
+    return map_batches(id_text(docs), run, PIECES)
 
 
 def pack(cut: DataFrame, width: int = WIDTH) -> DataFrame:

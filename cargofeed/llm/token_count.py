@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .bpe import CACHE_WORDS, byte_symbols, default_vocabulary, encoder
+from .bpe import CACHE_WORDS, Encoder, byte_symbols, default_vocabulary
 from .common import held, id_text, map_batches
 
 
@@ -84,7 +84,7 @@ class Counter:
     """Word and token counts of whole texts, with a bounded table of counted words."""
 
     def __init__(self, path: str):
-        self.split = encoder(path)
+        self.split = Encoder(path)
         with open(path, encoding="utf-8") as f:
             model = json.load(f)["model"]
         end, byte = model["end_of_word_suffix"], {c: b for b, c in enumerate(byte_symbols())}
