@@ -19,14 +19,16 @@ Equal vectors are one class, searched once; of a class the ``k + 1`` smallest
 ids are enough for every query's ``k`` nearest, ties included.
 
 Defined cases: vectors that are NULL, zero, or hold NULL or non-finite
-components take no part, nor do rows without an id, nor vectors whose
-length is not the table's most common one. A query's own row is no candidate;
+components take no part, nor do rows without an id. Vectors of several lengths
+have products with their own length only: each length is searched by itself. A query's own row is no candidate;
 repeated rows of another id are. Fewer than ``k`` candidates: all of them.
 Extra columns are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -125,17 +127,35 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * b).sum(axis=1)
 
 
+#: Values that one step of the exact reranking multiplies.
+RERANK_CELLS = 4_000_000
+
+
 def _best(q: np.ndarray, c: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and exact products of the k best rows of ``c`` per row of ``q``; ties to smaller ids."""
+    """Ids and exact products of the k best rows of ``c`` per row of ``q``; ties to smaller ids.
+
+    Every column whose block product could belong to the k best, given the rounding of either sum, is
+    multiplied exactly, however many tie.
+    """
     k = min(k, len(c))
     s = q @ c.T
-    # a few more than k, so that rounding in the block product cannot decide
-    near = np.argpartition(-s, min(k + 8, len(c)) - 1, axis=1)[:, :min(k + 8, len(c))]
+    last = -np.partition(-s, k - 1, axis=1)[:, k - 1]
+    size = np.abs(q) @ np.abs(c).max(axis=0)  # of any product's terms, summed
+    slack = 4 * q.shape[1] * np.finfo(float).eps * size
     out_i, out_s = np.empty((len(q), k), np.int64), np.empty((len(q), k))
-    for r in range(len(q)):
-        exact = _products(np.broadcast_to(q[r], (near.shape[1], q.shape[1])), c[near[r]])
-        order = np.lexsort((ids[near[r]], -exact))[:k]
-        out_i[r], out_s[r] = ids[near[r]][order], exact[order]
+    near = s >= (last - slack)[:, None]
+    count = near.sum(axis=1)
+    at = 0
+    while at < len(q):
+        most = max(1, RERANK_CELLS // q.shape[1])
+        end = at + max(1, int(np.searchsorted(np.cumsum(count[at:]), most, "right")))
+        r, j = np.nonzero(near[at:end])
+        exact = np.concatenate([_products(q[at + r[x:x + most]], c[j[x:x + most]]) for x in range(0, len(r), most)])
+        order = np.lexsort((ids[j], -exact, r))
+        first = np.searchsorted(r, np.arange(end - at))
+        take = order[first[:, None] + np.arange(k)[None, :]]
+        out_i[at:end], out_s[at:end] = ids[j[take]], exact[take]
+        at = end
     return out_i, out_s
 
 
@@ -180,11 +200,17 @@ def _window(cells: DataFrame, near: DataFrame, curves: int, per_curve: int) -> t
 def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY, column: str = "embedding",
             cell: int = CELL) -> DataFrame:
     """``query_id, rank, vec_id, score``: for rows whose id is divisible by ``every``, the k nearest other rows."""
-    spark = vectors.sparkSession
     rows = clean(vectors, column).withColumn("d", F.size("vec"))
-    usual = rows.groupBy("d").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
-    dims = usual["d"] if usual else 1
-    rows = rows.filter(F.col("d") == dims).drop("d")
+    lengths = sorted(r["d"] for r in rows.filter(F.pmod("vec_id", F.lit(every)) == 0).select("d").distinct().collect())
+    found = [_nearest(rows.filter(F.col("d") == d).drop("d"), k, every, cell) for d in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, k: int, every: int, cell: int) -> DataFrame:
+    """:func:`nearest` among vectors of one length."""
+    spark = rows.sparkSession
     classes = stage(_classes(rows, k), "vectors")
     asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).withColumn("h", F.xxhash64("vec"))
     asked = stage(asked.join(classes.select("h", "vec", "rep"), ["h", "vec"]).select(F.col("vec_id").alias("query_id"), "rep"), "asked")
@@ -193,13 +219,16 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY, column: st
     if not stats["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     by_hash = F.pmod(F.xxhash64("rep", F.lit(3)), F.lit(1 << 20))
-    sample = classes.filter(by_hash < -(-2 * SAMPLE_VECTORS * (1 << 20) // stats["n"])).select("vec").limit(SAMPLE_VECTORS).collect()
-    curves = Curves(np.array([r["vec"] for r in sample] or [r["vec"] for r in classes.select("vec").limit(1).collect()]), stats["m"] ** 0.5)
-    n_curves = len(curves.axes)
+    sample = (classes.filter(by_hash < -(-2 * SAMPLE_VECTORS * (1 << 20) // stats["n"])).withColumn("o", F.xxhash64("rep", F.lit(3)))
+              .orderBy("o", "rep").limit(SAMPLE_VECTORS).select("vec").collect())
+    curves = Curves(np.array([r["vec"] for r in sample] or [r["vec"] for r in classes.orderBy("rep").select("vec").limit(1).collect()]),
+                    stats["m"] ** 0.5)
+    per_curve = max(1, -(-stats["n"] // cell))
+    n_curves = len(curves.axes) if per_curve > 1 else 1  # vectors that fit into one cell all meet there
 
     def place(kind: int):
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keys = curves.keys(_matrix(batch.column("vec")), kind == 1)
+            keys = curves.keys(_matrix(batch.column("vec")), kind == 1)[:n_curves]
             n = batch.num_rows
             at = np.tile(np.arange(n), n_curves)
             return pa.RecordBatch.from_arrays(
@@ -210,7 +239,6 @@ def nearest(vectors: DataFrame, k: int = NEAREST, every: int = EVERY, column: st
     schema = "curve int, key long, kind int, rep long, vec array<double>"
     points = (map_batches(classes.select("rep", "vec"), place(0), schema)
               .unionByName(map_batches(queries, place(1), schema)))
-    per_curve = max(1, -(-stats["n"] // cell))
     # neighbouring ranges of the curves; a hash of the id cuts runs of equal keys
     ordered = points.repartitionByRange(per_curve * n_curves, "curve", "key", F.xxhash64("rep"))
     cells = stage(ordered.withColumn("cell", F.spark_partition_id()), "cells")

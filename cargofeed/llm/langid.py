@@ -7,15 +7,18 @@ language that explains the text with the fewest phrases, each weighted with
 the bits that name a place in that language's training text, wins.
 
 Training reads a bounded sample: per language, documents with a non-null label
-and ``crc32(doc_id) % 3 <> 1``, in the order of a hash of their id, up to
-``SAMPLE_CHARS`` characters (at most ``SAMPLE_TEXT`` of each). Prediction reads
+and ``crc32(doc_id) % 3 <> 1`` (rows without an id too), in the order of a hash of their id,
+as many whole texts as fit into ``SAMPLE_CHARS`` characters. Texts of more than
+``SAMPLE_TEXT`` code points are not in the sample; a language that has no other
+is learned from its shortest text, whole. Prediction reads
 whole texts and nothing but the text.
 
 Parsing runs in step over many texts: the automata are transition tables over
 normalised characters (lower case, anything that is no letter is one space),
 long texts are parsed in blocks of ``BLOCK`` characters, each with its own phrases.
 
-Defined cases: NULL text or text without a letter is ``und`` with score 0, and
+Defined cases: NULL text or text without a letter (Unicode category L; digits of any
+kind, fractions and Roman numerals are none) is ``und`` with score 0, and
 so is every text if no labelled text was found. Ties go to the alphabetically
 first language. Repeated rows are predicted alike; extra columns are ignored;
 an empty table gives an empty table.
@@ -28,12 +31,13 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import held, map_batches
 
-#: Characters of training text per language, and of one document.
+#: Characters of training text per language, and code points of the longest text sampled.
 SAMPLE_CHARS = 60_000
 SAMPLE_TEXT = 3_000
 #: Documents per language that the sample is drawn from, about.
@@ -42,7 +46,7 @@ SAMPLE_DOCS = 100
 BLOCK = 512
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _OTHER = re.compile(r"[\W\d_]+")
 
 
@@ -58,23 +62,30 @@ def training_sample(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str
     """Normalised training text per language."""
     rows = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
             .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.coalesce(held_out(), F.lit(False))))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    short = F.length("text") <= SAMPLE_TEXT
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.when(short, 1)).alias("n")).collect()}
     if not sizes:
         return {}
     spread = 1_000_000
     take = F.lit(0)
     for lang, n in sizes.items():  # three times what is needed, by hash; all of a small language
-        take = F.when(F.col("lang") == lang, min(spread, -(-3 * SAMPLE_DOCS * spread // n))).otherwise(take)
+        take = F.when(F.col("lang") == lang, min(spread, -(-3 * SAMPLE_DOCS * spread // max(1, n)))).otherwise(take)
     picked = (rows.withColumn("h", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(spread)))
-              .filter(F.col("h") < take).select("lang", "h", "doc_id", F.substring("text", 1, SAMPLE_TEXT).alias("text")))
+              .filter(short & (F.col("h") < take)).select("lang", "h", "doc_id", "text"))
     out: dict[str, list[str]] = {}
     size: dict[str, int] = {}
-    for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["h"], r["doc_id"] is None, r["doc_id"])):
-        part = normalise(r["text"])[:chars - size.get(r["lang"], 0)]
-        if part:
+    for r in sorted(picked.collect(), key=lambda r: (r["lang"], r["h"], r["doc_id"] is None, r["doc_id"] or 0, r["text"])):
+        part = normalise(r["text"])
+        if part and (not size.get(r["lang"]) or size[r["lang"]] + len(part) <= chars):
             out.setdefault(r["lang"], []).append(part)
             size[r["lang"]] = size.get(r["lang"], 0) + len(part) + 1
-    return {lang: " ".join(parts) for lang, parts in sorted(out.items())}
+    long = [lang for lang in sizes if lang not in out]
+    if long:  # one text of each such language
+        least = F.min_by("text", F.struct(F.length("text"), "text"))
+        with_letter = rows.filter(F.col("lang").isin(long) & F.col("text").rlike(r"\p{L}"))
+        for r in with_letter.groupBy("lang").agg(least.alias("text")).collect():
+            out[r["lang"]] = [normalise(r["text"])]
+    return {lang: " ".join(parts) for lang, parts in sorted(out.items()) if any(parts)}
 
 
 def suffix_automaton(text: str, symbol: dict[str, int], width: int) -> np.ndarray:

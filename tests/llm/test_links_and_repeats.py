@@ -79,6 +79,20 @@ def test_near_duplicates_of_large_groups(spark, monkeypatch, blocks):
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d in texts if want[d] == d)
 
 
+def test_words_that_share_a_polynomial_hash_are_told_apart(spark):
+    """The Thue-Morse word and its complement have equal polynomials modulo 2^64 for every odd base."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"{word} x y z w v"), (4, f"{other} x y z w v"), (5, word)]
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+    words = [b"a" * n for n in range(1, 40)] + [b"b" * 8 + b"\0" * n for n in range(1, 9)] + [bytes([x]) for x in range(1, 9)]
+    seen = near_dedup.word_hashes(b" ".join(words))
+    assert len(set(seen.tolist())) == len(set(words))
+
+
 def test_near_duplicates_odd_rows(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (5, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (7, None)],
                                "doc_id long, text string")
@@ -187,6 +201,36 @@ def test_nearest_recall(spark):
         assert all(abs(s - float(np.dot(by_id[q], by_id[i]))) < 1e-12 for i, s, _ in found)
 
 
+def naive_nearest(rows, k=20, every=20):
+    """rows: (id, vector) that take part; products only with vectors of one length."""
+    out = []
+    for q, v in rows:
+        if q % every == 0:
+            near = sorted((-float((np.array(v) * np.array(w)).sum()), i) for i, w in rows if i != q and len(w) == len(v))
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(near[:k])]
+    return sorted(out)
+
+
+def test_nearest_with_many_ties_between_different_vectors(spark):
+    rng = random.Random(6)
+    # binary vectors: far more than k candidates of one product at the cut; and 120 that differ where the query is 0
+    bits = [(i, [float(rng.random() < 0.5) for _ in range(12)] + [1.0]) for i in range(260)]
+    flat = [(1000, [1.0, 0.0])] + [(1001 + i, [1.0, float(i)]) for i in range(120)]
+    for rows in (bits, flat):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        assert sorted(map(tuple, ann.nearest(df).collect())) == naive_nearest(rows)
+    q, c = np.array([[1.0, 0.0]] * 600), np.column_stack([np.ones(900), np.arange(900)])
+    best, score = ann._best(q, c, np.arange(900)[::-1].copy(), 20)
+    assert (best == np.arange(20)).all() and (score == 1).all()
+
+
+def test_nearest_of_several_lengths(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=2).tolist()) for i in range(100)] + [(1000 + i, rng.normal(size=3).tolist()) for i in range(60)] + [(40, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, ann.nearest(df).collect())) == naive_nearest(rows)
+
+
 def test_nearest_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (20, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]),

@@ -279,3 +279,20 @@ def test_empty_tables(empty):
     for run in (exact_dedup.exact_dedup, exact_dedup.drop_duplicates, bpe.token_digests, bpe.encode_documents,
                 token_count.token_counts, packing.pack_documents, langid.keep_identified):
         assert run(empty).collect() == []
+
+
+def test_language_of_numbers_and_training_on_whole_texts(spark):
+    rows = [(2, "hello house and river over the hill " * 3, "en"), (3, "und das haus mit dem fluss am berg " * 3, "de"),
+            (4, "\u00b2 \u00bd", "en"), (5, "\u2460", "en"), (6, "\u2167", None), (7, "123", None), (8, "\u00aa", None), (9, "\u05d0", None),
+            (None, "the house and the hill", "en")]
+    rows += [(30 + i, rows[i % 2][1], rows[i % 2][2]) for i in range(12)]
+    rows += [(10 + i, "la maison et la riviere sous la colline " * 200, "fr") for i in range(9)]  # long texts only
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df).collect()}
+    assert [got[i] for i in (4, 5, 6, 7)] == ["und"] * 4 and "und" not in (got[8], got[9])
+    assert got[2] == "en" and got[3] == "de" and {got[10 + i] for i in range(9)} == {"fr"}
+    sample = langid.training_sample(df)
+    assert sorted(sample) == ["de", "en", "fr"] and sample["fr"] == langid.normalise(rows[-1][1])
+    tight = langid.training_sample(df, chars=150)  # whole texts only: what does not fit stays out
+    texts = {langid.normalise(t) for _, t, lang in rows if lang == "en"}
+    assert tight["en"] in texts | {f"{a} {b}" for a in texts for b in texts} and len(tight["en"]) <= 151
