@@ -27,6 +27,9 @@ BLOCK_WORDS = 8
 #: Most blocks that are broadcast: 2M rows of nine longs, enough for 85M keys.
 BLOOM_MAX_BLOCKS = 2_000_000
 
+#: Up to so many keys are also named in the scan's filter.
+PUSHED_KEYS = 1000
+
 
 def _size(df: DataFrame) -> list[Column]:
     """Aggregates: rows, and bytes of all values as text."""
@@ -90,13 +93,17 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Seq
     its scan stage and never shuffled. More keys: ``df`` is first filtered in its scan stage by a
     broadcast Bloom filter of the keys, about a hundredth of their size, and what
     passes goes through an exact shuffled semi join. Beyond ``BLOOM_MAX_BLOCKS``: the
-    shuffled semi join alone. Callers use it only where the following join
+    shuffled semi join alone. The keys' least and greatest value go into the scan's filter, and up to
+    ``PUSHED_KEYS`` values of a single key column as well, so that row groups, files and
+    buckets that cannot hold a key are not read. Callers use it only where the following join
     would drop the non-matching rows anyway. ``proven`` passes a bound
     already established for ``keys`` (skips the count when true).
     """
     k = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key_cols)])
     if proven is None:
-        size = k.agg(*_size(k)).first()
+        ends = [f(c).alias(f"{f.__name__}_{c}") for c in k.columns for f in (F.min, F.max)]
+        size = k.agg(*_size(k), *ends).first()
+        df = _skip_files(df, k, on, size)
         proven = size["n"] <= max_rows and size["bytes"] <= BROADCAST_MAX_BYTES
         n = size["n"]
     else:
@@ -111,6 +118,17 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Seq
     return df.join(k, cond, "left_semi")
 
 
+def _skip_files(df: DataFrame, k: DataFrame, on: Sequence[str], size) -> DataFrame:
+    """Filters that the scan can check against its statistics; the semi join decides exactly."""
+    for o, c in zip(on, k.columns, strict=True):
+        if size[f"min_{c}"] is not None:
+            df = df.filter((F.col(o) >= F.lit(size[f"min_{c}"])) & (F.col(o) <= F.lit(size[f"max_{c}"])))
+    if len(on) == 1 and 0 < size["n"] <= PUSHED_KEYS:
+        values = [r[0] for r in k.distinct().collect() if r[0] is not None]  # at most PUSHED_KEYS
+        df = df.filter(F.col(on[0]).isin(values))
+    return df
+
+
 def _block_and_masks(cols: Sequence[str], blocks: int) -> tuple[Column, list[Column]]:
     """Block number of a key, and its one bit in each of the block's words."""
     key = [F.col(f"`{c}`") for c in cols]

@@ -141,3 +141,33 @@ def test_bloom_cut_keeps_every_match_and_shuffles_little_else(spark, monkeypatch
     # bytes count too: few rows of long keys are not broadcast
     assert joins.has_at_most(spark.createDataFrame([("x" * 1000,)] * 10, "k string"), 100, 20000)
     assert not joins.has_at_most(spark.createDataFrame([("x" * 1000,)] * 10, "k string"), 100, 5000)
+
+
+def test_a_cut_reads_only_files_that_can_hold_its_keys(spark):
+    root = fresh(spark)
+    df = spark.range(4000).selectExpr("cast(1000000 + id as string) k", "id v")
+    stored = write_buckets(df, f"{root}/bucketed", ["k"], 8)
+    one = spark.createDataFrame([("1000007",), ("1000007",)], "k string")
+    cut = joins.cut_to_keys(stored, one, ["k"], ["k"])
+    p = cut._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 1 out of 8" in p and "In(k" in p or "EqualTo(k,1000007)" in p
+    assert rows(cut) == [("1000007", 7)]
+    # many keys of one stretch: files of other stretches are passed over by their least and greatest key
+    df.repartitionByRange(8, "k").write.parquet(f"{root}/ranges")
+    history = spark.read.parquet(f"{root}/ranges")
+    keys = spark.range(100, 1300).selectExpr("cast(1000000 + id as string) k")
+    cut = joins.cut_to_keys(history, keys, ["k"], ["k"])
+    assert "GreaterThanOrEqual(k,1000100), LessThanOrEqual(k,1001299)" in cut._jdf.queryExecution().executedPlan().toString()
+    assert cut.count() == 1200
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cut = joins.cut_to_keys(history, keys, ["k"], ["k"])
+        cut.collect()
+        scan = cut._jdf.queryExecution().executedPlan()
+        while scan.children().size():
+            scan = scan.children().head()
+        assert scan.metrics().apply("numOutputRows").value() < 2100  # four of eight files have such rows at most
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    nulls = joins.cut_to_keys(history, spark.createDataFrame([(None,)], "k string"), ["k"], ["k"])
+    assert nulls.count() == 0 and joins.cut_to_keys(history, keys.limit(0), ["k"], ["k"]).count() == 0

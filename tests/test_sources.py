@@ -79,3 +79,32 @@ def test_reader_options_per_table():
     assert table_options(given, "jobheader") == {"url": "jdbc:x", "a.b": "c"}
     with pytest.raises(ValueError):
         reader_options(["url"])
+
+
+def test_job_from_two_roots_and_from_a_catalog_database(spark, capsys):
+    """Each family from a database of its own (S18), and a database named by stage."""
+    from cargofeed.bindings.testdata import freight_tables
+    from cargofeed.job import main
+    from cargofeed.sinks import read_feed
+    wt, cw = freight_tables(spark, "/root/testdata/sf0.001")
+    base = f"{checkpoint_dir(spark).rstrip('/')}/test-job-{uuid.uuid4().hex}"
+    for family, tables in (("one", wt), ("two", cw)):
+        for name, df in tables.items():
+            df.write.parquet(f"{base}/{family}/{name}")
+
+    def run(out, *more):
+        assert main(["--as-of", "2001-08-01", "--out", f"{base}/{out}", *more]) == 0
+        assert "ok=True" in capsys.readouterr().out
+        return {feed: sorted(map(str, read_feed(spark, f"{base}/{out}/feed={feed}/dt=2001-08-01").collect()))
+                for feed in ("mawb", "hawb", *(["cwmawb"] if "--cw-root" in more else []))}
+    files = run("files", "--wt-root", f"{base}/one", "--cw-root", f"{base}/two")
+    assert all(files.values())
+    database = f"uat_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database}")
+    for name in wt:
+        spark.sql(f"CREATE TABLE {database}.{name} USING parquet LOCATION '{base}/one/{name}'")
+    tables = run("tables", "--wt-root", database, "--format", "table")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    assert tables["mawb"] == files["mawb"] and tables["hawb"] == files["hawb"]
+    with pytest.raises(Exception, match="two/tbl_airwaybill|PATH_NOT_FOUND"):  # the families are not mixed up
+        main(["--as-of", "2001-08-01", "--out", f"{base}/none", "--wt-root", f"{base}/two"])
