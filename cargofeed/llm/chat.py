@@ -19,7 +19,7 @@ the text exactly.
 
 Defined cases: NULL text and NULL role count as empty strings (the empty role
 is an "other" role). Turns are ordered by ``turn`` (NULL first), ties and
-repeated rows by role, then text; none is dropped. A NULL ``conv_id`` is one
+repeated rows by their formatted segment; none is dropped. A NULL ``conv_id`` is one
 conversation of its own. Empty tables give empty tables; extra columns are ignored.
 """
 
@@ -200,3 +200,26 @@ def probe(spark: SparkSession) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     return spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
                                  "conv_id long, turn long, role string, text string")
+
+
+#: The template in SQL: every turn formatted, and the digests of what it was made of.
+ORACLE_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, regexp_replace(text, '([<\[])(\\*)(</?SYS>>|/?INST\]|ANS\]|/?ROLE\]|</ROLE>>|/?s>)', '\1\2\\\3', 'g') AS esc,
+         regexp_replace(role, '([<\[])(\\*)(</?SYS>>|/?INST\]|ANS\]|/?ROLE\]|</ROLE>>|/?s>)', '\1\2\\\3', 'g') AS name
+  FROM t),
+f AS (
+  SELECT *, CASE role WHEN 'system' THEN '<<SYS>>' || esc || '<</SYS>>' WHEN 'user' THEN '[INST] ' || esc || ' [/INST]'
+                      WHEN 'assistant' THEN '[ANS] ' || esc || '</s>'
+                      ELSE '[ROLE]' || name || '[/ROLE]' || esc || '<</ROLE>>' END AS segment FROM e)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, segment)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn NULLS FIRST, segment)) AS loss_sha256,
+       CAST(sum(length(segment)) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id
+"""

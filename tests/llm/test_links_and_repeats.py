@@ -79,6 +79,18 @@ def test_near_duplicates_of_large_groups(spark, monkeypatch, blocks):
     assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d in texts if want[d] == d)
 
 
+def test_components_of_stars_paths_and_repeats(spark):
+    rng = random.Random(8)
+    star = [(5000, i) for i in range(1, 3000)]  # one centre, larger than all its neighbours
+    path = [(10000 + i, 10001 + i) for i in range(300)]
+    rng.shuffle(path)
+    other = [(20000, 20001), (20001, 20000), (20002, 20002), (20003, 20001)]
+    edges = spark.createDataFrame(star + path + other + star[:50], "a long, b long")
+    got = {r["id"]: r["component"] for r in graph.components(edges).collect()}
+    want = {i: 1 for i in [*range(1, 3000), 5000]} | {10000 + i: 10000 for i in range(301)} | {i: 20000 for i in (20000, 20001, 20003)}
+    assert got == want and graph.components(edges.limit(0)).collect() == []
+
+
 def test_words_that_share_a_polynomial_hash_are_told_apart(spark):
     """The Thue-Morse word and its complement have equal polynomials modulo 2^64 for every odd base."""
     word = "a"

@@ -296,3 +296,11 @@ def test_language_of_numbers_and_training_on_whole_texts(spark):
     tight = langid.training_sample(df, chars=150)  # whole texts only: what does not fit stays out
     texts = {langid.normalise(t) for _, t, lang in rows if lang == "en"}
     assert tight["en"] in texts | {f"{a} {b}" for a in texts for b in texts} and len(tight["en"]) <= 151
+
+
+def test_chat_digests_match_the_oracle(spark):
+    from cargofeed.llm import registry
+    got = sorted(map(tuple, registry.queries()["op9_chat_format"](spark, SF).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{SF}/conversations.parquet')")
+    assert got == sorted(con.execute(chat.ORACLE_SQL).fetchall())
