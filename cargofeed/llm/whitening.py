@@ -9,7 +9,7 @@ AND, weighted by both bits, sums to the cross-product of two dimensions. Each
 task adds up its blocks as Python integers, Spark adds the tasks (numbers
 travel in limbs of 30 bits, so no size overflows), and the driver gets one number per
 pair of dimensions. ``n * cross - S * S'`` is the centred scatter times n, an
-exact integer; its division by ``n^2`` is the first rounding before ``eigh``.
+exact integer; its division by ``n^2`` is the first rounding before ``eigh`` (:func:`eigen`).
 
 Rows are then projected one by one from ``n * x - S``, which is exact too.
 
@@ -167,19 +167,54 @@ def scatter(fit: DataFrame) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
     return out
 
 
+#: Eigenvalues above this share of the largest are taken from one ``eigh``; the rest from one on their own subspace.
+GRADE = 1e-6
+#: Share of the largest eigenvalue below which one is rounding (of the bases' rounding, squared).
+NOISE = 1e-26
+
+
+def _ratio(a: np.ndarray, b: int) -> np.ndarray:
+    """Integers over an integer, each correctly rounded."""
+    return np.array([[v / b for v in row] for row in a.tolist()], float).reshape(a.shape)
+
+
+def eigen(centred: np.ndarray, square: int, wanted: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest eigenvalues, falling, and unit eigenvectors of ``centred / square`` (integers).
+
+    ``eigh`` is exact to a share of the largest eigenvalue, so of values far below it little is left. These are
+    solved again on the subspace that the large ones leave, whose covariance is computed with integers first.
+    """
+    d = len(centred)
+    wanted = min(wanted, d)
+    values, axes, basis = np.zeros(0), np.zeros((d, 0)), np.eye(d)
+    cov = _ratio(centred, square)
+    while len(values) < wanted:
+        w, u = np.linalg.eigh((cov + cov.T) / 2)
+        w, q = w[::-1], basis @ u[:, ::-1]
+        top = max(w[0], 0.0)
+        if top <= NOISE * (values[0] if len(values) else top):
+            values = np.concatenate([values, np.zeros(wanted - len(values))])
+            axes = np.column_stack([axes, q[:, :len(values) - axes.shape[1]]])
+            break
+        sure = int((w > GRADE * top).sum())
+        values, axes = np.concatenate([values, w[:sure]]), np.column_stack([axes, q[:, :sure]])
+        if len(values) < wanted:
+            whole, _ = np.linalg.qr(np.column_stack([axes, q[:, sure:]]))
+            basis = whole[:, axes.shape[1]:]
+            fixed = np.array([[int(v * 2.0 ** 60) for v in row] for row in basis.tolist()], object)
+            cov = _ratio(fixed.T.dot(centred).dot(fixed), square << 120)
+    return values[:wanted], axes[:, :wanted]
+
+
 class Whitener:
     """Eigenvectors of one length's covariance, by falling eigenvalue."""
 
     def __init__(self, n: int, sums: np.ndarray, cross: np.ndarray, components: int = COMPONENTS):
         self.n, self.sums = n, sums
         centred = n * cross - np.outer(sums, sums)  # integers
-        cov = np.array([[v / (n * n) for v in row] for row in centred.tolist()], float)
-        values, vectors = np.linalg.eigh(cov)
-        order = np.argsort(values)[::-1][:components]
-        self.values, self.axes = np.maximum(values[order], 0), vectors[:, order]
+        self.values, self.axes = eigen(centred, n * n, components)
         self.trace = sum(np.diagonal(centred).tolist()) / (n * n)
-        noise = len(cov) * np.finfo(float).eps * (values.max() if len(values) else 0)
-        self.real = self.values > noise
+        self.real = self.values > NOISE * max(self.values, default=0)
 
     @property
     def explained(self) -> list[float | None]:
@@ -197,7 +232,7 @@ class Whitener:
 
     def project(self, centred: np.ndarray) -> np.ndarray:
         """Whitened rows; components of no variance are NaN."""
-        y = (centred / self.n).astype(float) @ self.axes
+        y = (centred / self.n).astype(float) @ self.axes  # each entry rounded once
         return np.where(self.real, y / np.sqrt(np.where(self.real, self.values, 1)), np.nan)
 
 

@@ -178,6 +178,27 @@ def test_whitening_without_variance_and_lengths(spark):
         assert r["n"] == n and r["deviation"] is None and int(r["deviation_text"]) == sum((n * a - b) ** 2 for a, b in zip(x, s))
 
 
+def test_whitening_of_graded_data(spark):
+    """Eigenvalues 9e18, 9e6 and 9: the sums of +-v over three orthogonal vectors of very different lengths."""
+    v = [np.array([1, 2, 2]) * 10 ** 9, np.array([2, 1, -2]) * 1000, np.array([2, -2, 1])]
+    rows = []
+    for k in range(8):
+        x = sum((1 if k >> i & 1 else -1) * v[i] for i in range(3))
+        rows.append((k, (x / 64).tolist()))
+    got = whitening.whiten(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    total = 9e18 + 9e6 + 9
+    for r in got:
+        want = (9e18, 9e6, 9)[r["component"] - 1] / total
+        assert abs(r["explained"] - want) <= 1e-9 * want and abs(abs(r["whitened"]) - 1) < 1e-6 and r["identity_error"] < 1e-6
+    rng = np.random.default_rng(12)
+    half = rng.integers(-50, 50, (5, 9)).astype(object)
+    centred = half.T @ half  # rank 5
+    values, axes = whitening.eigen(centred, 1, 9)
+    assert (values[5:] <= whitening.NOISE * values[0]).all() and np.abs(axes.T @ axes - np.eye(9)).max() < 1e-12
+    np.testing.assert_allclose(values[:5], np.linalg.eigvalsh((half @ half.T).astype(float))[::-1], rtol=1e-9)
+    assert (whitening.eigen(np.zeros((3, 3), object), 4, 16)[0] == 0).all()
+
+
 @pytest.mark.parametrize("rows,dims,top", [(1, 3, 5), (63, 2, 1), (64, 4, 1000), (200, 3, 1 << 40), (130, 1, 1 << 62)])
 def test_bit_sliced_products_are_exact(rows, dims, top):
     rng = np.random.default_rng(rows)
