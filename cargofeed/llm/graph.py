@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -25,25 +25,24 @@ REST = 256
 HEAVY = 0.001
 
 
-def _with_least(e: DataFrame, label: str) -> DataFrame:
-    """``(u, v, m)``: every edge end with the least neighbour ``m`` of ``u``.
+def _with_least(e: DataFrame, ends: int, label: str) -> DataFrame:
+    """``(u, v, m)``: every edge end with the least neighbour ``m`` of ``u``; ``ends`` is their number at most.
 
-    Minima are combined map-side. Those of nodes with many neighbours (at most ``1 / HEAVY`` of them) are
-    broadcast, so a star of any size is worked on where its edges lie; the others meet their edges by a join.
+    A node with many ends (fewer than ``1 / HEAVY`` nodes) has its minimum combined map-side and
+    broadcast, so a star of any size is worked on where its edges lie. The other nodes' ends, none of which
+    are many, meet in a window.
     """
-    least = stage(e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), label)
-    bound = F.lit((least.agg(F.sum("n")).first()[0] or 0) * HEAVY)
-    heavy = F.broadcast(least.filter(F.col("n") > bound).select("u", "m"))
-    light = least.filter(F.col("n") <= bound).select("u", "m")
-    return (e.join(heavy, "u").select("u", "v", "m")
-            .unionByName(e.join(heavy.select("u"), "u", "left_anti").join(light.hint("shuffle_hash"), "u").select("u", "v", "m")))
+    least = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    heavy = F.broadcast(stage(least.filter(F.col("n") > F.lit(ends * HEAVY)).select("u", "m"), label))
+    light = e.join(heavy.select("u"), "u", "left_anti").withColumn("m", F.min("v").over(Window.partitionBy("u")))
+    return e.join(heavy, "u").select("u", "v", "m").unionByName(light.select("u", "v", "m"))
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` of every node of ``edges(a, b)``: the smallest id reachable.
 
     Alternating large-star and small-star contraction; each round is written,
-    and the rounds grow with the logarithm of the longest path. No star is brought to one task.
+    and the rounds grow with the logarithm of the longest path. No large star is brought to one task.
     """
     e = stage(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
@@ -54,9 +53,10 @@ def components(edges: DataFrame) -> DataFrame:
         before = mark
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: larger neighbours go to the least of a node and its neighbours
-        large = stage(_with_least(both, "least").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")), "large")
+        large = _with_least(both, 2 * mark["n"], "hubs").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        large = stage(large, "large")
         # small star: a node and its smaller neighbours go to the least of these
-        low = _with_least(large, "low")
+        low = _with_least(large, mark["n"], "hubs")
         small = low.select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("e"))
         small = small.select(F.col("e.v").alias("u"), F.col("e.m").alias("v")).filter("u <> v").distinct()
         e = stage(small, "stars")
