@@ -14,8 +14,10 @@ is learned from its shortest text, whole. Prediction reads
 whole texts and nothing but the text.
 
 Parsing runs in step over many texts: the automata are transition tables over
-normalised characters (lower case, anything that is no letter is one space),
-long texts are parsed in blocks of ``BLOCK`` characters, each with its own phrases.
+normalised characters (lower case, anything that is no letter is one space).
+Long texts are run in blocks of ``BLOCK`` characters, first each from the start of a
+phrase, then again from the state in which the block before ended, up to where both
+runs meet (mostly after a few phrases). Phrases are those of one parse of the whole text.
 
 Defined cases: NULL text or text without a letter (Unicode category L; digits of any
 kind, fractions and Roman numerals are none) is ``und`` with score 0, and
@@ -42,8 +44,10 @@ SAMPLE_CHARS = 60_000
 SAMPLE_TEXT = 3_000
 #: Documents per language that the sample is drawn from, about.
 SAMPLE_DOCS = 100
-#: A text is parsed in blocks of this many characters.
+#: Long texts are run in blocks of this many characters.
 BLOCK = 512
+#: Blocks whose start state changed are run again in step this often; what is left after that, one by one.
+ROUNDS = 4
 UNDETERMINED = "und"
 
 _LETTER = regex.compile(r"\p{L}")
@@ -123,6 +127,72 @@ def suffix_automaton(text: str, symbol: dict[str, int], width: int) -> np.ndarra
     return table
 
 
+def _advance(table: np.ndarray, state: np.ndarray, sym: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """States after one more symbol each, and the phrases that end with it."""
+    to = table[state + sym]
+    more = np.zeros(len(to), np.int8)
+    miss = np.flatnonzero(to < 0)
+    if len(miss):
+        again = table[sym[miss]]  # a phrase ends; the next one starts with this character,
+        more[miss] = (state[miss] > 0).astype(np.int8) + (again < 0)  # or is it, if no text has it
+        to[miss] = np.maximum(again, 0)
+    return to, more
+
+
+def _join_blocks(table, flat, start, size, before, after, end, total) -> None:
+    """Correct ``end`` (state after each block) and ``total`` (phrases ended in it) of blocks run from state 0.
+
+    A block is run from its old and its new start state together until the states
+    meet: from there on nothing differs. If they don't meet, the next block's start changes too.
+    """
+    begin = np.zeros(len(start), np.int32)
+    todo = np.flatnonzero(before >= 0)
+    for _ in range(ROUNDS):
+        todo = todo[end[before[todo]] != begin[todo]]
+        if not len(todo):
+            return
+        old, new = begin[todo], end[before[todo]]
+        begin[todo] = new
+        at, changed, i = todo, [], 0
+        while len(at):
+            sym = flat[start[at] + i]
+            old, less = _advance(table, old, sym)
+            new, more = _advance(table, new, sym)
+            total[at] += more - less
+            i += 1
+            over = (size[at] == i) & (old != new)
+            if over.any():
+                end[at[over]] = new[over]
+                changed.append(at[over])
+            on = (old != new) & ~over
+            at, old, new = at[on], old[on], new[on]
+        todo = np.concatenate(changed) if changed else todo[:0]
+        todo = after[todo]
+        todo = todo[todo >= 0]
+    # periodic text, whose runs need not meet: from each such block on in order, every block once
+    arc = memoryview(table)
+    for j in todo[np.argsort(start[todo])].tolist():
+        while j >= 0 and end[before[j]] != begin[j]:
+            old, new = int(begin[j]), int(end[before[j]])
+            begin[j] = new
+            for sym in flat[start[j]:start[j] + size[j]].tolist():
+                a, b, root = arc[old + sym], arc[new + sym], arc[sym]
+                if a < 0:
+                    total[j] -= (old > 0) + (root < 0)
+                    a = max(root, 0)
+                if b < 0:
+                    total[j] += (new > 0) + (root < 0)
+                    b = max(root, 0)
+                old, new = a, b
+                if old == new:
+                    break
+            else:
+                end[j] = new
+                j = int(after[j])
+                continue
+            break
+
+
 class CrossParser:
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
@@ -160,23 +230,23 @@ class CrossParser:
         size = np.minimum(BLOCK, lens[of] - nth * BLOCK)
         flat = np.concatenate(data).astype(np.int32)
         order = np.argsort(-size, kind="stable")
-        start, size, of = start[order], size[order], of[order]
-        count = np.zeros((len(of), len(self.langs)), np.int32)
+        start, size, of, nth = start[order], size[order], of[order], nth[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        last = nth == blocks[of] - 1
+        before = np.where(nth > 0, rank[np.maximum(order - 1, 0)], -1)
+        after = np.where(last, -1, rank[np.minimum(order + 1, len(order) - 1)])
+        count = np.zeros((len(of), len(self.langs)), np.int64)
         alive = np.searchsorted(-size, -np.arange(1, BLOCK + 1), "right")  # blocks longer than the step
         for k, table in enumerate(self.tables):
             state = np.zeros(len(of), np.int32)
             total = count[:, k]
             for i in range(int(size[0])):
                 n = alive[i]
-                sym = flat[start[:n] + i]
-                to = table[state[:n] + sym]
-                miss = np.flatnonzero(to < 0)
-                if len(miss):
-                    again = table[sym[miss]]  # a phrase ends; the next one starts with this character,
-                    total[miss] += (state[miss] > 0).astype(np.int32) + (again < 0)  # or is it, if no text has it
-                    to[miss] = np.maximum(again, 0)
-                state[:n] = to
-            total += state > 0
+                state[:n], more = _advance(table, state[:n], flat[start[:n] + i])
+                total[:n] += more
+            _join_blocks(table, flat, start, size, before, after, state, total)
+            total += last & (state > 0)
         out = np.zeros((len(texts), len(self.langs)), np.int64)
         np.add.at(out, of, count)
         return out

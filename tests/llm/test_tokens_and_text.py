@@ -233,15 +233,13 @@ def test_chat_markup_only_as_markup(spark):
 
 
 def brute_phrases(text, sample):
-    n = 0
-    for at in range(0, len(text), langid.BLOCK):
-        block, i = text[at:at + langid.BLOCK], 0
-        while i < len(block):
-            j = i + 1
-            while j <= len(block) and block[i:j] in sample:
-                j += 1
-            i = max(i + 1, j - 1)
-            n += 1
+    n = i = 0
+    while i < len(text):
+        j = i + 1
+        while j <= len(text) and text[i:j] in sample:
+            j += 1
+        i = max(i + 1, j - 1)
+        n += 1
     return n
 
 
@@ -253,6 +251,19 @@ def test_cross_parsing_counts_longest_matches():
     assert got.tolist() == [[brute_phrases(t, samples["a"]), brute_phrases(t, samples["b"])] for t in texts]
 
 
+@pytest.mark.parametrize("block, rounds", [(512, 4), (7, 4), (7, 1), (5, 0), (1, 2)])
+def test_blocks_of_long_texts_are_parsed_as_one(monkeypatch, block, rounds):
+    monkeypatch.setattr(langid, "BLOCK", block)
+    monkeypatch.setattr(langid, "ROUNDS", rounds)
+    rng = random.Random(block + rounds)
+    samples = {"a": "the cat sat on the mat aaa", "b": "un chat sur le tapis \u00e9 ababab", "c": "".join(rng.choices("ab ", k=60))}
+    parser = langid.CrossParser(samples)
+    texts = ["a" * 1300, "ab" * 700, "z" * 30, "aab" * 300 + "the cat", "", "q", *samples.values()]  # periodic: starts never meet
+    texts += ["".join(rng.choices("abcehlmnostu \u00e9z", k=rng.randrange(1, 1500))) for _ in range(12)]
+    got = parser.phrases(texts)
+    assert got.tolist() == [[brute_phrases(t, sample) for sample in samples.values()] for t in texts]
+
+
 def test_language_id(spark, documents, odd, empty):
     big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = {r["doc_id"]: r for r in langid.identify(big).collect()}
