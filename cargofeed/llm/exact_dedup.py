@@ -6,7 +6,9 @@ per task, merged) names every digest that can hold more than ``SUPPORT`` of
 the rows. Their exact winners are computed by a map-side combined aggregate,
 verified against the threshold and broadcast (at most ``1 / SUPPORT`` rows),
 so rows of hot groups are decided where they are and never shuffled. The
-remaining digests, none of which is frequent, go through an ordinary shuffle.
+remaining digests, none of which is frequent, go through an ordinary shuffle:
+groups are combined map-side and joined back to their rows, a sort-merge join
+whose larger partitions the skew join splits, so that no group has to be one task.
 
 Defined cases: NULL text counts as empty; all empty or blank texts are one
 group. Ties go to the longest original text, then the smallest ``doc_id``
@@ -18,7 +20,7 @@ An empty table gives an empty table. Extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, keep_rows, per_row, stage, without_space
@@ -51,9 +53,9 @@ def decide(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     heavy = stage(heavy, "heavy")  # at most 1 / support rows
     hot = F.broadcast(heavy)
     decided = rows.join(hot, "digest").select("doc_id", "digest", "group_size", "best")
-    by = Window.partitionBy("digest")
-    rest = (rows.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
-            .select("doc_id", "digest", F.count("*").over(by).alias("group_size"), _winner().over(by).alias("best")))
+    cold = rows.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
+    groups = cold.groupBy("digest").agg(F.count("*").alias("group_size"), _winner().alias("best"))
+    rest = cold.join(groups.hint("merge"), "digest").select("doc_id", "digest", "group_size", "best")
     return decided.unionByName(rest).select(
         "doc_id", F.bitwise_not(F.col("best.inv")).alias("keep_id"), "group_size",
         F.lower(F.hex("digest")).alias("text_sha256"))
