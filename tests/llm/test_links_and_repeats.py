@@ -3,14 +3,15 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cargofeed.llm import ann, graph, html_extract, langid, near_dedup, packing, suffix_dedup
+from cargofeed.llm import ann, fingerprints, graph, html_extract, langid, near_dedup, packing, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -187,6 +188,42 @@ def test_repeated_spans_of_documents(spark):
     assert sorted(map(tuple, suffix_dedup.repeated_spans(docs).collect()), key=str) == brute_repeats(rows, 200)
 
 
+def test_strings_that_share_a_fingerprint_are_told_apart():
+    """Keys of which many are equal for different strings: the 32 bits more decide, in the chunk and in the range."""
+    rng = np.random.default_rng(4)
+    for crowd in (3, 1 << 20):
+        word = rng.integers(0, 400, 3000)
+        keys, check = (word % crowd).astype(np.uint64), (word * 7 + 1).astype(np.uint32)
+        u, c, more, first, inverse = suffix_dedup._distinct(keys, check)
+        count = Counter(word.tolist())
+        assert len(u) == len(count) and (np.diff(u.astype(np.int64)) >= 0).all()
+        assert (word[first][inverse] == word).all() and (u[inverse] == keys).all() and (c[inverse] == check).all()
+        assert [count[w] > 1 for w in word[first].tolist()] == more.tolist()
+        assert all((word[:i] != w).all() for i, w in zip(first.tolist(), word[first].tolist(), strict=True))
+        flags = suffix_dedup._judge(keys, check, (word == 5).astype(np.uint8))
+        assert [count[w] > 1 or w == 5 for w in word.tolist()] == ((flags & 1) > 0).tolist()
+        assert np.flatnonzero(flags & 2).tolist() == sorted(first.tolist())
+
+
+def test_fingerprints_of_ranges():
+    rng = random.Random(2)
+    raw = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(3000)), np.uint8)
+    start = np.array(sorted(rng.randrange(2980) for _ in range(500)))
+    end = start + 12
+    for prints in (fingerprints.PrimeRanges(raw).get(start, end), fingerprints.Ranges(raw).get(start, end)):
+        seen = defaultdict(set)
+        for a, b, p in zip(start.tolist(), end.tolist(), prints.tolist(), strict=True):
+            seen[raw[a:b].tobytes()].add(p)
+        assert all(len(p) == 1 for p in seen.values()) and len(set(prints.tolist())) == len(seen)
+    # the Thue-Morse word and its complement agree modulo 2^64 under every odd base, not in the prime field
+    word = np.array([bin(i).count("1") % 2 for i in range(4096)], np.uint8)
+    ends = np.array([0]), np.array([4096])
+    a, b = (fingerprints.Ranges(w).get(*ends) for w in (word, 1 - word))
+    assert a == b
+    a, b = (fingerprints.PrimeRanges(w).get(*ends) for w in (word, 1 - word))
+    assert a != b
+
+
 def brute_nearest(vectors, k, every):
     out = {}
     for q, v in vectors:
@@ -407,6 +444,100 @@ def test_html_pages_of_the_tables(spark):
         assert got[r["page_id"]] == "\n".join(p for p in parts if p)
 
 
+def without_names(html):
+    """The page with neither ``article`` nor navigation, footer or advert names: only its template tells them apart."""
+    html = re.sub(r"<(/?)article>", r"<\1section>", html or "")
+    return re.sub(r"<(/?)(?:nav|footer|header|aside)\b", r"<\1div", html).replace('class="ad"', 'class="x"')
+
+
+def test_html_pages_of_the_tables_by_their_template_alone(spark):
+    """Without any telling tag or name, the template gives the same text on every host of enough pages."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    rows = df.collect()
+    plain = spark.createDataFrame([(r["page_id"], r["url"], without_names(r["html"])) for r in rows], df.schema)
+    want = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(plain).collect()}
+    host = {r["page_id"]: re.match(r"\w+://([^/?#]*)", r["url"])[1] for r in rows}
+    pages = Counter(host.values())
+    enough = [i for i in want if pages[host[i]] >= html_extract.MIN_PAGES]
+    assert len(enough) > 100 and all(got[i] == want[i] for i in enough)
+    off = {r["page_id"]: html_extract.main_text(without_names(r["html"]), frozenset(), None) for r in rows}
+    assert all(off[i] != got[i] for i in enough)  # the template switched off: menus and adverts come along
+
+
+def brute_template(pages):
+    """Template of one host by the definitions: vectors as tuples, order and nesting by looking at every page."""
+    seqs = []
+    for html in pages:
+        found, paths, marks = html_extract.blocks(html)
+        leave = html_extract.honoured(found, marks)
+        events = [(i, 1, html_extract._code("tag", p), "tag", p) for i, p in enumerate(paths)]
+        events += [(b.at, 0, html_extract._code("text", b.path, b.text), "text", b.path.rpartition("/")[0]) for b in found]
+        events += [(m.at, -1, html_extract._code("mark", m.path, m.value), "mark", m.path) for m in marks if m.confirm]
+        seqs.append(sorted(events, key=lambda e: e[:2]))
+        assert leave is not None
+    tokens = {e[2]: e[3:] for s in seqs for e in s}
+    vector = {t: tuple(sum(e[2] == t for e in s) for s in seqs) for t in tokens}
+    classes = defaultdict(list)
+    for t, v in vector.items():
+        on = sum(n > 0 for n in v)
+        if on >= html_extract.MIN_PAGES and on >= html_extract.MIN_SHARE * len(pages):
+            classes[v].append(t)
+    classes = {v: ts for v, ts in classes.items() if len(ts) >= html_extract.MIN_TOKENS}
+
+    def tuples(v):
+        """Per page the positions of the class' tuples; None if its tokens have no one order."""
+        out, order = [], None
+        for s in seqs:
+            at = [(i, e[2]) for i, e in enumerate(s) if e[2] in classes[v]]
+            k = len(classes[v])
+            for j in range(0, len(at), k):
+                this = [t for _, t in at[j:j + k]]
+                order = order or this
+                if this != order or len(set(this)) < k:
+                    return None
+            out.append([[i for i, _ in at[j:j + k]] for j in range(0, len(at), k)])
+        return out
+
+    def gap(outer, inner):
+        """The one gap of the outer tuples that holds every inner tuple on every page, or None."""
+        seen = set()
+        for a, b in zip(outer, inner, strict=True):
+            flat = [i for t in a for i in t]
+            if flat:
+                for t in b:
+                    seen |= {(sum(i < x for i in flat), len(flat) // len(a)) for x in (t[0], t[-1])}
+                    if sum(i < t[0] for i in flat) != sum(i < t[-1] for i in flat):
+                        return None
+        return len({n % k for n, k in seen}) <= 1
+    valid = {}
+    rank = sorted(classes, key=lambda v: (-sum(n > 0 for n in v), -len(classes[v])))
+    for v in rank:
+        mine = tuples(v)
+        if mine is not None and all(gap(a, mine) or gap(mine, a) for a in valid.values()):
+            valid[v] = mine
+    return {t for v in valid for t in classes[v] if tokens[t][0] == "tag"}, tokens
+
+
+def test_html_template_against_brute_force(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").withColumn("host", html_extract.host_of(F.col("url")))
+    pages = defaultdict(list)
+    for r in df.collect():
+        pages[r["host"]].append(r["html"])
+    moved = ["<html><body><div><i>Site</i></div><div><section>%s<b>Fixed</b><ul></ul><p>own %d</p>%s</section></div></body></html>"
+             % (("<h2>moved</h2><h3>two</h3>", i, "") if i % 2 else ("", i, "<h2>moved</h2><h3>two</h3>")) for i in range(12)]
+    pages["moved"] = moved
+    extra = spark.createDataFrame([(-1 - i, "x://moved/", h, "moved") for i, h in enumerate(moved)], "page_id long, url string, html string, host string")
+    got = {r["host"]: set(r["template"] or ()) for r in
+           html_extract.templates(df.select("page_id", "url", "html", "host").unionByName(extra)).collect()}
+    checked = 0
+    for host, htmls in pages.items():
+        want, tokens = brute_template(htmls)
+        assert {t for t in got[host] if tokens[t][0] == "tag"} == want, host
+        checked += bool(want)
+    assert checked > 10
+
+
 def test_pipeline_stages_judge_each_row_by_its_text(spark):
     """NULL ids and ids repeated with different texts."""
     rng = random.Random(5)
