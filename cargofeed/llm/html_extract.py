@@ -22,8 +22,9 @@ content (copies and near copies of one article, a common passage) stay.
 Vectors are never built: a page contributes a hash of (page, count) to each of
 its tokens, and the exclusive-or of these with the number of pages tells equal
 vectors apart. Order and nesting are checked page by page on stored token sequences. These aggregates are combined map-side, so a host with a third
-of all pages is no larger group than another, and pages are not shuffled:
-a host's template is bounded by its pages' size and is sent to them.
+of all pages is no larger group than another. Templates are broadcast to the pages while
+their counted tokens are few (``BROADCAST_IDS``); beyond that both are shuffled by host, and
+a hot host's pages are left to the skew join.
 
 Defined cases: NULL or empty html gives an empty text; a page without a URL is
 of the empty host; a page most of whose main text is template (copies and

@@ -49,4 +49,5 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op8_near_dedup": near_dedup.ORACLE_SQL,
-            "op9_chat_format": chat.ORACLE_SQL, "op11_vector_codes": vector_codes.ORACLE_SQL}
+            "op9_chat_format": chat.ORACLE_SQL, "op10_suffix_dedup": suffix_dedup.ORACLE_SQL,
+            "op11_vector_codes": vector_codes.ORACLE_SQL}

@@ -185,7 +185,13 @@ def test_repeated_spans(spark, monkeypatch, small):
 def test_repeated_spans_of_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    assert sorted(map(tuple, suffix_dedup.repeated_spans(docs).collect()), key=str) == brute_repeats(rows, 200)
+    got = suffix_dedup.repeated_spans(docs)
+    assert sorted(map(tuple, got.collect()), key=str) == brute_repeats(rows, 200)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    result = con.execute(suffix_dedup.ORACLE_SQL)
+    assert [c[0] for c in result.description] == got.columns
+    assert sorted(result.fetchall(), key=str) == brute_repeats(rows, 200)
 
 
 def test_strings_that_share_a_fingerprint_are_told_apart():
