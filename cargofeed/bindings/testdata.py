@@ -282,10 +282,17 @@ def freight_tables(spark: SparkSession, sf_dir: str, materialize: bool = True,
     wt, cw = freight_views(spark, sf_dir)
     if not materialize:
         return wt, cw
-    stored = store_family({**wt, **cw}, store_root(spark, sf_dir), bucket_count(spark), files_per_table)
+    buckets = bucket_count(spark, base_bytes(spark, sf_dir))
+    stored = store_family({**wt, **cw}, store_root(spark, sf_dir), buckets, files_per_table)
     return ({n: stored[n] for n in wt}, {n: stored[n] for n in cw})
 
 
+def base_bytes(spark: SparkSession, sf_dir: str) -> int:
+    """Bytes of the test tables that the views read."""
+    found = [_fs_status(spark, f"{sf_dir.rstrip('/')}/{n}.parquet") for n in BASE_TABLES]
+    return sum(fs.getContentSummary(p).getLength() for fs, p in found)
+
+
 def store_root(spark: SparkSession, sf_dir: str) -> str:
     """Folder of the stored copies of one test directory."""
     return f"{checkpoint_dir(spark).rstrip('/')}/cargofeed-freight/{_fingerprint(spark, sf_dir)}"
@@ -294,4 +301,4 @@ def store_root(spark: SparkSession, sf_dir: str) -> str:
 def freight_cost_layout(spark: SparkSession, sf_dir: str) -> CostLayout:
     """The stored cost layout of the CW tables of ``sf_dir``, built once."""
     _, cw = freight_tables(spark, sf_dir)
-    return cost_layout(cw, store_root(spark, sf_dir), bucket_count(spark))
+    return cost_layout(cw, store_root(spark, sf_dir), bucket_count(spark, base_bytes(spark, sf_dir)))

@@ -83,7 +83,7 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
 
 def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Sequence[str],
                 max_rows: int = DIMENSION_MAX_ROWS,
-                proven: bool | None = None) -> DataFrame:
+                proven: bool | None = None, exact: bool = True) -> DataFrame:
     """Cut a history-wide ``df`` to the rows whose ``on`` columns match
     ``key_cols`` of some row of ``keys`` (a small driving set, e.g. the keys
     of one load window).
@@ -97,7 +97,11 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Seq
     ``PUSHED_KEYS`` values of a single key column as well, so that row groups, files and
     buckets that cannot hold a key are not read. Callers use it only where the following join
     would drop the non-matching rows anyway. ``proven`` passes a bound
-    already established for ``keys`` (skips the count when true).
+    already established for ``keys`` (skips the count when true). ``exact=False`` lets
+    rows without a match pass where many keys would need the shuffled semi join: only the
+    Bloom filter is applied then, or nothing beyond ``BLOOM_MAX_BLOCKS``, so ``df`` is never
+    shuffled or sorted for the cut and keeps the partitioning of its storage. The caller's
+    own join drops those rows.
     """
     k = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key_cols)])
     if proven is None:
@@ -113,9 +117,11 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Seq
         return df.join(F.broadcast(k), cond, "left_semi")
     if -(-n * BLOOM_BITS // (64 * BLOCK_WORDS)) <= BLOOM_MAX_BLOCKS:
         passed = bloom_cut(df, k, on, k.columns, n)
+        if not exact:
+            return passed
         cond = reduce(lambda a, b: a & b, [passed[o] == k[f"__k{i}"] for i, o in enumerate(on)])
         return passed.join(k, cond, "left_semi")
-    return df.join(k, cond, "left_semi")
+    return df.join(k, cond, "left_semi") if exact else df
 
 
 def _skip_files(df: DataFrame, k: DataFrame, on: Sequence[str], size) -> DataFrame:

@@ -43,11 +43,16 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
     """The distinct joined rows before the final projection (A5), keyed by
     ``file_nbr`` (the order).
 
+    Airwaybills and carrier lines repeat an (order, sequence); both are made
+    distinct before they meet, so that repeated rows are not multiplied.
+
     ``reduce_history``: the latest-sequence rows of the window are staged
     (a written table in the shared checkpoint folder) and counted, and the
     four history-wide tables are cut to the window's orders and airwaybills
-    before any rollup: inside their scans where the keys are few enough to
-    broadcast, else by a shuffled semi join. Rollups are per order / per airwaybill
+    before any rollup, always inside their scans: by the keys where they are few enough to
+    broadcast, else by a Bloom filter of them, whose false positives the joins
+    drop. A window of many rows is read where it is stored, so that bucketed
+    tables are not shuffled to find its latest rows. Rollups are per order / per airwaybill
     and every dropped row could only meet a non-matching join key, so the
     result is the same; the daily job just stops re-aggregating all history.
     ``False`` leaves the history whole; so does the default for a full load, whose
@@ -59,10 +64,14 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
     in_window = F.to_date(F.col("flightdatetime1")) >= F.lit(window.start)
     if reduce_history and latest_strategy == "max_join":
         # the window's rows first; the history is read for their orders alone
-        inside = stage(awb.filter(in_window), "wt_window")
-        history = cut_to_keys(awb.select("fk_orderno", "fk_seqno"), inside, ["fk_orderno"], ["fk_orderno"])
-        newest = history.groupBy("fk_orderno").agg(F.max("fk_seqno").alias("fk_seqno"))
-        a = inside.join(newest, ["fk_orderno", "fk_seqno"])
+        inside = awb.filter(in_window)
+        if has_at_most(inside.select("fk_orderno"), DIMENSION_MAX_ROWS):
+            inside = stage(inside, "wt_window")
+        history = cut_to_keys(awb.select("fk_orderno", "fk_seqno"), inside, ["fk_orderno"], ["fk_orderno"],
+                              exact=False)
+        newest = history.groupBy("fk_orderno").agg(F.max("fk_seqno").alias("__newest"))
+        # one row per order: compared by >=, the sequence is no join key and the order's buckets serve
+        a = inside.join(newest, "fk_orderno").filter(F.col("fk_seqno") >= F.col("__newest")).drop("__newest")
     else:
         a = latest_by_sequence(awb, "fk_orderno", "fk_seqno", keep=in_window,
                                strategy=latest_strategy)
@@ -70,16 +79,17 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
     desc = tables["tbl_airwaybilldesc"]
     header = tables["tbl_shipmentheader"]
     shipdesc = tables["tbl_shipmentdesc"]
+    a = a.distinct()
     if reduce_history:
         a = stage(a, "wt_latest")
         small = has_at_most(a, DIMENSION_MAX_ROWS)
         apar = cut_to_keys(apar, a, ["fk_orderno", "seqno"], ["fk_orderno", "fk_seqno"],
-                              proven=small)
-        desc = cut_to_keys(desc, a, ["fk_airwaybillno"], ["pk_airwaybillno"], proven=small)
-        header = cut_to_keys(header, a, ["pk_orderno"], ["fk_orderno"], proven=small)
-        shipdesc = cut_to_keys(shipdesc, a, ["fk_orderno"], ["fk_orderno"], proven=small)
+                           proven=small, exact=False)
+        desc = cut_to_keys(desc, a, ["fk_airwaybillno"], ["pk_airwaybillno"], proven=small, exact=False)
+        header = cut_to_keys(header, a, ["pk_orderno"], ["fk_orderno"], proven=small, exact=False)
+        shipdesc = cut_to_keys(shipdesc, a, ["fk_orderno"], ["fk_orderno"], proven=small, exact=False)
     c = apar.select(F.col("fk_orderno").alias("c_order"), F.col("seqno").alias("c_seq"),
-                    "refno", F.col("rate").alias("c_rate"), F.col("total").alias("c_total"))
+                    "refno", F.col("rate").alias("c_rate"), F.col("total").alias("c_total")).distinct()
     d = airwaybill_detail(desc)
     # Header and its order weights first: the weights join on the header's
     # key, so an order without a header gets no fallback weights.

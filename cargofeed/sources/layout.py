@@ -23,22 +23,26 @@ from pyspark.sql import types as T
 
 #: Key of each large table, as its joins use it. Tables not named here are dimensions.
 BUCKET_KEYS: dict[str, list[str]] = {
-    "tbl_airwaybill": ["fk_orderno"], "tbl_airwaybilldesc": ["fk_airwaybillno"],
+    "tbl_airwaybill": ["fk_orderno"], "tbl_airwaybilldesc": ["fk_airwaybillno"], "tbl_shipmentapar": ["fk_orderno", "seqno"],
     "tbl_shipmentheader": ["pk_orderno"], "tbl_shipmentdesc": ["fk_orderno"],
     "jobshipment": ["js_pk"], "jobheader": ["jh_pk", "jh_gc"], "jobcharge": ["jr_jh", "jr_gc"],
     "jobconsol": ["jk_pk"], "jobconshiplink": ["jn_jk"], "jobconsoltransport": ["jw_parentguid"],
     "acctransactionlines": ["al_pk", "al_gc"], "acctransactionheader": ["ah_pk", "ah_gc"],
 }
 
+#: Stored bytes of the source tables that ask for one more bucket.
+BUCKET_BYTES = 8 << 20
+
 #: A key is hot when it holds more than this many buckets' even share of the rows.
 HOT_BUCKETS = 2.0
 
 
-def bucket_count(spark: SparkSession) -> int:
+def bucket_count(spark: SparkSession, stored_bytes: int = 0) -> int:
     """Buckets that joins with shuffled sides keep: the session's shuffle partitions
-    (on a default session, whose 200 suit no stored size, twice the parallelism)."""
+    (on a default session, whose 200 suit no stored size, twice the parallelism), and more
+    where ``stored_bytes`` of source tables ask for it: the sorts of one bucket stay in memory."""
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return n if n != 200 else 2 * spark.sparkContext.defaultParallelism
+    return max(n if n != 200 else 2 * spark.sparkContext.defaultParallelism, -(-stored_bytes // BUCKET_BYTES))
 
 
 def exists(spark: SparkSession, path: str) -> bool:
