@@ -383,6 +383,9 @@ class Encoder:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.forget()
 
+    #: Words this copy keeps at most.
+    most_words = CACHE_WORDS
+
     def forget(self) -> None:
         """Empty the table of known words; special tokens (keyed as tuples) are always in it."""
         ids = [*self.special.values()]
@@ -428,7 +431,7 @@ class Encoder:
             return np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
         found = find()
         new = np.flatnonzero(found < 0).tolist()
-        if new and len(self.known) + len(new) > CACHE_WORDS:
+        if new and len(self.known) + len(new) > self.most_words:
             self.forget()
             found = find()
             new = np.flatnonzero(found < 0).tolist()

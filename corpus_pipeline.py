@@ -46,9 +46,9 @@ def _cut(docs: DataFrame) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences."""
+    """Pieces of token sequences; the stages before leave the executors' heaps full, so workers save memory."""
     prepare(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, lean=True)
 
 
 STAGES = [

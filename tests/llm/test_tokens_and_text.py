@@ -315,3 +315,14 @@ def test_chat_digests_match_the_oracle(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{SF}/conversations.parquet')")
     assert got == sorted(con.execute(chat.ORACLE_SQL).fetchall())
+
+
+def test_lean_pieces_keep_few_words_and_give_the_same_rows(spark, monkeypatch):
+    """The pipeline's packing encodes a batch in parts and forgets words; ids, cuts and checksums stay the same."""
+    from cargofeed.llm import packing
+    monkeypatch.setattr(packing, "LEAN_BYTES", 300)
+    monkeypatch.setattr(packing, "LEAN_WORDS", 20)
+    texts = [" ".join(f"word{(i * j) % 97} Straße 北京 <|endoftext|>" for j in range(i % 40)) for i in range(120)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    whole, lean = packing.pieces(docs, width=64), packing.pieces(docs, width=64, lean=True)
+    assert sorted(map(tuple, lean.collect())) == sorted(map(tuple, whole.collect()))
