@@ -9,12 +9,21 @@ from ..sources.schemas import DEC, RATE
 
 # Fixed value that must equal the source job's: the reporting currency.
 REPORTING_CURRENCY = "USD"
+# Which day's rate converts a line.
+PRE, POST = "PRE", "POST"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def rate_needed(local_cur: Column | str, post_date: Column | str,
+                reporting_currency: str = REPORTING_CURRENCY) -> Column:
+    """``PRE`` (the shipment's creation day), ``POST`` (the invoice day) or NULL: whose rate :func:`converted_cost` reads."""
+    same = F.coalesce(_col(local_cur) == reporting_currency, F.lit(False))
+    return F.when(~same, F.when(_col(post_date).isNull(), F.lit(PRE)).otherwise(F.lit(POST)))
+
+
 def converted_cost(local_cur: Column | str, local_amt: Column | str,
                    post_date: Column | str, os_amt: Column | str,
                    pre_rate: Column | str, post_rate: Column | str,

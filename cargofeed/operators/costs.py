@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day
-from ..functions.money import converted_cost
+from ..functions.money import POST, PRE, converted_cost, rate_needed
 from ..functions.validity import is_code
 from .cost_layout import CostLayout
 from .joins import broadcast_all_if_bounded, cut_to_keys, left_join_null_safe
@@ -36,27 +36,51 @@ COST_SUM = "decimal(38,12)"
 
 
 def _rates(refexchangerate: DataFrame, company: str, rate_type: str) -> DataFrame:
-    """Rates of one company and type, keyed by (currency, day)."""
+    """``(cur, day, rate, n)``: rates of one company and type, equal ones of a (currency, day) counted."""
     r = refexchangerate.filter((F.col("re_gc") == company) & is_code("re_exratetype", rate_type))
-    return r.select(F.col("re_rx_nkexcurrency").alias("cur"), day("re_startdate").alias("day"),
-                    F.col("re_sellrate").alias("rate"))
+    r = r.select(F.col("re_rx_nkexcurrency").alias("cur"), day("re_startdate").alias("day"),
+                 F.col("re_sellrate").alias("rate")).filter("cur IS NOT NULL AND day IS NOT NULL")
+    return r.groupBy("cur", "day", "rate").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
     return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
 
 
+def _with_rates(x: DataFrame, rates: DataFrame, per_day: DataFrame) -> DataFrame:
+    """Cost lines with each different rate of the one day that converts them: ``used_rate``, and ``times``, how many
+    (PRE rate, POST rate) pairs of the line's two days hold it.
+
+    The source joins both days' rates, so a line occurs once per pair although one rate
+    of a pair converts it at most. The day that does not convert only counts: the
+    pairs are never built, and equal rates are one row.
+    """
+    pre, post, used = _prefixed(per_day, "pre"), _prefixed(per_day, "post"), _prefixed(rates, "used")
+    inv = F.coalesce(F.col("ar_inv"), F.col("ap_inv"))
+    needed = rate_needed("local_cur", "ap_post")
+    x = x.withColumn("__cur", F.when(needed == PRE, F.col("local_cur")).when(needed == POST, F.col("txn_cur")))
+    x = x.withColumn("__day", F.when(needed == PRE, F.col("ship_day")).when(needed == POST, inv))
+    x = (x.join(pre, (x["local_cur"] == pre["pre_cur"]) & (x["ship_day"] == pre["pre_day"]), "left")
+          .join(post, (x["txn_cur"] == post["post_cur"]) & (inv == post["post_day"]), "left")
+          .join(used, (x["__cur"] == used["used_cur"]) & (x["__day"] == used["used_day"]), "left"))
+    n_pre, n_post, n_used = (F.coalesce(F.col(f"{c}_n"), F.lit(1).cast("long")) for c in ("pre", "post", "used"))
+    others = F.when(needed == PRE, n_post).when(needed == POST, n_pre).otherwise(n_pre * n_post)
+    return x.withColumn("times", n_used * others)
+
+
 def _dimensions(tables: Mapping[str, DataFrame], all_codes: Sequence[str], rate_company: str, rate_type: str) -> list[DataFrame]:
-    """Charge codes, companies, branch multiplicities and rates: broadcast only after one bounded
-    job proves their sizes."""
+    """Charge codes, companies, branch multiplicities, rates and their number per day: broadcast only
+    after one bounded job proves their sizes."""
     codes = (tables["accchargecode"].filter(F.col("ac_code").isin(list(all_codes)))
              .select("ac_pk", "ac_gc", "ac_code"))
     company = tables["glbcompany"].select(
         "gc_pk", F.col("gc_rx_nklocalcurrency").alias("local_cur"))
     branch = (tables["glbbranch"].groupBy("gb_pk", "gb_gc")
               .agg(F.count(F.lit(1)).cast("int").alias("n_branch")))
-    rates = _rates(tables["refexchangerate"], rate_company, rate_type)
-    return broadcast_all_if_bounded([codes, company, branch, rates])
+    # a few rows of a table that may be large: written once, read by every join with them
+    rates = stage(_rates(tables["refexchangerate"], rate_company, rate_type), "rates")
+    per_day = rates.groupBy("cur", "day").agg(F.sum("n").alias("n"))
+    return broadcast_all_if_bounded([codes, company, branch, rates, per_day])
 
 
 def _stored_chain(layout: CostLayout, shipments: DataFrame | None, codes: DataFrame,
@@ -86,7 +110,8 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame | None,
                  line_types: Sequence[str] = COST_LINE_TYPES,
                  rate_company: str = RATE_COMPANY, rate_type: str = RATE_TYPE,
                  reduce_history: bool = False, layout: CostLayout | None = None) -> DataFrame:
-    """One row per costed charge line of ``shipments``: ``(js_pk, ac_code, cost)``.
+    """Costed charge lines of ``shipments``: ``(js_pk, ac_code, cost)``, one row per line and different rate
+    that converts it, with the cost of all its occurrences.
 
     The chain: shipment -> all its job headers -> charges of the header's
     company -> payable line (cost line types only) and its header -> the
@@ -94,7 +119,8 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame | None,
     day) -> charge code (listed codes only) -> company -> rate of the
     shipment's creation day (PRE) and of the invoice day (POST, receivable
     invoice first). A charge matched by two rates on one day counts twice,
-    as in the source query. A branch of the header that occurs k times
+    as in the source query; so does one whose other day has two, and these
+    pairs are counted, not built (:func:`_with_rates`). A branch of the header that occurs k times
     multiplies the line k times (the source joined it without using it).
 
     ``reduce_history``: for a small ``shipments`` set (one load window),
@@ -110,20 +136,17 @@ def charge_costs(tables: Mapping[str, DataFrame], shipments: DataFrame | None,
     (:mod:`cost_layout`) instead; ``shipments`` None then stands for all of them.
     """
     all_codes = sorted({c for codes in categories.values() for c in codes})
-    codes, company, branch, rates = _dimensions(tables, all_codes, rate_company, rate_type)
+    codes, company, branch, rates, per_day = _dimensions(tables, all_codes, rate_company, rate_type)
     if layout is not None:
         x = _stored_chain(layout, shipments, codes, line_types)
     else:
         x = _source_chain(tables, shipments, codes, line_types, reduce_history)
-    pre, post = _prefixed(rates, "pre"), _prefixed(rates, "post")
     x = (x.join(company, F.col("jr_gc") == company["gc_pk"])
-          .join(branch, (F.col("jh_gb") == branch["gb_pk"]) & (F.col("jh_gc") == branch["gb_gc"]), "left")
-          .join(pre, (F.col("local_cur") == pre["pre_cur"]) & (F.col("ship_day") == pre["pre_day"]), "left")
-          .join(post, (F.col("txn_cur") == post["post_cur"])
-                & (F.coalesce(F.col("ar_inv"), F.col("ap_inv")) == post["post_day"]), "left"))
-    cost = converted_cost("local_cur", "jr_localcostamt", "ap_post", "ap_os", "pre_rate", "post_rate")
-    n_branch = F.coalesce(F.col("n_branch"), F.lit(1))
-    return x.select("js_pk", "ac_code", (cost.cast(COST_ROW) * n_branch).cast(COST_ROW).alias("cost"))
+          .join(branch, (F.col("jh_gb") == branch["gb_pk"]) & (F.col("jh_gc") == branch["gb_gc"]), "left"))
+    x = _with_rates(x, rates, per_day)
+    cost = converted_cost("local_cur", "jr_localcostamt", "ap_post", "ap_os", "used_rate", "used_rate")
+    times = F.coalesce(F.col("n_branch"), F.lit(1)) * F.col("times")
+    return x.select("js_pk", "ac_code", (cost.cast(COST_ROW) * times.cast(MULTIPLICITY)).cast(COST_SUM).alias("cost"))
 
 
 def _source_chain(tables: Mapping[str, DataFrame], shipments: DataFrame, codes: DataFrame,
