@@ -10,6 +10,7 @@ measured broadcast conversion).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +46,26 @@ def has_at_most(df: DataFrame, max_rows: int, max_bytes: int = BROADCAST_MAX_BYT
     return r["n"] <= max_rows and r["bytes"] <= max_bytes
 
 
+@dataclass(frozen=True)
+class KeySize:
+    """Rows and bytes of a key set, and the least and greatest value of each of its columns."""
+
+    n: int
+    bytes: int
+    ends: list[tuple]
+
+    def within(self, max_rows: int) -> bool:
+        return self.n <= max_rows and self.bytes <= BROADCAST_MAX_BYTES
+
+
+def key_size(keys: DataFrame, cols: Sequence[str]) -> KeySize:
+    """The size of the key columns ``cols``, in one scan."""
+    k = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(cols)])
+    ends = [f(c).alias(f"{f.__name__}_{c}") for c in k.columns for f in (F.min, F.max)]
+    r = k.agg(*_size(k), *ends).first()
+    return KeySize(r["n"], r["bytes"], [(r[f"min_{c}"], r[f"max_{c}"]) for c in k.columns])
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when its size is proven within the bounds; else ``df``."""
     if has_at_most(df, max_rows):
@@ -83,7 +104,7 @@ def restrict_to_keys(df: DataFrame, keys: DataFrame, on: str | list[str],
 
 def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Sequence[str],
                 max_rows: int = DIMENSION_MAX_ROWS,
-                proven: bool | None = None, exact: bool = True) -> DataFrame:
+                proven: bool | None = None, exact: bool = True, size: KeySize | None = None) -> DataFrame:
     """Cut a history-wide ``df`` to the rows whose ``on`` columns match
     ``key_cols`` of some row of ``keys`` (a small driving set, e.g. the keys
     of one load window).
@@ -97,7 +118,8 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Seq
     ``PUSHED_KEYS`` values of a single key column as well, so that row groups, files and
     buckets that cannot hold a key are not read. Callers use it only where the following join
     would drop the non-matching rows anyway. ``proven`` passes a bound
-    already established for ``keys`` (skips the count when true). ``exact=False`` lets
+    already established for ``keys`` (skips the count when true), ``size`` what :func:`key_size`
+    found in them. ``exact=False`` lets
     rows without a match pass where many keys would need the shuffled semi join: only the
     Bloom filter is applied then, or nothing beyond ``BLOOM_MAX_BLOCKS``, so ``df`` is never
     shuffled or sorted for the cut and keeps the partitioning of its storage. The caller's
@@ -105,11 +127,9 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Seq
     """
     k = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(key_cols)])
     if proven is None:
-        ends = [f(c).alias(f"{f.__name__}_{c}") for c in k.columns for f in (F.min, F.max)]
-        size = k.agg(*_size(k), *ends).first()
+        size = size or key_size(k, k.columns)
         df = _skip_files(df, k, on, size)
-        proven = size["n"] <= max_rows and size["bytes"] <= BROADCAST_MAX_BYTES
-        n = size["n"]
+        proven, n = size.within(max_rows), size.n
     else:
         n = None if proven else k.count()
     cond = reduce(lambda a, b: a & b, [df[o] == k[f"__k{i}"] for i, o in enumerate(on)])
@@ -124,12 +144,12 @@ def cut_to_keys(df: DataFrame, keys: DataFrame, on: Sequence[str], key_cols: Seq
     return df.join(k, cond, "left_semi") if exact else df
 
 
-def _skip_files(df: DataFrame, k: DataFrame, on: Sequence[str], size) -> DataFrame:
+def _skip_files(df: DataFrame, k: DataFrame, on: Sequence[str], size: KeySize) -> DataFrame:
     """Filters that the scan can check against its statistics; the semi join decides exactly."""
-    for o, c in zip(on, k.columns, strict=True):
-        if size[f"min_{c}"] is not None:
-            df = df.filter((F.col(o) >= F.lit(size[f"min_{c}"])) & (F.col(o) <= F.lit(size[f"max_{c}"])))
-    if len(on) == 1 and 0 < size["n"] <= PUSHED_KEYS:
+    for o, (least, most) in zip(on, size.ends, strict=True):
+        if least is not None:
+            df = df.filter((F.col(o) >= F.lit(least)) & (F.col(o) <= F.lit(most)))
+    if len(on) == 1 and 0 < size.n <= PUSHED_KEYS:
         values = [r[0] for r in k.distinct().collect() if r[0] is not None]  # at most PUSHED_KEYS
         df = df.filter(F.col(on[0]).isin(values))
     return df

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.validity import valid_mawb
 from ..functions.weights import (actual_weight_wt, carrier_cost_wt,
                                  chargeable_weight_wt_basis, raise_to_actual)
-from ..operators.joins import DIMENSION_MAX_ROWS, cut_to_keys, has_at_most
+from ..operators.joins import DIMENSION_MAX_ROWS, cut_to_keys, has_at_most, key_size
 from ..operators.rollup import rollup_per_key_and_unit, sum_by_key
 from ..operators.stage import stage
 from ..operators.select import latest_by_sequence
@@ -62,18 +62,22 @@ def wt_rows(tables: Mapping[str, DataFrame], window: LoadWindow,
         reduce_history = not window.full_load
     awb = tables["tbl_airwaybill"]
     in_window = F.to_date(F.col("flightdatetime1")) >= F.lit(window.start)
-    if reduce_history and latest_strategy == "max_join":
+    if reduce_history:
         # the window's rows first; the history is read for their orders alone
         inside = awb.filter(in_window)
-        if has_at_most(inside.select("fk_orderno"), DIMENSION_MAX_ROWS):
+        if latest_strategy != "max_join":
+            inside = inside.select("fk_orderno")
+        size = key_size(inside, ["fk_orderno"])
+        if size.within(DIMENSION_MAX_ROWS):
             inside = stage(inside, "wt_window")
-        history = cut_to_keys(awb.select("fk_orderno", "fk_seqno"), inside, ["fk_orderno"], ["fk_orderno"],
-                              exact=False)
+        history = awb.select("fk_orderno", "fk_seqno") if latest_strategy == "max_join" else awb
+        history = cut_to_keys(history, inside, ["fk_orderno"], ["fk_orderno"], exact=False, size=size)
+    if reduce_history and latest_strategy == "max_join":
         newest = history.groupBy("fk_orderno").agg(F.max("fk_seqno").alias("__newest"))
         # one row per order: compared by >=, the sequence is no join key and the order's buckets serve
         a = inside.join(newest, "fk_orderno").filter(F.col("fk_seqno") >= F.col("__newest")).drop("__newest")
     else:
-        a = latest_by_sequence(awb, "fk_orderno", "fk_seqno", keep=in_window,
+        a = latest_by_sequence(history if reduce_history else awb, "fk_orderno", "fk_seqno", keep=in_window,
                                strategy=latest_strategy)
     apar = tables["tbl_shipmentapar"].filter(valid_mawb("refno", "wt"))
     desc = tables["tbl_airwaybilldesc"]
