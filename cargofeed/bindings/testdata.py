@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -28,7 +29,7 @@ from pyspark.sql import types as T
 from ..operators.cost_layout import CostLayout, cost_layout
 from ..operators.costs import RATE_COMPANY
 from ..session import checkpoint_dir
-from ..sources.layout import bucket_count, store_family
+from ..sources.layout import BUCKET_KEYS, bucket_count, store_family
 from ..sources.tables import conform
 
 BASE_TABLES = ("lineitem", "orders", "customer", "part", "nation", "region")
@@ -271,20 +272,43 @@ def freight_tables(spark: SparkSession, sf_dir: str, materialize: bool = True,
                    files_per_table: int | None = None) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """(WT tables, CW tables) over the test tables in ``sf_dir``.
 
-    With ``materialize`` (default) the 17 derived tables are stored once under
+    With ``materialize`` (default) the derived tables are stored once under
     the shared checkpoint folder (``spark.checkpoint.dir``), keyed by a
     fingerprint of the inputs and the view definitions, and read back from
     there: queries then scan stored source tables, bucketed on their join keys
     (``sources.layout``), as the feed job does in production, instead of deriving
-    them from single-file test tables on every run. A copy is used only when
+    them from single-file test tables on every run. A table is stored when it is first
+    looked up, so a query stores the tables that it reads; dimensions, which have no
+    bucket key, are read as views. A copy is used only when
     its ``_SUCCESS`` marker exists; a missing or partial copy is rewritten.
     """
     wt, cw = freight_views(spark, sf_dir)
     if not materialize:
         return wt, cw
     buckets = bucket_count(spark, base_bytes(spark, sf_dir))
-    stored = store_family({**wt, **cw}, store_root(spark, sf_dir), buckets, files_per_table)
-    return ({n: stored[n] for n in wt}, {n: stored[n] for n in cw})
+    root = store_root(spark, sf_dir)
+    return StoredFamily(wt, root, buckets, files_per_table), StoredFamily(cw, root, buckets, files_per_table)
+
+
+class StoredFamily(Mapping):
+    """Tables of one family by name, each large one stored (or opened) by ``store_family`` at its first lookup."""
+
+    def __init__(self, views: dict[str, DataFrame], root: str, buckets: int, plain_files: int | None = None):
+        self._views, self._root, self._buckets, self._plain_files = views, root, buckets, plain_files
+        self._stored: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in BUCKET_KEYS:
+            return self._views[name]
+        if name not in self._stored:
+            self._stored |= store_family({name: self._views[name]}, self._root, self._buckets, self._plain_files)
+        return self._stored[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._views)
+
+    def __len__(self) -> int:
+        return len(self._views)
 
 
 def base_bytes(spark: SparkSession, sf_dir: str) -> int:
@@ -299,6 +323,7 @@ def store_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def freight_cost_layout(spark: SparkSession, sf_dir: str) -> CostLayout:
-    """The stored cost layout of the CW tables of ``sf_dir``, built once."""
-    _, cw = freight_tables(spark, sf_dir)
+    """The stored cost layout of the CW tables of ``sf_dir``, built once, from the views: the layout is itself
+    the stored form of its tables, so these are not stored for it a second time."""
+    _, cw = freight_views(spark, sf_dir)
     return cost_layout(cw, store_root(spark, sf_dir), bucket_count(spark, base_bytes(spark, sf_dir)))

@@ -8,8 +8,8 @@ Three bucketed tables are derived from the source tables once per load:
 * ``lines``: transaction lines with currency and dates of their transaction
   header, bucketed by line key, company and copy.
 
-Hot keys do not fill a bucket. A bounded sketch names the keys that hold more
-than ``1 / (PIECES * buckets)`` of all charges; exact counts confirm them. Rows of a
+Hot keys do not fill a bucket. Counts of hash bins name where keys that hold more
+than ``1 / (PIECES * buckets)`` of all charges can be; exact counts find them. Rows of a
 hot key are dealt over as many copy numbers as it has such shares, and
 the other side's row is stored once per copy. Every charge still meets
 each partner exactly once, so the joined rows are the same.
@@ -17,6 +17,7 @@ each partner exactly once, so the joined rows are the same.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day
-from ..sources.layout import exists, open_buckets, write_buckets
+from ..sources.layout import BINS, exists, heavy_bins, open_buckets, write_buckets
 from .joins import left_join_null_safe
 
 #: Shares of an even bucket that a hot key is cut into.
@@ -38,23 +39,25 @@ LINE_KEYS = ["al_pk", "al_gc", "copy"]
 def hot_keys(df: DataFrame, columns: Sequence[str], pieces: int) -> DataFrame:
     """``(key, copies)`` of the values that hold more than ``1 / pieces`` of the rows in one of ``columns``.
 
-    Misra-Gries (``freqItems``) bounds what is counted exactly to ``pieces`` values a
-    column; both results hold at most ``len(columns) * pieces`` rows.
+    Counts of hash bins (``heavy_bins``), one scan for all columns, bound what is counted exactly to the
+    values in bins above that share; the result holds at most ``len(columns) * pieces`` rows.
     """
-    share = 1 / pieces
-    found = None
     total = df.count()
-    for c in columns:
-        rows = df.select(F.col(c).alias("key")).filter("key IS NOT NULL")
-        likely = rows.stat.freqItems(["key"], share).select(F.explode("key_freqItems").alias("key"))
-        counted = rows.join(F.broadcast(likely), "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"))
-        counted = counted.filter(F.col("n") > F.lit(share * total))
-        found = counted if found is None else found.unionByName(counted)
-    even = max(1.0, share * total)
-    hot = found.groupBy("key").agg(F.ceil(F.max("n") / F.lit(even)).cast("int").alias("copies"))
-    # at most len(columns) * pieces rows: kept as values, so that no later plan counts them again
-    rows = [tuple(r) for r in hot.collect()]
-    return df.sparkSession.createDataFrame(rows, "key string, copies int")
+    even, bins = max(1.0, total / pieces), BINS * pieces
+    keyed = [F.when(F.col(c).isNotNull(), F.struct(F.col(c))) for c in columns]
+    heavy = heavy_bins(df.select(*columns).filter(" OR ".join(f"{c} IS NOT NULL" for c in columns)), keyed, bins, total / pieces)
+    heavy = heavy.collect()  # < len(columns) * pieces rows, NULL's bin among them
+    rows: dict[str, int] = {}
+    for i, c in enumerate(columns):
+        found = [r["__bin"] for r in heavy if r["__column"] == i]
+        if not found:
+            continue
+        inside = df.select(F.col(c).alias("key")).filter("key IS NOT NULL")
+        inside = inside.filter(F.pmod(F.xxhash64(F.struct("key")), F.lit(bins)).isin(found))
+        counted = inside.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > F.lit(total / pieces))
+        for r in counted.collect():  # < pieces rows: kept as values, so that no later plan counts them again
+            rows[r["key"]] = max(rows.get(r["key"], 1), math.ceil(r["n"] / even))
+    return df.sparkSession.createDataFrame(list(rows.items()), "key string, copies int")
 
 
 def with_copy(df: DataFrame, key: str, hot: DataFrame, spread: Sequence[str], out: str = "copy") -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,20 +75,36 @@ def open_buckets(spark: SparkSession, path: str, schema: T.StructType, keys: Seq
     return spark.table(name)
 
 
+def heavy_bins(df: DataFrame, columns: Sequence[Column], bins: int, more_than: float) -> DataFrame:
+    """``(__column, __bin)``: hash bins that hold more than ``more_than`` rows, by each of ``columns`` (numbered from 0).
+
+    One scan with map-side counts. A value that occurs in more than ``more_than`` rows lies in such a bin, so where
+    there is none, no value does; the rows of those that there are remain to be counted by value.
+    """
+    at = F.array(*[F.struct(F.lit(i).alias("c"), F.pmod(F.xxhash64(c), F.lit(bins)).alias("b")) for i, c in enumerate(columns)])
+    return (df.select(F.explode(at).alias("__at")).groupBy("__at.c", "__at.b").agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > F.lit(float(more_than))).select(F.col("c").alias("__column"), F.col("b").alias("__bin")))
+
+
+#: Hash bins of one share of the rows.
+BINS = 4
+
+
 def is_hot(df: DataFrame, keys: Sequence[str], buckets: int, hot: float = HOT_BUCKETS) -> bool:
     """Whether one value of ``keys`` (NULL included) holds more than ``hot`` even shares of the rows.
 
-    A Misra-Gries sketch of bounded size names the candidates, one exact count of those decides.
+    Counts of hash bins decide where none holds so many; else the values in those that do are counted.
     """
     share = hot / buckets
     if share >= 1:
         return False
-    packed = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
-    rows = df.select(packed.alias("key"))
-    likely = rows.stat.freqItems(["key"], share).select(F.explode("key_freqItems").alias("key"))
-    counted = rows.join(F.broadcast(likely), "key", "left_semi").groupBy("key").agg(F.count("*").alias("n"))  # <= 1 / share keys
-    most = counted.agg(F.max("n")).first()[0]
-    return most is not None and most > share * df.count()
+    most = share * df.count()
+    bins = BINS * buckets
+    found = [r["__bin"] for r in heavy_bins(df, [F.struct(*keys)], bins, most).collect()]  # < buckets / hot
+    if not found:
+        return False
+    inside = df.filter(F.pmod(F.xxhash64(F.struct(*keys)), F.lit(bins)).isin(found))
+    return not inside.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > F.lit(most)).isEmpty()
 
 
 def store_family(tables: Mapping[str, DataFrame], root: str, buckets: int, plain_files: int | None = None) -> dict[str, DataFrame]:
