@@ -15,7 +15,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, shuffles_dropped
 
 
 _runs: list[list[str]] = []  # folders written inside each open ``staged_run``
@@ -28,7 +28,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     if _runs:
         _runs[-1].append(folder)
     path = f"{folder}/{label}"
-    df.write.mode("overwrite").parquet(path)
+    with shuffles_dropped(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -39,6 +39,7 @@ from ..operators.costs import COST_CATEGORIES, COST_ROW, COST_SUM, MULTIPLICITY,
 from ..operators.flights import air_legs_per_consol
 from ..operators.joins import cut_to_keys
 from ..operators.stage import stage
+from ..session import shuffles_dropped
 from ..sinks.publish import current, drop_old, new_folder, publish
 
 COMPACT_AFTER = 30
@@ -135,7 +136,8 @@ class CostState:
 
     def _write(self, folder: str, parts: Mapping[str, DataFrame]) -> dict[str, int]:
         for name, df in parts.items():
-            df.write.parquet(f"{folder}/{name}")
+            with shuffles_dropped(self.spark):
+                df.write.parquet(f"{folder}/{name}")
         return {name: self.spark.read.parquet(f"{folder}/{name}").count() for name in parts}
 
     def rebuild(self, tables: Mapping[str, DataFrame], layout: CostLayout | None = None, runs: tuple[str, ...] = ()) -> RunInfo:

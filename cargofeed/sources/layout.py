@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shuffles_dropped
+
 #: Key of each large table, as its joins use it. Tables not named here are dimensions.
 BUCKET_KEYS: dict[str, list[str]] = {
     "tbl_airwaybill": ["fk_orderno"], "tbl_airwaybilldesc": ["fk_airwaybillno"], "tbl_shipmentapar": ["fk_orderno", "seqno"],
@@ -61,8 +63,9 @@ def write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -
     One hash shuffle; the rows of a bucket come from one task, so there is one file a bucket.
     """
     dealt = df.repartition(buckets, *[F.col(k) for k in keys])
-    (dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet")
-     .mode("overwrite").saveAsTable(_table_name(path)))
+    with shuffles_dropped(df.sparkSession):
+        (dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet")
+         .mode("overwrite").saveAsTable(_table_name(path)))
     return df.sparkSession.table(_table_name(path))
 
 
@@ -120,6 +123,7 @@ def store_family(tables: Mapping[str, DataFrame], root: str, buckets: int, plain
         elif keys and not is_hot(df, keys, buckets):
             out[name] = write_buckets(df, bucketed, keys, buckets)
         else:
-            df.repartition(plain_files or spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(plain)
+            with shuffles_dropped(spark):
+                df.repartition(plain_files or spark.sparkContext.defaultParallelism).write.mode("overwrite").parquet(plain)
             out[name] = spark.read.schema(df.schema).parquet(plain)
     return out
