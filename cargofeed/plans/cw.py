@@ -129,8 +129,8 @@ def cw_feed(tables: Mapping[str, DataFrame], window: LoadWindow,
 
     ``reduce_history`` (by default: unless the window is a full load, whatever the sizes) stages the
     window-driven sets in the shared checkpoint folder and cuts the
-    history-wide charge tables to them. A full load needs all history: nothing is staged
-    or cut, and its costs come from the stored ``layout`` where one is given. ``False`` for a
+    history-wide charge tables to them. A full load needs all history: nothing but the counted rates is staged,
+    nothing cut, and its costs come from the stored ``layout`` where one is given. ``False`` for a
     45-day window persists the sets and joins
     the history with ordinary shuffles (to compare plans). All give the same rows.
     """
